@@ -25,7 +25,7 @@ SYMBOLS = "#*$%&|<>"
 GAPS = " \t\n\x0b\x0c\r"
 BUCKETS = 10_000
 #: Mean log-likelihood ratio from which a document is kept.
-THRESHOLD = -0.1
+THRESHOLD = -0.25
 SMOOTHING = 1.0
 
 
