@@ -7,10 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import pii, quality_rules, sharding
+from fleetlens.llm import bpe, html_extract, pii, quality_mil, quality_rules, sharding
 from fleetlens.llm.common import table
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digest(table(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_mil.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", (quality_mil.fold(F.col("doc_id")) == 0).alias("held_out"), quality_mil.score_column(model, F.col("text")).alias("score")).withColumn(
+        "predicted", (F.col("score") >= quality_mil.PASS_AT).cast("int")
+    )
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", html_extract.extract(pages).alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), [1.0] * 8).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
