@@ -21,12 +21,16 @@ from fleetlens.llm.common import words
 
 #: Runs of letters, digits and underscores, or runs of anything else but white space.
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 GAPS = " \t\n\x0b\x0c\r"
 BUCKETS = 10_000
 #: Mean log-likelihood ratio from which a document is kept.
 THRESHOLD = -0.25
 SMOOTHING = 1.0
+#: Repeated windows up to which each window is looked up among them.
+FEW = 32
+#: Trusted keys up to which they are broadcast; beyond it, both sides are shuffled.
+BROADCAST_KEYS = 1_000_000
 
 
 def _tail(name: str) -> str:
@@ -51,10 +55,13 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, text: str = "text", key:
     a task to shuffle.
     """
     marked = trusted.select(F.col(key).alias("_key")).where("_key is not null").distinct().withColumn("_good", F.lit(1))
+    marked = F.broadcast(marked) if marked.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else marked
     flagged = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(marked, "_key", "left")
     counted = (
         ngram_buckets(flagged, "_text", buckets)
-        .select(F.explode("_grams").alias("bucket"), F.coalesce("_good", F.lit(0)).alias("good"))
+        # The outer form: for the inner one Catalyst adds a filter that works out the array again.
+        .select(F.explode_outer("_grams").alias("bucket"), F.coalesce("_good", F.lit(0)).alias("good"))
+        .where("bucket is not null")
         .groupBy("bucket")
         .agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
     )
@@ -83,26 +90,28 @@ def ratio_array(ratios: DataFrame) -> Column:
 def rule_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the five counts of the rule set; each is worked out inside the row."""
     body = F.coalesce(F.col(text), F.lit(""))
-    repeat = "coalesce(aggregate(zip_with(_at, " + _tail("_at") + ", (a, b) -> least(3, b - a)), 0, (s, x) -> s + x), 0)"
-    pair_hit = f"zip_with(_tri, {_tail('_tri')}, (a, b) -> if(a.h = b.h, array(a.i, b.i), cast(array() as array<int>)))"
+    windows = f"transform(slice(_h, 3, greatest(size(_h) - 2, 0)), (c, i) -> xxhash64(_h[i], _h[i + 1], c))"
+    twice = "array_distinct(filter(_s, (x, i) -> i > 0 and x = _s[i - 1]))"
+    # Starts of repeated windows: by lookup where few windows repeat, else from one sort of (window, start).
+    look_up = "filter(sequence(0, size(_g) - 1), i -> array_contains(_d, _g[i]))"
+    ordered = "sort_array(transform(_g, (h, i) -> struct(h as h, i as i)))"
+    pair_hit = f"zip_with({ordered}, {_tail('__')}, (a, b) -> if(a.h = b.h, array(a.i, b.i), cast(array() as array<int>)))".replace("__", ordered)
+    starts = f"case when size(_d) = 0 then cast(array() as array<int>) when size(_d) <= {FEW} then {look_up} else sort_array(array_distinct(flatten({pair_hit}))) end"
+    covered = f"coalesce(aggregate(zip_with(_at, {_tail('_at')}, (a, b) -> least(3, b - a)), 0, (s, x) -> s + x), 0)"
     return (
         docs.withColumn("_w", words(body))
-        .withColumn("_hw", F.expr("transform(_w, x -> xxhash64(x))"))
-        .withColumn(
-            "_tri",
-            F.expr(
-                "sort_array(transform(zip_with(slice(_hw, 1, greatest(size(_hw) - 2, 0)), zip_with(slice(_hw, 2, greatest(size(_hw) - 2, 0)), "
-                "slice(_hw, 3, greatest(size(_hw) - 2, 0)), (b, c) -> struct(b, c)), (a, r) -> xxhash64(a, r.b, r.c)), (h, i) -> struct(h as h, i as i)))"
-            ),
-        )
-        .withColumn("_at", F.expr(f"sort_array(array_distinct(flatten({pair_hit})))"))
+        .withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))"))
+        .withColumn("_g", F.expr(windows))
+        .withColumn("_s", F.sort_array("_g"))
+        .withColumn("_d", F.expr(twice))
+        .withColumn("_at", F.expr(starts))
         .withColumn("_lines", F.expr(f"filter(split(coalesce({text}, ''), '\\n', -1), l -> length(translate(l, '{_sql(GAPS)}', '')) > 0)"))
         .withColumn("n_words", F.size("_w").cast("long"))
-        .withColumn("word_chars", F.length(F.translate(body, GAPS, "")).cast("long"))
-        .withColumn("n_symbols", (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"))
+        .withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
+        .withColumn("n_symbols", F.regexp_count(body, F.lit(SYMBOLS)).cast("long"))
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-        .withColumn("n_repeat_words", F.expr(repeat).cast("long"))
-        .drop("_w", "_hw", "_tri", "_at", "_lines")
+        .withColumn("n_repeat_words", F.expr(covered).cast("long"))
+        .drop("_w", "_h", "_g", "_s", "_d", "_at", "_lines")
     )
 
 
