@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, html_extract, pii, quality_mil, quality_rules, sharding
+from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, pii, quality_mil, quality_rules, sharding
 from fleetlens.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return out.where("row.text is not null").select("row.doc_id", "n_lines", "n_removed", "row.text")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"))
 
@@ -23,6 +28,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).alias("m"))
+    return found.select("doc_id", F.explode_outer("m").alias("m")).where("m is not null").select("doc_id", "m.*")
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", "url", html_extract.extract(pages).alias("text")).withColumn("n_chars", F.length("text").cast("long"))
@@ -56,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": line_dedup.ORACLE}
