@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, pii, quality_mil, quality_rules, sharding
+from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, near_dedup, pii, quality_mil, quality_rules, sharding
 from fleetlens.llm.common import table
 
 
@@ -45,6 +45,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_dedup.near_duplicate_groups(table(spark, sf_dir, "documents"), size=4)
+    return groups.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = table(spark, sf_dir, "labels").where("quality = 1")
