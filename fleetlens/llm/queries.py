@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, near_dedup, pii, quality_mil, quality_rules, sharding
+from fleetlens.llm import bpe, decontaminate, html_extract, license_scan, line_dedup, near_dedup, pii, quality_mil, quality_rules, sharding
 from fleetlens.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where("row.text is not null").select("row.doc_id", "n_lines", "n_removed", "row.text")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", license_scan.match_column(F.col("text")).alias("m"))
+    return found.select("doc_id", F.explode_outer("m").alias("m")).where("m is not null").select("doc_id", "m.*")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"))
 
