@@ -7,8 +7,8 @@ of registers are bucket keys. Links are confirmed on full sets, groups come from
 union-find inside partitions and contraction across them.
 
 Buckets never emit all their pairs. Each bucket (split by set size, since linked
-sets differ little in size) first compares its members with two pivots, the member
-that meets most others and a random one. After grouping, only pairs of different
+sets differ little in size) first compares its members with two pivots, the
+member that meets most others and a random one. After grouping, only pairs of different
 groups are open. Shingles that no other candidate has bound what a member can share,
 which rules most of them out exactly; the rest are compared across groups.
 
@@ -35,7 +35,9 @@ REGISTERS = BANDS * ROWS
 #: Share of equal registers under which a pair is not verified: five standard deviations below 0.8.
 LEAST_AGREEMENT = 0.6
 #: Words a worker remembers the hash of.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
+#: Rows of a batch that a worker returns.
+CHUNK_ROWS = 256
 #: Candidate keys up to which they are broadcast to the scan for sets; beyond it both sides are shuffled.
 BROADCAST_KEYS = 1_000_000
 #: Linked sets differ in size by a factor of 1.25 at most; a little more for rounding.
@@ -113,37 +115,44 @@ def signature(elements: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
     return best
 
 
-def _sketch_udf(size: int):
-    @F.pandas_udf("n long, node binary, sig array<int>")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _sketches(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, n, node, sig) of every row of (doc_id, text)."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         for part in parts:
-            rows = []
-            for text in part:
-                s = shingles(text, size)
-                if len(s):
-                    sig = signature(s)
-                    # 32 bits of a register: the random part, stirred with the step.
-                    short = (sig ^ (sig >> 32) * 0x9E3779B1).astype(np.uint32).view(np.int32)
-                    rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), short))
-                else:
-                    rows.append((0, None, None))
-            yield pd.DataFrame(rows, columns=["n", "node", "sig"])
-
-    return run
-
-
-def _set_udf(size: int):
-    @F.pandas_udf("node binary, members array<long>")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for i in range(0, len(part), CHUNK_ROWS):
+                chunk = part.iloc[i : i + CHUNK_ROWS]
+                rows = []
+                for text in chunk["text"]:
+                    s = shingles(text, size)
+                    if len(s):
+                        sig = signature(s)
+                        # 32 bits of a register: the random part, stirred with the step.
+                        short = (sig ^ (sig >> 32) * 0x9E3779B1).astype(np.uint32).view(np.int32)
+                        rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), short))
+                    else:
+                        rows.append((0, None, None))
+                out = pd.DataFrame(rows, columns=["n", "node", "sig"])
+                out.insert(0, "doc_id", chunk["doc_id"].to_numpy())
+                yield out
+
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, node binary, sig array<int>")
+
+
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """(node, members) of every row with a text; small batches, since sets are long."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         for part in parts:
-            sets = [shingles(text, size) for text in part]
-            yield pd.DataFrame({"node": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "members": [s.view(np.int64) for s in sets]})
+            for i in range(0, len(part), CHUNK_ROWS):
+                sets = [shingles(text, size) for text in part["text"].iloc[i : i + CHUNK_ROWS]]
+                yield pd.DataFrame({"node": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "members": [s.view(np.int64) for s in sets]})
 
-    return run
+    return docs.select("text").mapInPandas(run, "node binary, members array<long>")
 
 
 def local_union_find(pairs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,6 +199,11 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def _agreement(a: str, b: str) -> str:
+    """SQL for the number of equal registers of two signatures."""
+    return f"size(filter(zip_with({a}, {b}, (r, s) -> r = s), e -> e))"
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= 80 * union, decided on full sets."""
     sig = sets.select("id", "n", "sig")
@@ -197,7 +211,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         pairs.join(sig.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
         .join(sig.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
         .where("100 * least(na, nb) >= 80 * greatest(na, nb)")
-        .where(f"size(filter(zip_with(sa, sb, (x, y) -> x = y), e -> e)) >= {LEAST_AGREEMENT * REGISTERS}")
+        .where(f"{_agreement('sa', 'sb')} >= {LEAST_AGREEMENT * REGISTERS}")
         .select("a", "b", "na", "nb")
     )
     full = sets.select("id", "members")
@@ -216,7 +230,7 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     small = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
     ids = keys.select("_rep").distinct()
     rows = docs.join(F.broadcast(ids) if small else ids, docs.doc_id.eqNullSafe(ids["_rep"]), "left_semi")
-    made = rows.select("doc_id", _set_udf(size)("text").alias("s")).select("s.node", "s.members")
+    made = _sets(rows, size)
     found = checkpointed(made.join(keys.select("id", "n", "sig", "_node"), made.node == F.col("_node")).select("id", "n", "sig", "members"))
     # Repeated rows of one key and text give a node twice.
     return found if found.count() == wanted.count() else checkpointed(found.dropDuplicates(["id"]))
@@ -225,7 +239,7 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 def near_duplicate_groups(docs: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least key of the group)."""
     narrow = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    sketched = checkpointed(narrow.select("doc_id", _sketch_udf(size)("text").alias("s")).select("doc_id", "s.*"))
+    sketched = checkpointed(_sketches(narrow, size))
     nodes = checkpointed(
         sketched.where("n > 0")
         .groupBy("node")
