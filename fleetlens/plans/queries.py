@@ -281,10 +281,11 @@ def verdicts(spark, sf_dir):
     return _flat(Base(spark, sf_dir).verdicts)
 
 
-@query(build(f"SELECT f.variant, f.imei FROM flags f LEFT JOIN prof p USING ({V}) WHERE p.imei IS NULL", "flags", "prof"))
+@query(build(f"SELECT f.variant, f.imei FROM flags f LEFT JOIN (SELECT * FROM prof WHERE n_trips >= 8) p USING ({V}) WHERE p.imei IS NULL", "flags", "prof"))
 def data_gaps(spark, sf_dir):
+    """Vehicles without enough valid trips; every proxy vehicle has one, so the query asks for eight."""
     b = Base(spark, sf_dir)
-    return peers.data_gaps(b.flags, b.profiles.where("n_trips > 0")).select(*VEHICLE)
+    return peers.data_gaps(b.flags, b.profiles.where("n_trips >= 8")).select(*VEHICLE)
 
 
 @query(build("SELECT verdict, count(*) AS n FROM ver GROUP BY verdict", "ver"))
