@@ -9,8 +9,9 @@ union-find inside partitions and contraction across them.
 Buckets never emit all their pairs. Each bucket (split by set size, since linked
 sets differ little in size) first compares its members with two pivots, the
 member that meets most others and a random one. After grouping, only pairs of different
-groups are open. Shingles that no other candidate has bound what a member can share,
-which rules most of them out exactly; the rest are compared across groups.
+groups are open. Rare shingles decide those: pairs that share one are listed from its
+short postings, pairs that share none are bounded by their common shingles, and the
+few that the bound leaves are compared across groups.
 
 Defined results: a NULL or empty text, or one without words, is an empty set, linked
 with nothing; a text shorter than a shingle is one shingle; repeated rows and equal
@@ -40,6 +41,8 @@ MEMO_WORDS = 100_000
 CHUNK_ROWS = 256
 #: Candidate keys up to which they are broadcast to the scan for sets; beyond it both sides are shuffled.
 BROADCAST_KEYS = 1_000_000
+#: Open sets that may hold a shingle that still counts as rare.
+RARE = 64
 #: Linked sets differ in size by a factor of 1.25 at most; a little more for rounding.
 SIZE_STEP = 1.26
 
@@ -214,7 +217,10 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .where(f"{_agreement('sa', 'sb')} >= {LEAST_AGREEMENT * REGISTERS}")
         .select("a", "b", "na", "nb")
     )
-    full = sets.select("id", "members")
+    near = checkpointed(near)
+    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    small = ids.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    full = sets.select("id", "members").join(F.broadcast(ids) if small else ids, "id", "left_semi")
     return (
         near.join(full.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a")
         .join(full.select(F.col("id").alias("b"), F.col("members").alias("mb")), "b")
@@ -278,28 +284,27 @@ def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     opened = checkpointed(grouped.join(split, "key"))
     if opened.isEmpty():
         return labels
-    lone = (
-        sets.join(opened.select("id").distinct(), "id", "left_semi")
-        .select("id", F.explode("members").alias("x"))
-        .groupBy("x")
-        .agg(F.count("*").alias("c"), F.min("id").alias("id"))
-        .where("c = 1")
-        .groupBy("id")
-        .agg(F.count("*").alias("lone"))
-    )
-    # At most n - lone members can be shared; a link of sizes n and m shares 4 / 9 of n + m or more.
-    bound = opened.join(lone, "id", "left").withColumn("most", F.col("n") - F.coalesce("lone", F.lit(0)))
+    # A shingle of at most RARE open sets is rare. Sets that share no rare shingle share at
+    # most the common ones of either; a link of sizes n and m shares 4 / 9 of n + m or more.
+    spread = sets.join(opened.select("id").distinct(), "id", "left_semi").select("id", F.explode("members").alias("x"))
+    rare = spread.groupBy("x").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
+    places = checkpointed(spread.join(rare, "x"))
+    bound = opened.join(places.groupBy("id").agg(F.count("*").alias("rare")), "id", "left").withColumn("common", F.col("n") - F.coalesce("rare", F.lit(0)))
+    main = bound.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "label")).alias("m"))
     least = bound.groupBy("key").agg(F.min("n").alias("least_n"))
-    alive = checkpointed(bound.join(least, "key").where("9 * most >= 4 * (n + least_n)").select("key", "id", "n", "label", "most"))
-    main = alive.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "label")).alias("m"), F.count("*").alias("groups")).where("groups > 1")
-    left = alive.join(main.select("key", F.col("m.label").alias("main")), "key")
-    x, y = left.where("label <> main").alias("x"), left.alias("y")
-    cross = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & F.expr("9 * least(x.most, y.most) >= 4 * (x.n + y.n)"))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
+    placed = checkpointed(bound.join(main.select("key", F.col("m.label").alias("main")), "key").join(least, "key"))
+    apart = "x.label <> y.label and 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)"
+    ends = (F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    # Sharing common shingles only: pairs of a key, one of them outside its largest group.
+    alive = placed.where("9 * common >= 4 * (n + least_n)")
+    by_common = (
+        alive.where("label <> main").alias("x").join(alive.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr(f"{apart} and 9 * least(x.common, y.common) >= 4 * (x.n + y.n)")).select(*ends)
     )
-    more = _confirm(cross, sets)
+    # Sharing a rare shingle: its postings are bounded by RARE.
+    who = placed.groupBy("id").agg(F.first("n").alias("n"), F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("outside"))
+    posted = places.where("c > 1").select(F.col("x").alias("shingle"), "id").join(who, "id")
+    by_rare = posted.where("outside").alias("x").join(posted.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & F.expr(apart)).select(*ends)
+    more = _confirm(by_common.union(by_rare).distinct(), sets)
     # Contract the new links by the groups there are, then name groups anew.
     more = more.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
     merged = components(more.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
