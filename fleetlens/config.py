@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+# State and mode codes of the telemetry.
 IDLE, CHARGE, RUN, LATCH = 0, 1, 2, 3
 ECO, THUNDER = 0, 1
 
 SIGNALS = ("rpm", "torque", "temp", "soc", "speed", "throttle", "current")
 MATCH_FEATURES = ("mode_0_frac", "mode_1_frac", "mean_speed", "p90_speed", "median_torque", "p90_torque", "median_throttle", "p90_throttle", "low_speed_frac")
-#: Detector ids and what each contradiction means.
+# Detector ids and labels of the results.
 DETECTORS = {
     "d1_rpm_speed": "RPM high, Speed low (drivetrain slip)",
     "d2_throttle_speed": "Throttle high, Speed low (demand without motion)",
@@ -27,7 +28,7 @@ VERDICTS = ("ELEVATED", "WATCH", "NORMAL")
 
 @dataclass(frozen=True)
 class Settings:
-    """Thresholds. Times are in units of ``unit_s`` seconds; durations in minutes of ``units_per_minute`` units."""
+    """Thresholds (fixed values by default). Times are in units of ``unit_s`` seconds; durations in minutes of ``units_per_minute`` units."""
 
     unit_s: float = 1.0
     units_per_minute: float = 60.0

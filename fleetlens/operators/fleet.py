@@ -9,10 +9,10 @@ from fleetlens.config import DANGER_DETECTORS, DEFAULT, Settings
 from fleetlens.functions.core import VEHICLE, detector_status, deviation, deviation_band, half_even_bin, mode_class, uneven_bin
 from fleetlens.operators.detectors import RUN_DETECTORS
 
+# Reported attributes, bucket edges and map edges.
 ATTRIBUTES = ("mean_speed", "p90_speed", "median_rpm", "p90_rpm", "median_torque", "p90_torque", "median_throttle", "p90_throttle", "low_speed_frac", "median_current", "p90_current", "median_temp", "peak_temp", "mode_0_frac", "mode_1_frac")
 EVENT_ATTRIBUTES = tuple(f"{d}_events" for d in RUN_DETECTORS)
 SHOWN = ("mean_speed", "median_rpm", "median_torque", "median_throttle", "median_current", "median_temp", "mode_0_frac", "mode_1_frac")
-INF = float("inf")
 #: Edges of the time-in-bucket shares; the last bucket is open.
 SHARE_EDGES = {"current": [0, 50, 100, 150, 200], "temp": [0, 25, 40, 55, 70], "rpm": [0, 1500, 3000, 4500, 6000], "torque": [0, 25, 50, 75, 100], "throttle": [0, 2, 4, 6, 8], "speed": [0, 15, 30, 45, 60]}
 MAP_EDGES = {"current": [0, 50, 100, 150, 200, 250, 300], "rpm": [0, 1000, 2000, 3000, 4000, 5000, 6000, 7000], "torque": [0, 25, 50, 75, 100, 125, 150], "throttle": [0, 2, 4, 6, 8, 10], "speed": [0, 10, 20, 30, 40, 50, 60, 80], "temp": [0, 20, 30, 40, 50, 60, 80]}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.core import VEHICLE, edge_bin
 
-#: signal: (low, high, bins); controller mode has one bin for each valid mode.
+# Signal: (low, high, bins); controller mode has one bin for each valid mode.
 BINS = {"rpm": (0.0, 7000.0, 28), "torque": (0.0, 200.0, 20), "speed": (0.0, 80.0, 16), "throttle": (0.0, 10.0, 20), "current": (0.0, 300.0, 20), "temp": (0.0, 100.0, 20), "soc": (0.0, 100.0, 20)}
 PAIRS = (("speed", (0.0, 80.0, 8), "rpm", (0.0, 7000.0, 10)), ("speed", (0.0, 80.0, 8), "throttle", (0.0, 10.0, 10)), ("speed", (0.0, 80.0, 8), "current", (0.0, 300.0, 10)), ("current", (0.0, 300.0, 10), "torque", (0.0, 200.0, 10)), ("temp", (0.0, 100.0, 10), "current", (0.0, 300.0, 10)))
 STATS = ("rpm", "torque", "current", "speed", "throttle", "temp", "soc", "mode")
