@@ -39,8 +39,8 @@ LEAST_AGREEMENT = 0.6
 MEMO_WORDS = 100_000
 #: Rows of a batch that a worker returns.
 CHUNK_ROWS = 256
-#: Candidate keys up to which they are broadcast to the scan for sets; beyond it both sides are shuffled.
-BROADCAST_KEYS = 1_000_000
+#: Keys up to which a list of them is broadcast; beyond it both sides are shuffled.
+BROADCAST_KEYS = 500_000
 #: Open sets that may hold a shingle that still counts as rare.
 RARE = 64
 #: Linked sets differ in size by a factor of 1.25 at most; a little more for rounding.
@@ -207,9 +207,13 @@ def _agreement(a: str, b: str) -> str:
     return f"size(filter(zip_with({a}, {b}, (r, s) -> r = s), e -> e))"
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _small(ids: DataFrame) -> DataFrame:
+    """``ids`` with a broadcast hint where a count shows that they are few; staged or cheap tables only."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else ids
+
+
+def _confirm(pairs: DataFrame, sig: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= 80 * union, decided on full sets."""
-    sig = sets.select("id", "n", "sig")
     near = (
         pairs.join(sig.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
         .join(sig.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
@@ -219,8 +223,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
     near = checkpointed(near)
     ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    small = ids.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    full = sets.select("id", "members").join(F.broadcast(ids) if small else ids, "id", "left_semi")
+    full = sets.join(_small(ids), "id", "left_semi")
     return (
         near.join(full.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a")
         .join(full.select(F.col("id").alias("b"), F.col("members").alias("mb")), "b")
@@ -231,13 +234,12 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(id, n, sig, members) of candidate nodes, from one row of each."""
-    keys = wanted.select(F.col("rep").alias("_rep"), "id", "n", "sig", F.col("node").alias("_node"))
-    small = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    ids = keys.select("_rep").distinct()
-    rows = docs.join(F.broadcast(ids) if small else ids, docs.doc_id.eqNullSafe(ids["_rep"]), "left_semi")
-    made = _sets(rows, size)
-    found = checkpointed(made.join(keys.select("id", "n", "sig", "_node"), made.node == F.col("_node")).select("id", "n", "sig", "members"))
+    """(id, members) of candidate nodes, from one row of each."""
+    keys = wanted.select(F.col("rep").alias("_rep"), "id", F.col("node").alias("_node"))
+    ids = _small(keys.select("_rep").distinct())
+    made = _sets(docs.join(ids, docs.doc_id.eqNullSafe(ids["_rep"]), "left_semi"), size)
+    nodes = _small(keys.select("id", "_node"))
+    found = checkpointed(made.join(nodes, made.node == nodes["_node"]).select("id", "members"))
     # Repeated rows of one key and text give a node twice.
     return found if found.count() == wanted.count() else checkpointed(found.dropDuplicates(["id"]))
 
@@ -261,25 +263,29 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, key: str = "doc_id", t
 def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col("sig")[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)])
     entries = nodes.select("id", "n", F.explode(bands).alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
+    shared = checkpointed(entries.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket"))
     step = F.floor(F.log("n") / F.log(F.lit(SIZE_STEP)))
-    sized = entries.join(shared, "bucket").select("id", "n", F.explode(F.array(F.xxhash64("bucket", step), F.xxhash64("bucket", step + 1))).alias("key"))
+    sized = entries.join(_small(shared), "bucket").select("id", "n", F.explode(F.array(F.xxhash64("bucket", step), F.xxhash64("bucket", step + 1))).alias("key"))
     met = sized.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = checkpointed(sized.join(met, "key").select("key", "id", "n", "c"))
 
     meets = members.groupBy("id").agg(F.sum("c").alias("degree"))
-    wanted = nodes.join(meets.select("id"), "id")
+    wanted = checkpointed(nodes.join(meets.select("id"), "id"))
     sets = _candidate_sets(docs, wanted, size)
-    pivots = (
+    facts = wanted.select("id", "n", "sig")
+    pivots = checkpointed(
         members.join(meets, "id")
-        .groupBy("key")
-        .agg(F.max(F.struct("degree", F.xxhash64("id"), "id")).alias("p"), F.max(F.struct(F.xxhash64("id"), "id")).alias("q"))
-        .select("key", F.explode(F.array_distinct(F.array("p.id", "q.id"))).alias("pivot"))
+        .groupBy("key", "c")
+        .agg(F.max(F.struct("degree", F.xxhash64("id"), "id")).alias("p"), F.max(F.struct(F.xxhash64("id"), "id")).alias("q"), F.min(F.struct(F.xxhash64("id"), "id")).alias("r"))
+        .select("key", "c", F.array_distinct(F.array("p.id", "q.id", "r.id")).alias("pivots"))
     )
-    pairs = members.join(pivots, "key").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    labels = components(_confirm(pairs, sets))
+    each = pivots.select("key", F.explode("pivots").alias("pivot"))
+    pairs = members.join(each, "key").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    labels = components(_confirm(pairs, facts, sets))
 
-    grouped = members.select("key", "id", "n").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    # Where all members but one are pivots, every pair has been compared.
+    unsettled = pivots.where("c > size(pivots) + 1").select("key")
+    grouped = members.select("key", "id", "n").join(unsettled, "key", "left_semi").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     split = grouped.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     opened = checkpointed(grouped.join(split, "key"))
     if opened.isEmpty():
@@ -287,9 +293,11 @@ def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     # A shingle of at most RARE open sets is rare. Sets that share no rare shingle share at
     # most the common ones of either; a link of sizes n and m shares 4 / 9 of n + m or more.
     spread = sets.join(opened.select("id").distinct(), "id", "left_semi").select("id", F.explode("members").alias("x"))
-    rare = spread.groupBy("x").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
-    places = checkpointed(spread.join(rare, "x"))
-    bound = opened.join(places.groupBy("id").agg(F.count("*").alias("rare")), "id", "left").withColumn("common", F.col("n") - F.coalesce("rare", F.lit(0)))
+    rare = checkpointed(spread.groupBy("x").agg(F.count("*").alias("c"), F.min("id").alias("one")).where(F.col("c") <= RARE))
+    shared = rare.where("c > 1").select("x")
+    places = checkpointed(spread.join(_small(shared), "x", "left_semi"))
+    owners = rare.where("c = 1").select(F.col("one").alias("id")).union(places.select("id")).groupBy("id").agg(F.count("*").alias("rare"))
+    bound = opened.join(owners, "id", "left").withColumn("common", F.col("n") - F.coalesce("rare", F.lit(0)))
     main = bound.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "label")).alias("m"))
     least = bound.groupBy("key").agg(F.min("n").alias("least_n"))
     placed = checkpointed(bound.join(main.select("key", F.col("m.label").alias("main")), "key").join(least, "key"))
@@ -302,9 +310,9 @@ def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     )
     # Sharing a rare shingle: its postings are bounded by RARE.
     who = placed.groupBy("id").agg(F.first("n").alias("n"), F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("outside"))
-    posted = places.where("c > 1").select(F.col("x").alias("shingle"), "id").join(who, "id")
+    posted = places.select(F.col("x").alias("shingle"), "id").join(who, "id")
     by_rare = posted.where("outside").alias("x").join(posted.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & F.expr(apart)).select(*ends)
-    more = _confirm(by_common.union(by_rare).distinct(), sets)
+    more = _confirm(by_common.union(by_rare).distinct(), facts, sets)
     # Contract the new links by the groups there are, then name groups anew.
     more = more.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
     merged = components(more.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
