@@ -19,6 +19,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces up to so many bytes are remembered, so many of them for each worker.
 CACHE_BYTES, CACHE_PIECES = 48, 200_000
+#: Token pairs a worker remembers the check of.
+CACHE_PAIRS = 300_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -81,7 +84,8 @@ class Codec:
                     self.shorter[i] = number[t[:n]]
                     break
         self.lengths = [len(t) for t in self.tokens]
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.checked: dict[int, bool] = {}
         size = 1 + max([*self.ids, *self.special.values()])
         parts: list[bytes] = [b""] * size
         for i, t in zip(self.ids, self.tokens, strict=True):
@@ -93,6 +97,15 @@ class Codec:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether ``a`` then ``b`` stays two tokens under merging by rank."""
+        code = a << 20 | b
+        known = self.checked.get(code)
+        if known is None:
+            if len(self.checked) >= CACHE_PAIRS:
+                self.checked.clear()
+            known = self.checked[code] = self._unfold(a, b)
+        return known
+
+    def _unfold(self, a: int, b: int) -> bool:
         pairs, left, right, limit = self.pairs, self.left, self.right, len(self.tokens)
         while True:
             joined = pairs.get((a, b))
@@ -129,45 +142,71 @@ class Codec:
         """Internal tokens of one piece."""
         n = len(raw)
         best = self.longest_at(raw.decode("latin-1"))
+        lengths, shorter, checked = self.lengths, self.shorter, self.checked
+        token = best[0]
+        if lengths[token] == n:
+            return (token,)
         out: list[int] = []
         open_at = bytearray(b"\x01") * (n + 1)  # 0: no valid way on from here
-        at, token = 0, best[0]
+        at, last = 0, -1
         while at < n:
-            last = out[-1] if out else -1
             while True:
-                end = at + self.lengths[token]
-                if open_at[end] and (last < 0 or self.fits(last, token)):
-                    out.append(token)
-                    at = end
-                    token = best[at] if at < n else -1
+                end = at + lengths[token]
+                if open_at[end]:
+                    if last < 0:
+                        break
+                    fit = checked.get(last << 20 | token)
+                    if fit is None:
+                        fit = self.fits(last, token)
+                    if fit:
+                        break
+                token = shorter[token]
+                if token < 0:
                     break
-                if self.shorter[token] >= 0:
-                    token = self.shorter[token]
-                    continue
+            if token >= 0:
+                out.append(token)
+                last, at = token, end
+                token = best[at] if at < n else -1
+            else:
+                # Nothing fits here: close the place and shorten the token before it.
                 open_at[at] = 0
                 token = out.pop()
-                at -= self.lengths[token]
-                # The popped token ends at a closed place, so the next turn shortens it.
-                break
+                at -= lengths[token]
+                last = out[-1] if out else -1
         return tuple(out)
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        for i, part in enumerate(self.split_special.split(text) if self.split_special else [text]):
+    def _learn(self, piece: str) -> tuple[tuple[int, ...], str]:
+        raw = piece.encode()
+        ids = tuple([self.ids[t] for t in self.encode_piece(raw)])
+        known = ids, ",".join(map(str, ids))
+        if len(raw) <= CACHE_BYTES:
+            if len(self.cache) >= CACHE_PIECES:
+                self.cache.clear()
+            self.cache[piece] = known
+        return known
+
+    def _encoded(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+        """(ids, ids as decimal text) of each special token and piece of a text."""
+        out: list = []
+        special = self.split_special is not None and any(s in text for s in self.special)
+        for i, part in enumerate(self.split_special.split(text) if special else [text]):
             if i % 2:
-                ids.append(self.special[part])
+                out.append(((self.special[part],), str(self.special[part])))
                 continue
-            for piece in self.pieces.findall(part):
-                known = self.cache.get(piece)
-                if known is None:
-                    raw = piece.encode()
-                    known = tuple(self.ids[t] for t in self.encode_piece(raw))
-                    if len(raw) <= CACHE_BYTES:
-                        if len(self.cache) >= CACHE_PIECES:
-                            self.cache.clear()
-                        self.cache[piece] = known
-                ids.extend(known)
-        return ids
+            pieces = self.pieces.findall(part)
+            known = list(map(self.cache.get, pieces))
+            if None in known:
+                known = [self._learn(p) if k is None else k for p, k in zip(pieces, known)]
+            out += known
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return list(chain.from_iterable([ids for ids, _ in self._encoded(text)]))
+
+    def encode_with_text(self, text: str) -> tuple[list[int], str]:
+        """Ids, and their decimal forms joined by commas."""
+        known = self._encoded(text)
+        return list(chain.from_iterable([ids for ids, _ in known])), ",".join([form for _, form in known])
 
     def decode(self, ids) -> str:
         """Bytes of all ids gathered from the table in one step, as UTF-8."""
@@ -231,8 +270,8 @@ def round_trip_digest(docs: DataFrame, key: str = "doc_id", text: str = "text",
         for part in parts:
             rows = []
             for x in part:
-                ids = c.encode(x or "")
-                rows.append((len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(c.decode(ids).encode()).hexdigest()))
+                ids, form = c.encode_with_text(x or "")
+                rows.append((len(ids), hashlib.sha256(form.encode()).hexdigest(), hashlib.sha256(c.decode(ids).encode()).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(key).alias("doc_id"), run(F.col(text)).alias("d")).select("doc_id", "d.*")
