@@ -18,10 +18,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import key_text
+from fleetlens.llm.common import checkpointed, key_text
 
 MIN_SITES = 5
 LOG_REGISTERS = 10
+#: Boilerplate lines up to which their keys are broadcast; beyond it both sides are shuffled.
+BROADCAST_LINES = 200_000
 #: Three standard errors of a sketch with 2 ** LOG_REGISTERS registers.
 MARGIN = 3 * 1.04 / 2 ** (LOG_REGISTERS / 2)
 
@@ -70,7 +72,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "
     once, by document. Columns: ``row`` (the input row, text replaced), ``n_lines``
     and ``n_removed``.
     """
-    bad = boilerplate(docs, min_sites, key, site, text)
+    # Staged, so that the join below has a shuffle of its own on both sides, which can be split where skewed.
+    bad = checkpointed(boilerplate(docs, min_sites, key, site, text))
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_LINES else bad
     losing = (
         _occurrences(docs, key, site, text)
         .join(bad, "_line")
