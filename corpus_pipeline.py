@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import bpe, decontaminate, line_dedup, near_dedup, quality_mil
-from fleetlens.llm.common import table
+from fleetlens.llm.common import checkpointed, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,16 +28,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least key of each group stays (five-word shingles, 0.8).
+    """One row of each group stays, of the least key (five-word shingles, 0.8).
 
-    The verdicts are narrow; only keys that go are joined, as an anti-join on the key.
-    Rows that share a key are one document and stay or go together.
+    The verdicts are narrow and decided for each key and text, so rows that share a
+    key do not protect each other; only those that go are joined, as an anti-join.
+    Of a kept key and text that stands in the table more than once, one row comes back.
+    Rows without words are in no group and stay.
     """
-    groups = near_dedup.near_duplicate_groups(docs, size=5)
-    kept = F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")
-    gone = groups.groupBy("doc_id").agg(kept).where("not kept").select(F.col("doc_id").alias("gone"))
+    surplus = checkpointed(near_dedup.surplus_rows(docs, size=5).select(F.col("doc_id").alias("_key"), F.col("digest").alias("_digest"), "kept"))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
-    return rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("gone")), "left_anti").select("row.*")
+    same = F.col("row.doc_id").eqNullSafe(F.col("_key")) & (near_dedup.text_digest(F.col("row.text")) == F.col("_digest"))
+    alone = rows.join(surplus.drop("kept"), same, "left_anti")
+    repeated = surplus.where("kept").drop("kept")
+    if repeated.isEmpty():
+        return alone.select("row.*")
+    once = rows.join(repeated, same).groupBy("_key", "_digest").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return alone.union(once.select("row")).select("row.*")
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import checkpointed
@@ -118,8 +118,13 @@ def signature(elements: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
     return best
 
 
+def text_digest(text: str | Column) -> Column:
+    """What tells rows of one key apart: equal for equal texts only; NULL for NULL."""
+    return F.md5(F.col(text).cast("binary") if isinstance(text, str) else text.cast("binary"))
+
+
 def _sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, node, sig) of every row of (doc_id, text)."""
+    """(doc_id, digest, n, node, sig) of every row of (doc_id, text)."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -139,9 +144,11 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
                         rows.append((0, None, None))
                 out = pd.DataFrame(rows, columns=["n", "node", "sig"])
                 out.insert(0, "doc_id", chunk["doc_id"].to_numpy())
+                out.insert(1, "digest", chunk["digest"].to_numpy())
                 yield out
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, node binary, sig array<int>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", text_digest("text").alias("digest")).mapInPandas(run, f"doc_id {kind}, digest string, n long, node binary, sig array<int>")
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -244,20 +251,40 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return found if found.count() == wanted.count() else checkpointed(found.dropDuplicates(["id"]))
 
 
-def near_duplicate_groups(docs: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (least key of the group)."""
-    narrow = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+def _named(narrow: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all rows, and (node, component_id, keeper) of every set.
+
+    The keeper is the least (key, text digest) of the group; NULL keys come last.
+    """
     sketched = checkpointed(_sketches(narrow, size))
     nodes = checkpointed(
         sketched.where("n > 0")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+        .agg(F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig"))
         .withColumn("id", F.monotonically_increasing_id())
     )
     labels = _labels(narrow, nodes, size)
-    placed = nodes.select("node", "id", "rep").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    named = placed.join(placed.groupBy("label").agg(F.min("rep").alias("component_id")), "label").select("node", "component_id")
-    return sketched.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    placed = nodes.select("node", "id", "rep", "least").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    groups = placed.groupBy("label").agg(F.min("rep").alias("component_id"), F.min("least").alias("keeper"))
+    return sketched, placed.select("node", "label").join(groups, "label").select("node", "component_id", "keeper")
+
+
+def near_duplicate_groups(docs: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (least key of the group)."""
+    sketched, named = _named(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), size)
+    return sketched.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named.drop("keeper"), "node", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def surplus_rows(docs: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, digest, kept) of rows that are not the only ones to stay of their group.
+
+    ``kept`` is false where all rows of the key and text go, and true where they are
+    the keeper of their group but stand in the table more than once.
+    """
+    sketched, named = _named(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), size)
+    is_keeper = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("digest") == F.col("keeper.digest"))
+    judged = sketched.select("doc_id", "digest", "node").join(named.drop("component_id"), "node").select("doc_id", "digest", is_keeper.alias("kept"))
+    return judged.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count("*").alias("c")).where("not kept or c > 1").drop("c")
 
 
 def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
