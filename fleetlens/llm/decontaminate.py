@@ -6,14 +6,15 @@ the keys of a hash index of the items, and windows of an item's size are looked
 in it (as in EmbedJoin, Zhang and Zhang 2017). Every hit is verified by an exact
 edit distance. Windows are hashed where they can match at all: ``k`` edits destroy
 at most ``2 k`` of an item's word pairs, so a window with fewer of them is skipped
-without loss.
+without loss. Walks fall out of step as items grow, so items of more than WALK_WORDS
+words have no walks: every window that the pairs leave is verified.
 
 A document contains an item of n words if some run of its words is within
 ``floor(n * (1 - SIMILARITY))`` word edits of the item. Words are runs of letters,
 digits and non-ASCII characters, in lower case.
 
 Defined results: a NULL or empty text contains nothing; items of fewer than
-MIN_WORDS words never match; items with equal texts all match; repeated rows match
+MIN_WORDS words or with a NULL id never match; items with equal texts all match; repeated rows match
 alike; empty tables give empty results; other columns are ignored.
 """
 
@@ -32,6 +33,8 @@ SIMILARITY = 0.8
 MIN_WORDS = 5
 #: Embeddings, and positions sampled from each: recall over 0.99 at the threshold (tested).
 REPEATS, SAMPLED = 24, 2
+#: Words up to which an item is looked up by its walks.
+WALK_WORDS = 63
 #: Items of one pass over the documents; more items take more passes.
 ITEMS_A_PASS = 20_000
 
@@ -126,6 +129,26 @@ def best_fit(item: list[int], words: list[int]) -> tuple[int, int, int]:
     return best
 
 
+def best_fit_long(item: list[int], words: list[int], allowed: int) -> tuple[int, int, int]:
+    """``best_fit`` a column at a time; the shortest run that ends first. No places beyond ``allowed`` edits."""
+    want, steps = np.array(item), np.arange(len(item) + 1)
+
+    def columns(want: np.ndarray, words: list[int], free: int):
+        cost = steps
+        for j, w in enumerate(words, 1):
+            new = np.concatenate([[free * j], np.minimum(cost[:-1] + (want != w), cost[1:] + 1)])
+            cost = np.minimum.accumulate(new - steps) + steps
+            yield j, int(cost[-1])
+
+    edits, end = len(item), 0
+    for j, c in columns(want, words, 0):
+        if c < edits:
+            edits, end = c, j
+    if edits > allowed:
+        return edits, 0, 0
+    return edits, end - next((j for j, c in columns(want[::-1], words[:end][::-1], 1) if c == edits), 0), end
+
+
 class ItemIndex:
     """Hash index of the items' embedded samples, with the word-pair filter in front."""
 
@@ -142,7 +165,8 @@ class ItemIndex:
         self.table: dict[int, dict[int, list[int]]] = {}
         by_size: dict[int, list[int]] = defaultdict(list)
         for k, (words, _) in enumerate(self.items):
-            by_size[len(words)].append(k)
+            if len(words) <= WALK_WORDS:
+                by_size[len(words)].append(k)
             for a, b in zip(words, words[1:]):
                 by_pair[(a << 32) | b].add(k)
         self.pairs = np.array(sorted(by_pair), dtype=np.int64)
@@ -195,18 +219,12 @@ class ItemIndex:
             starts = starts[count >= need]
             if not len(starts):
                 continue
-            ext = np.concatenate([ids, np.full(n, -1, dtype=np.int64)])
-            index = self.table[n]
-            found = []
-            for i in range(0, len(starts), 4096):
-                block = starts[i : i + 4096]
-                keys = self.walks.keys(ext[block[:, None] + np.arange(n)])
-                found += [p for p, row in zip(block.tolist(), keys.tolist()) if any(k in index.get(key, ()) for key in row)]
+            found = starts.tolist() if n > WALK_WORDS else self._met(k, n, ids, starts)
             region: list[int] = []
             for p in [*found, None]:
                 if region and (p is None or p > region[-1] + n + allowed):
                     lo, hi = max(0, region[0] - allowed), min(len(words), region[-1] + n + 2 * allowed)
-                    edits, first, last = best_fit(item, ids[lo:hi].tolist())
+                    edits, first, last = best_fit_long(item, ids[lo:hi].tolist(), allowed) if n > WALK_WORDS else best_fit(item, ids[lo:hi].tolist())
                     if edits <= allowed:
                         out += [(item_id, lo + first, lo + last, edits) for item_id in item_ids]
                     region = []
@@ -214,6 +232,17 @@ class ItemIndex:
                     region.append(p)
         return sorted(out)
 
+    def _met(self, k: int, n: int, ids: np.ndarray, starts: np.ndarray) -> list[int]:
+        """The starts whose window shares a key with item ``k`` of ``n`` words."""
+        ext = np.concatenate([ids, np.full(n, -1, dtype=np.int64)])
+        index = self.table[n]
+        found = []
+        for i in range(0, len(starts), 4096):
+            block = starts[i : i + 4096]
+            keys = self.walks.keys(ext[block[:, None] + np.arange(n)])
+            found += [p for p, row in zip(block.tolist(), keys.tolist()) if any(k in index.get(key, ()) for key in row)]
+        return found
+
 
 def match_column(index: ItemIndex, text: Column) -> Column:
     """Contained items of every text, as array<struct<item_id,start_word,end_word,distance>>."""
