@@ -2,8 +2,10 @@
 
 Paragraph-like elements earn points for length and commas and pass them up: all to
 the parent, half to the grandparent, a third to the element above. Each container
-is discounted by its link density; the best one and like siblings make the article
-(the approach of the Arc90 Readability experiment). Menus, headers, footers,
+is discounted by its link density; the best one makes the article (the approach of the
+Arc90 Readability experiment), with what stands beside it or beside an element around
+it and has a good score or mostly unlinked text. Lists of links go, unless they follow
+a heading inside it. Menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and comments go first.
 
 Defined results: NULL or empty html gives an empty text; markup that never closes
@@ -37,7 +39,10 @@ NOT_TEXT_NAMES = frozenset(
 )
 HOLDS_MAIN = frozenset("html body article main".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TAG_POINTS = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "th": -5.0}
+#: Share of linked text over which an element outside the best container needs a good score.
+MOSTLY_LINKS = 0.5
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -176,8 +181,18 @@ def _link_list(node: Node) -> bool:
     return node.tag in ("ul", "ol", "div", "section", "table") and links >= 2 and _density(node) > 0.8
 
 
-def _render(node: Node, out: list[str]) -> None:
-    """Blocks of a container in page order; each block with single spaces."""
+def _beside(part: Node | str, least: float) -> bool:
+    """Whether something outside the best container belongs to the article."""
+    if isinstance(part, str):
+        return True
+    return not part.gone and part.chars > 0 and not _link_list(part) and (part.score >= least or _density(part) <= MOSTLY_LINKS)
+
+
+def _render(node: Node, out: list[str], best: Node, around: set[int], least: float) -> None:
+    """Blocks of the article in page order; each block with single spaces.
+
+    ``around`` holds the ids of the elements around the best container.
+    """
     piece: list[str] = []
 
     def flush():
@@ -186,22 +201,34 @@ def _render(node: Node, out: list[str]) -> None:
                 out.append(block)
             piece.clear()
 
-    stack: list[Node | str | None] = [node]
+    # With each part: 1 inside the best container, 2 if a heading is just before it, else 0.
+    # A whole page as the best container has its menus in it.
+    whole = best.tag not in ("", "html", "body")
+    stack: list[tuple[Node | str | None, int]] = [(node, 0)]
     while stack:
-        x = stack.pop()
+        x, place = stack.pop()
         if x is None:
             flush()
         elif isinstance(x, str):
             piece.append(x)
         elif x.tag == "br":
             piece.append(" ")
-        elif x.gone or x is not node and _link_list(x):
+        elif x.gone or x is not best and id(x) not in around and place < 2 and _link_list(x):
             continue
         else:
             if x.tag not in INLINE:
                 flush()
-                stack.append(None)
-            stack.extend(reversed(x.parts))
+                stack.append((None, 0))
+            inside = place > 0 or x is best and whole
+            parts = [p for p in x.parts if p is best or id(p) in around or _beside(p, least)] if id(x) in around else x.parts
+            placed, headed = [], False
+            for p in parts:
+                placed.append((p, inside + (inside and headed)))
+                if not isinstance(p, str):
+                    headed = p.tag in HEADINGS
+                elif p.strip():
+                    headed = False
+            stack.extend(reversed(placed))
     flush()
 
 
@@ -233,21 +260,12 @@ def main_text(html: str | None) -> str:
     for n in boxes:
         n.score *= 1 - _density(n)
     best = max(boxes, key=lambda n: n.score)
-    keep = [best]
-    if best.parent is not None:
-        least = max(10.0, 0.2 * best.score)
-        for part in best.parent.parts:
-            if isinstance(part, str) or part is best or part.gone or not part.chars:
-                continue
-            if part.tag == best.tag and part.score >= least:
-                keep.append(part)
-            elif part.tag == "p" and best.tag not in ("article", "main") and _density(part) < 0.25:
-                keep.append(part)
-    chosen = set(map(id, keep))
+    around, above = set(), best.parent
+    while above is not None:
+        around.add(id(above))
+        above = above.parent
     out: list[str] = []
-    for part in best.parent.parts if best.parent is not None else [best]:
-        if id(part) in chosen:
-            _render(part, out)
+    _render(tree.root, out, best, around, max(10.0, 0.2 * best.score))
     return " ".join(out)
 
 
