@@ -4,7 +4,8 @@ Template texts are cut to words; hashes of K-word runs are winnowed (Schleimer,
 Wilkerson and Aiken 2003) and indexed. Every K-word run of a document is looked up,
 so each indexed fingerprint that occurs is found. Hits on nearby diagonals make a
 candidate, which a banded alignment scores: matched words in order within BAND of
-the candidate's diagonals give coverage of the template and the matched span.
+the candidate's diagonals give coverage of the template and the matched span. Exact
+copies are taken first; hits outside accepted spans are aligned again until none passes.
 
 Defined results: a NULL or empty text has no matches; templates without words never
 match; a template found twice gives two rows; repeated rows match alike; an empty
@@ -82,6 +83,54 @@ def align(template: list[int], words: list[int], first: int, low: int, high: int
     return best[0], first + best[1], first + best[2]
 
 
+def chained(hits: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """Hits (diagonal, place) in chains whose diagonals have gaps of BAND at most."""
+    group: list[tuple[int, int]] = []
+    for h in sorted(hits):
+        if group and h[0] > group[-1][0] + BAND:
+            yield group
+            group = []
+        group.append(h)
+    if group:
+        yield group
+
+
+def copies(template: list[int], ids: list[int], hits: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(first, last, matched) of all copies, which do not overlap."""
+    n, out, work = len(template), [], []
+    end = 0
+    for d in sorted({d for d, _ in hits}):
+        if d >= end and ids[d : d + n] == template:
+            out.append((d, d + n - 1, n))
+            end = d + n
+    hits, at, low = sorted(hits, key=lambda h: h[1]), 0, 0
+    for first, last in [*[x[:2] for x in out], (len(ids), len(ids))]:
+        part = []
+        while at < len(hits) and hits[at][1] < first:
+            if hits[at][1] >= low:
+                part.append(hits[at])
+            at += 1
+        work += [(chain, low, first, True) for chain in chained(part)]
+        low = last + 1
+    # A chain is aligned whole, then in parts of bounded width, so that long rows of copies cost little.
+    width = 2 * n + 6 * BAND
+    while work:
+        chain, low, high, whole = work.pop()
+        top = chain[-1][0] if whole else min(chain[-1][0], chain[0][0] + width)
+        begin, end = max(low, chain[0][0] - BAND), min(high, top + BAND + n)
+        if end - begin < LEAST_COVERAGE * n:
+            matched = 0
+        else:
+            matched, a, b = align(template, ids[begin:end], begin, chain[0][0] - BAND - begin, top + BAND - begin)
+        if matched >= LEAST_COVERAGE * n:
+            out.append((a, b, matched))
+            work += [(c, low, a, False) for c in chained([h for h in chain if h[1] < a])]
+            work += [(c, b + 1, high, False) for c in chained([h for h in chain if h[1] > b])]
+        elif top < chain[-1][0]:
+            work.append((chain[1:], low, high, False))
+    return out
+
+
 class LicenseIndex:
     """Inverted index of winnowed template fingerprints."""
 
@@ -95,8 +144,11 @@ class LicenseIndex:
                 continue
             self.templates[name] = words
             runs = [tuple(words[i : i + K]) for i in range(max(1, len(words) - K + 1))]
-            for i in winnow([hash(r) for r in runs]):
+            for i in winnow([hash(r) for r in runs]) if len(words) > K + WINDOW else range(len(runs)):
                 self.postings[runs[i]].append((name, i))
+            if K < len(words) < 2 * K:  # one edited word may leave no K-word run
+                for i in sorted({0, len(words) - K + 1}):
+                    self.postings[tuple(words[i : i + K - 1])].append((name, i))
         self.starts = {run[0] for run in self.postings}
         self.short = sorted({len(run) for run in self.postings if len(run) < K})
 
@@ -119,20 +171,7 @@ class LicenseIndex:
         out = []
         for name, found in hits.items():
             template = self.templates[name]
-            found.sort()
-            group: list[tuple[int, int]] = []
-            spans = set()
-            for h in [*found, None]:
-                if group and (h is None or h[0] > group[-1][0] + BAND):
-                    low, high = group[0][0] - BAND, group[-1][0] + BAND
-                    begin = max(0, low)
-                    end = min(len(ids), high + len(template))
-                    matched, a, b = align(template, ids[begin:end], begin, low - begin, high - begin)
-                    if matched >= LEAST_COVERAGE * len(template):
-                        spans.add((a, b, matched))
-                    group = []
-                if h is not None:
-                    group.append(h)
+            spans = copies(template, ids, found)
             for a, b, matched in spans:
                 places = places or word_places(text)
                 out.append((name, places[a][0], places[b][1], matched, matched / len(template)))
