@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,19 +17,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    ``spark.checkpoint.dir`` decides the folder; only where it is unset (tests,
-    notebooks) is a folder of our own set.
+    Only in local mode (tests, notebooks) may it be unset; a folder of our own is set then.
     """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="fleetlens-shared-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder of the session."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="fleetlens-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and its path.
+
+    For loops: a checkpoint keeps the size that the optimizer estimated, and estimates of
+    joins multiply from turn to turn; a written table has the size of its files.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a written table, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def words(text: Column) -> Column:
     """Words of a text; no empty strings. NULL text gives no words."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

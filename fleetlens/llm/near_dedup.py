@@ -6,12 +6,14 @@ every register holds a smaller step; its signatures vary less than MinHash's. Ba
 of registers are bucket keys. Links are confirmed on full sets, groups come from
 union-find inside partitions and contraction across them.
 
-Buckets never emit all their pairs. Each bucket (split by set size, since linked
-sets differ little in size) first compares its members with two pivots, the
-member that meets most others and a random one. After grouping, only pairs of different
-groups are open. Rare shingles decide those: pairs that share one are listed from its
-short postings, pairs that share none are bounded by their common shingles, and the
-few that the bound leaves are compared across groups.
+Buckets never emit all their pairs. Buckets are split by set size, since linked sets
+differ little in size. In each of TURNS turns a member is compared with one pivot
+at most: over its buckets that still hold several groups, the member that meets most
+others, later a random one. So candidate links of a turn are no more than members.
+After that, only pairs of different groups in one bucket are open. Rare shingles
+decide those: pairs that share one are listed from its short postings, pairs that share
+none are bounded by their common shingles, and the few that the bound leaves are
+compared across groups.
 
 Defined results: a NULL or empty text, or one without words, is an empty set, linked
 with nothing; a text shorter than a shingle is one shingle; repeated rows and equal
@@ -28,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import checkpointed
+from fleetlens.llm.common import checkpointed, remove, written
 
 #: Bands and registers of a band: at similarity 0.8 a pair shares no band once in a million.
 BANDS, ROWS = 26, 4
@@ -43,6 +45,10 @@ CHUNK_ROWS = 256
 BROADCAST_KEYS = 500_000
 #: Open sets that may hold a shingle that still counts as rare.
 RARE = 64
+#: Edges that one union-find may end with: some 100 MB of a worker.
+FEW_EDGES = 500_000
+#: Turns in which each member of an open bucket is compared with one pivot, before pairs are decided.
+TURNS = 3
 #: Linked sets differ in size by a factor of 1.25 at most; a little more for rounding.
 SIZE_STEP = 1.26
 
@@ -186,26 +192,39 @@ def local_union_find(pairs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame([s for s in stars if s[0] != s[1]], columns=["a", "b"], dtype="int64")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
     """(id, label) of every id in ``edges`` (a, b): the label is one id of its group.
 
-    Each turn reduces every partition by union-find, points each vertex at its least
-    neighbour, and contracts. Nothing is collected; turns grow with the logarithm of
-    the longest chain.
+    Each turn reduces every partition by union-find, points each vertex at its first
+    neighbour in a random order of the turn, follows that twice, and contracts. A random
+    order leaves a constant share of the vertices of any graph, so turns grow with the
+    logarithm of its size, chains of ordered ids included. Nothing is collected; the
+    last ``few`` edges at most end in one task.
     """
-    edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")
-    edges = checkpointed(edges.mapInPandas(local_union_find, "a long, b long").distinct())
-    labels = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("label", F.col("id"))
-    while not edges.isEmpty():
-        point = edges.select("a", "b").union(edges.select("b", "a")).groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("x"), F.least("a", "b").alias("y"))
-        hop = point.select(F.col("x").alias("y"), F.col("y").alias("z"))
-        point = checkpointed(point.join(hop, "y", "left").select("x", F.coalesce("z", "y").alias("y")))
-        labels = checkpointed(labels.join(point, labels.label == point.x, "left").select("id", F.coalesce("y", "label").alias("label")))
-        ends = edges.join(point, edges.a == point.x).select(F.col("y").alias("a"), "b")
-        ends = ends.join(point, ends.b == point.x).select("a", F.col("y").alias("b"))
-        edges = checkpointed(
-            ends.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).mapInPandas(local_union_find, "a long, b long").distinct()
-        )
+    spark = edges.sparkSession
+    tidy = lambda e: e.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).mapInPandas(local_union_find, "a long, b long").distinct()
+    edges, edges_at = written(tidy(edges))
+    labels, labels_at = written(edges.select("a").union(edges.select("b")).distinct().select(F.col("a").alias("id"), F.col("a").alias("label")))
+    turn = 0
+    while (left := edges.limit(few + 1).count()) > few:
+        rank = lambda v: F.struct(F.xxhash64(F.lit(turn), v).alias("h"), F.col(v).alias("v"))  # noqa: B023, E731
+        both = edges.select("a", "b").union(edges.select("b", "a"))
+        first = both.groupBy("a").agg(F.min(rank("b")).alias("m")).select(F.col("a").alias("x"), F.least("m", rank("a"))["v"].alias("y"))
+        hop = first.select(F.col("x").alias("y"), F.col("y").alias("z"))
+        point = _small(checkpointed(first.join(hop, "y").select("x", F.col("z").alias("y"))))
+        new_labels, new_labels_at = written(labels.join(point, F.col("label") == F.col("x"), "left").select("id", F.coalesce("y", "label").alias("label")))
+        ends = edges.join(point, F.col("a") == F.col("x")).select(F.col("y").alias("a"), "b")
+        new_edges, new_edges_at = written(tidy(ends.join(point, F.col("b") == F.col("x")).select("a", F.col("y").alias("b"))))
+        remove(spark, labels_at)
+        remove(spark, edges_at)
+        (labels, labels_at), (edges, edges_at) = (new_labels, new_labels_at), (new_edges, new_edges_at)
+        turn += 1
+    if left:
+        star = edges.coalesce(1).mapInPandas(local_union_find, "a long, b long")
+        point = _small(checkpointed(star.select(F.col("b").alias("x"), F.col("a").alias("y"))))
+        last_at, (labels, _) = labels_at, written(labels.join(point, F.col("label") == F.col("x"), "left").select("id", F.coalesce("y", "label").alias("label")))
+        remove(spark, last_at)
+    remove(spark, edges_at)
     return labels
 
 
@@ -229,7 +248,7 @@ def _confirm(pairs: DataFrame, sig: DataFrame, sets: DataFrame) -> DataFrame:
         .select("a", "b", "na", "nb")
     )
     near = checkpointed(near)
-    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = checkpointed(near.select(F.col("a").alias("id")).union(near.select("b")).distinct())
     full = sets.join(_small(ids), "id", "left_semi")
     return (
         near.join(full.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a")
@@ -240,6 +259,17 @@ def _confirm(pairs: DataFrame, sig: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (id, label) after new ``links`` (a, b) between ids."""
+    at = lambda end: labels.select(F.col("id").alias(end), F.col("label").alias(f"l{end}"))
+    more = links.join(at("a"), "a", "left").join(at("b"), "b", "left")
+    merged = components(more.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    # One label may hold a third of all sets: the renaming is broadcast, or the join split where skewed.
+    renamed = _small(checkpointed(merged.select(F.col("id").alias("label"), F.col("label").alias("to"))))
+    kept = labels.join(renamed, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
+    return written(kept.union(merged.join(labels, "id", "left_anti").select("id", "label")))[0]
+
+
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(id, members) of candidate nodes, from one row of each."""
     keys = wanted.select(F.col("rep").alias("_rep"), "id", F.col("node").alias("_node"))
@@ -264,9 +294,11 @@ def _named(narrow: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
         .withColumn("id", F.monotonically_increasing_id())
     )
     labels = _labels(narrow, nodes, size)
-    placed = nodes.select("node", "id", "rep", "least").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    groups = placed.groupBy("label").agg(F.min("rep").alias("component_id"), F.min("least").alias("keeper"))
-    return sketched, placed.select("node", "label").join(groups, "label").select("node", "component_id", "keeper")
+    linked = nodes.join(labels, "id")
+    names = checkpointed(linked.groupBy("label").agg(F.min("rep").alias("component_id"), F.min("least").alias("keeper")))
+    heads = labels.join(_small(names), "label").select("id", "component_id", "keeper")
+    found = nodes.join(heads, "id", "left")
+    return sketched, found.select("node", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("keeper", "least").alias("keeper"))
 
 
 def near_duplicate_groups(docs: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -293,30 +325,27 @@ def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     shared = checkpointed(entries.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket"))
     step = F.floor(F.log("n") / F.log(F.lit(SIZE_STEP)))
     sized = entries.join(_small(shared), "bucket").select("id", "n", F.explode(F.array(F.xxhash64("bucket", step), F.xxhash64("bucket", step + 1))).alias("key"))
-    met = sized.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    members = checkpointed(sized.join(met, "key").select("key", "id", "n", "c"))
+    met = checkpointed(sized.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
+    members = checkpointed(sized.join(met, "key").select("key", "id", "n", F.col("id").alias("label")))
 
-    meets = members.groupBy("id").agg(F.sum("c").alias("degree"))
+    meets = checkpointed(members.join(met, "key").groupBy("id").agg(F.sum("c").alias("degree")))
     wanted = checkpointed(nodes.join(meets.select("id"), "id"))
     sets = _candidate_sets(docs, wanted, size)
     facts = wanted.select("id", "n", "sig")
-    pivots = checkpointed(
-        members.join(meets, "id")
-        .groupBy("key", "c")
-        .agg(F.max(F.struct("degree", F.xxhash64("id"), "id")).alias("p"), F.max(F.struct(F.xxhash64("id"), "id")).alias("q"), F.min(F.struct(F.xxhash64("id"), "id")).alias("r"))
-        .select("key", "c", F.array_distinct(F.array("p.id", "q.id", "r.id")).alias("pivots"))
-    )
-    each = pivots.select("key", F.explode("pivots").alias("pivot"))
-    pairs = members.join(each, "key").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    labels = components(_confirm(pairs, facts, sets))
-
-    # Where all members but one are pivots, every pair has been compared.
-    unsettled = pivots.where("c > size(pivots) + 1").select("key")
-    grouped = members.select("key", "id", "n").join(unsettled, "key", "left_semi").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    split = grouped.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    opened = checkpointed(grouped.join(split, "key"))
-    if opened.isEmpty():
-        return labels
+    labels = checkpointed(facts.select("id", F.col("id").alias("label")).limit(0))
+    opened = members
+    for turn in range(TURNS):
+        # First the member that meets most others, then random ones.
+        rank = F.col("degree") if turn == 0 else F.lit(0)
+        pivots = checkpointed(opened.join(meets, "id").groupBy("key").agg(F.max(F.struct(rank, F.xxhash64(F.lit(turn), "id"), "id", "label")).alias("p")))
+        choice = opened.join(pivots, "key").where("label <> p.label").groupBy("id").agg(F.max("p").alias("p"))
+        pairs = choice.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+        labels = _merged(labels, _confirm(pairs, facts, sets))
+        named = members.select("key", "id", "n").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        split = checkpointed(named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key"))
+        opened = checkpointed(named.join(split, "key"))
+        if opened.isEmpty():
+            return labels
     # A shingle of at most RARE open sets is rare. Sets that share no rare shingle share at
     # most the common ones of either; a link of sizes n and m shares 4 / 9 of n + m or more.
     spread = sets.join(opened.select("id").distinct(), "id", "left_semi").select("id", F.explode("members").alias("x"))
@@ -339,10 +368,4 @@ def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     who = placed.groupBy("id").agg(F.first("n").alias("n"), F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("outside"))
     posted = places.select(F.col("x").alias("shingle"), "id").join(who, "id")
     by_rare = posted.where("outside").alias("x").join(posted.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & F.expr(apart)).select(*ends)
-    more = _confirm(by_common.union(by_rare).distinct(), facts, sets)
-    # Contract the new links by the groups there are, then name groups anew.
-    more = more.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
-    merged = components(more.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-    renamed = merged.select(F.col("id").alias("label"), F.col("label").alias("to"))
-    kept = labels.join(renamed, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
-    return kept.union(merged.join(labels, "id", "left_anti").select("id", "label"))
+    return _merged(labels, _confirm(by_common.union(by_rare).distinct(), facts, sets))

@@ -95,6 +95,29 @@ def test_components(spark):
     assert near_dedup.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_of_an_ordered_chain(spark, monkeypatch):
+    turns = []
+    monkeypatch.setattr(near_dedup, "checkpointed", lambda df, f=near_dedup.checkpointed: turns.append(1) or f(df))
+    n = 5000
+    chain = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(200, F.xxhash64("a"))
+    got = near_dedup.components(chain, few=0)
+    assert got.count() == n and got.select("label").distinct().count() == 1
+    assert len(turns) <= 14  # about log2 of the length
+    assert near_dedup.components(chain).select("label").distinct().count() == 1
+
+
+def test_candidate_links_are_no_more_than_members(spark, monkeypatch):
+    """Links offered for a hot group grow with its members, not with its pairs."""
+    seen = []
+    monkeypatch.setattr(near_dedup, "_confirm", lambda pairs, *a, f=near_dedup._confirm: seen.append(pairs.count()) or f(pairs, *a))
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+    docs = [(i, " ".join([*base[: i % 140], f"z{i}", *base[i % 140 :]])) for i in range(400)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = near_dedup.near_duplicate_groups(frame, size=4).select("component_id").distinct().collect()
+    assert [r.component_id for r in got] == [0] and sum(seen) <= 2 * len(docs)
+
+
 def test_query_equals_all_pairs(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     want = {i: (n, c) for i, n, c in plain_groups(docs, 4)}
