@@ -5,23 +5,25 @@ two word sequences to Hamming distance; repeated samples of embedded positions a
 the keys of a hash index of the items, and windows of an item's size are looked up
 in it (as in EmbedJoin, Zhang and Zhang 2017). Every hit is verified by an exact
 edit distance. Windows are hashed where they can match at all: ``k`` edits destroy
-at most ``2 k`` of an item's word pairs, so a window with fewer of them is skipped
-without loss. Walks fall out of step as items grow, so items of more than WALK_WORDS
-words have no walks: every window that the pairs leave is verified.
+at most ``2 k`` of an item's word pairs, so a window with fewer of them, or fewer
+different ones, is skipped without loss. Walks fall out of step as items grow, so items of more than WALK_WORDS
+words have no walks: every window that the pairs leave is verified. Each occurrence of
+an item is a match of its own; occurrences of one item do not overlap.
 
 A document contains an item of n words if some run of its words is within
 ``floor(n * (1 - SIMILARITY))`` word edits of the item. Words are runs of letters,
 digits and non-ASCII characters, in lower case.
 
 Defined results: a NULL or empty text contains nothing; items of fewer than
-MIN_WORDS words or with a NULL id never match; items with equal texts all match; repeated rows match
-alike; empty tables give empty results; other columns are ignored.
+MIN_WORDS words or with a NULL id never match; ids may be of any type; items with equal
+texts all match; repeated rows match alike; empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -39,7 +41,7 @@ WALK_WORDS = 63
 ITEMS_A_PASS = 20_000
 
 _BREAKS = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
-MATCH = "array<struct<item_id:long,start_word:int,end_word:int,distance:int>>"
+MATCH = "array<struct<item_id:{},start_word:int,end_word:int,distance:int>>"
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -85,20 +87,26 @@ class Walks:
             self._make()
         count, n = windows.shape
         steps = np.random.default_rng(n).integers(0, _last_step(n) + 1, size=(REPEATS, SAMPLED))
+        # Repeats by their last sampled step, so that those still walking are the first columns.
+        order = np.argsort(-steps.max(axis=1), kind="stable")
+        steps = steps[order]
+        last = steps.max(axis=1)
         pad = self.words + 1
         padded = np.concatenate([np.where(windows < 0, self.words, windows), np.full((count, 1), pad, dtype=np.int64)], axis=1).ravel()
-        base = (np.arange(count, dtype=np.int64) * (n + 1))[:, None]
-        turn = np.arange(REPEATS, dtype=np.int64)[None, :]
-        at = np.zeros((count, REPEATS), dtype=np.int64)
+        stop = (np.arange(1, count + 1, dtype=np.int64) * (n + 1) - 1)[:, None]
+        at = np.repeat(stop - n, REPEATS, axis=1)
         taken = np.empty((count, REPEATS, SAMPLED), dtype=np.uint64)
-        for j in range(int(steps.max()) + 1):
-            word = padded.take(base + at)
-            r, s = np.nonzero(steps == j)
+        for j in range(int(last[0]) + 1):
+            walking = int(np.searchsorted(-last, -j, side="right"))
+            at = at[:, :walking]
+            word = padded.take(at)
+            r, s = np.nonzero(steps[:walking] == j)
             if len(r):
                 taken[:, r, s] = word[:, r]
-            at += self._bits[j].take(word * REPEATS + turn)
-            np.minimum(at, n, out=at)
-        keys = np.broadcast_to(np.arange(1, REPEATS + 1, dtype=np.uint64), (count, REPEATS))
+            word *= REPEATS
+            word += order[:walking]
+            at = np.minimum(at + self._bits[j].take(word), stop)
+        keys = np.broadcast_to(order.astype(np.uint64) + np.uint64(1), (count, REPEATS))
         with np.errstate(over="ignore"):
             for s in range(SAMPLED):
                 keys = _mix(keys * np.uint64(0x100000001B3) + taken[:, :, s] + np.uint64(1))
@@ -162,7 +170,6 @@ class ItemIndex:
                 same[tuple(self.vocab.setdefault(w, len(self.vocab)) for w in words)].append(item_id)
         self.items = [(list(words), sorted(ids)) for words, ids in sorted(same.items())]
         by_pair: dict[int, set[int]] = defaultdict(set)
-        self.table: dict[int, dict[int, list[int]]] = {}
         by_size: dict[int, list[int]] = defaultdict(list)
         for k, (words, _) in enumerate(self.items):
             if len(words) <= WALK_WORDS:
@@ -170,17 +177,23 @@ class ItemIndex:
             for a, b in zip(words, words[1:]):
                 by_pair[(a << 32) | b].add(k)
         self.pairs = np.array(sorted(by_pair), dtype=np.int64)
-        self.pair_items = [np.array(sorted(by_pair[p])) for p in self.pairs.tolist()]
+        # The items of pair p are pair_items[pair_from[p] : pair_from[p + 1]].
+        self.pair_items = np.array([k for p in self.pairs.tolist() for k in sorted(by_pair[p])], dtype=np.int64)
+        self.pair_from = np.cumsum([0, *(len(by_pair[p]) for p in self.pairs.tolist())])
+        sizes = np.array([len(words) for words, _ in self.items], dtype=np.int64)
+        self.need = np.array([max(1, n - 1 - 2 * edits_allowed(n)) for n in sizes.tolist()], dtype=np.int64)
+        kinds = np.bincount(self.pair_items, minlength=len(sizes)).tolist()
+        self.need_kinds = np.array([max(1, d - 2 * edits_allowed(n)) for d, n in zip(kinds, sizes.tolist())], dtype=np.int64)
         self.walks = Walks(len(self.vocab), max(by_size, default=1))
+        #: For each size, the keys in order and the item of each.
+        self.table: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for n, members in by_size.items():
-            index: dict[int, list[int]] = defaultdict(list)
-            for k, keys in zip(members, self.walks.keys(np.array([self.items[k][0] for k in members], dtype=np.int64)).tolist()):
-                for key in keys:
-                    index[key].append(k)
-            self.table[n] = index
-
-    def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item id, first word, word after the last, edits) of every contained item."""
+            keys = self.walks.keys(np.array([self.items[k][0] for k in members], dtype=np.int64)).ravel()
+            order = np.argsort(keys, kind="stable")
+            self.table[n] = keys[order], np.repeat(np.array(members), REPEATS)[order]
+
+    def matches(self, text: str | None) -> list[tuple]:
+        """(item id, first word, word after the last, edits) of every occurrence of every item."""
         words = split_words(text)
         if len(words) < MIN_WORDS - 1 or not self.items:
             return []
@@ -195,59 +208,118 @@ class ItemIndex:
         at, which = both[hit], where[hit]
         if len(at) < (MIN_WORDS - 1) - 2 * edits_allowed(MIN_WORDS):
             return []
-        places: dict[int, list[np.ndarray]] = defaultdict(list)
-        order = np.argsort(which, kind="stable")
-        cuts = np.flatnonzero(np.diff(which[order])) + 1
-        for part in np.split(order, cuts):
-            for k in self.pair_items[which[part[0]]].tolist():
-                places[k].append(at[part])
+        # Every place of a pair once for each item that has the pair, grouped by item, places in order.
+        many = self.pair_from[which + 1] - self.pair_from[which]
+        begin = np.cumsum(many) - many
+        item_of = self.pair_items[np.arange(int(many.sum())) + np.repeat(self.pair_from[which] - begin, many)]
+        order = np.argsort(item_of, kind="stable")
+        item_of, at, which = item_of[order], np.repeat(at, many)[order], np.repeat(which, many)[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(item_of)) + 1, [len(item_of)]])
+        enough = np.flatnonzero(np.diff(cuts) >= self.need[item_of[cuts[:-1]]])
+        open_at: dict[int, dict[int, np.ndarray]] = defaultdict(dict)
+        for c in enough.tolist():
+            k = int(item_of[cuts[c]])
+            starts = self._starts(k, at[cuts[c] : cuts[c + 1]], which[cuts[c] : cuts[c + 1]])
+            if len(starts):
+                open_at[len(self.items[k][0])][k] = starts
         out = []
-        for k, parts in places.items():
-            item, item_ids = self.items[k]
-            n = len(item)
-            allowed = edits_allowed(n)
-            need = max(1, n - 1 - 2 * allowed)
-            if sum(map(len, parts)) < need:
-                continue
-            hits = np.sort(np.concatenate(parts))
-            # Window starts p with enough pairs in [p, p + n + allowed).
-            before = np.zeros(len(words) + 1, dtype=np.int64)
-            before[hits + 1] = 1
-            np.cumsum(before, out=before)
-            starts = np.arange(len(words))
-            count = before[np.minimum(starts + n + allowed, len(words))] - before[starts]
-            starts = starts[count >= need]
-            if not len(starts):
-                continue
-            found = starts.tolist() if n > WALK_WORDS else self._met(k, n, ids, starts)
-            region: list[int] = []
-            for p in [*found, None]:
-                if region and (p is None or p > region[-1] + n + allowed):
-                    lo, hi = max(0, region[0] - allowed), min(len(words), region[-1] + n + 2 * allowed)
-                    edits, first, last = best_fit_long(item, ids[lo:hi].tolist(), allowed) if n > WALK_WORDS else best_fit(item, ids[lo:hi].tolist())
-                    if edits <= allowed:
-                        out += [(item_id, lo + first, lo + last, edits) for item_id in item_ids]
-                    region = []
-                if p is not None:
-                    region.append(p)
-        return sorted(out)
+        for n, starts in open_at.items():
+            found = starts if n > WALK_WORDS else self._met(n, ids, starts)
+            for k, places in found.items():
+                out += [(i, *o) for o in self._occurrences(k, ids, places) for i in self.items[k][1]]
+        return sorted(out, key=lambda m: (str(m[0]), m[1:]))
 
-    def _met(self, k: int, n: int, ids: np.ndarray, starts: np.ndarray) -> list[int]:
-        """The starts whose window shares a key with item ``k`` of ``n`` words."""
+    def _starts(self, k: int, hits: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Starts p whose window [p, p + n + allowed) has enough pairs of item ``k``, and enough different ones.
+
+        ``hits`` are the places of its pairs, ``kinds`` tells which pair stands there.
+        """
+        n, need = len(self.items[k][0]), int(self.need[k])
+        low = np.maximum(hits[need - 1 :] - (n + edits_allowed(n)) + 1, 0)
+        high = hits[: len(hits) - need + 1]
+        fits = low <= high
+        low, high = low[fits], high[fits]
+        if not len(low):
+            return low
+        # Both bounds rise, so each interval begins after the one before.
+        low = np.maximum(low, np.concatenate([[0], high[:-1] + 1]))
+        size = np.maximum(high - low + 1, 0)
+        starts = np.arange(int(size.sum())) + np.repeat(low - (np.cumsum(size) - size), size)
+        # Of these, the ones with enough different pairs: a pair counts where it stands first in the window.
+        order = np.argsort(kinds, kind="stable")
+        again = kinds[order[1:]] == kinds[order[:-1]]
+        before = np.full(len(hits), -1, dtype=np.int64)
+        before[order[1:][again]] = hits[order[:-1][again]]
+        new = np.zeros(len(starts), dtype=np.int64)
+        at = np.searchsorted(hits, starts)
+        end = np.searchsorted(hits, starts + (n + edits_allowed(n)))
+        for _ in range(int((end - at).max(initial=0))):
+            new += (at < end) & (before[np.minimum(at, len(hits) - 1)] < starts)
+            at += 1
+        return starts[new >= self.need_kinds[k]]
+
+    def _met(self, n: int, ids: np.ndarray, starts: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+        """For each item of ``n`` words, those of its starts whose window shares a key with it.
+
+        A window that several items ask for is walked once.
+        """
         ext = np.concatenate([ids, np.full(n, -1, dtype=np.int64)])
-        index = self.table[n]
-        found = []
-        for i in range(0, len(starts), 4096):
-            block = starts[i : i + 4096]
-            keys = self.walks.keys(ext[block[:, None] + np.arange(n)])
-            found += [p for p, row in zip(block.tolist(), keys.tolist()) if any(k in index.get(key, ()) for key in row)]
-        return found
+        keys_in_order, items = self.table[n]
+        asked = np.unique(np.concatenate(list(starts.values())))
+        met: list[np.ndarray] = []
+        for i in range(0, len(asked), 4096):
+            block = asked[i : i + 4096]
+            keys = self.walks.keys(ext[block[:, None] + np.arange(n)]).ravel()
+            first = np.searchsorted(keys_in_order, keys)
+            equal = np.flatnonzero(keys_in_order[np.minimum(first, len(items) - 1)] == keys)
+            if len(equal):
+                lo, hi = first[equal], np.searchsorted(keys_in_order, keys[equal], side="right")
+                run = np.arange(int((hi - lo).sum())) + np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo)
+                met.append(np.stack([items[run], np.repeat(block[equal // REPEATS], hi - lo)]))
+        if not met:
+            return {}
+        pairs = np.concatenate(met, axis=1)
+        return {k: p for k, s in starts.items() if len(p := np.intersect1d(pairs[1, pairs[0] == k], s))}
+
+    def _occurrences(self, k: int, ids: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int]]:
+        """(first word, word after the last, edits) of occurrences that do not overlap.
+
+        Starts within an item's size of the first make one search; its best fit is taken,
+        then what lies before it, then the starts after it. Each search is bounded by the
+        item, so any number of copies costs time in proportion.
+        """
+        item = self.items[k][0]
+        n, allowed = len(item), edits_allowed(len(item))
+        out, done, i = [], 0, 0
+        while i < len(places):
+            p = int(places[i])
+            j = int(np.searchsorted(places, p + n, side="right"))
+            low, high = max(done, p - allowed), min(len(ids), int(places[j - 1]) + n + 2 * allowed)
+            taken = None
+            while high - low >= n - allowed:
+                part = ids[low:high].tolist()
+                exact = next((q for q in (places[i:j] - low).tolist() if q >= 0 and part[q : q + n] == item), None)
+                if exact is not None:
+                    edits, first, last = 0, exact, exact + n
+                else:
+                    edits, first, last = best_fit_long(item, part, allowed) if n > WALK_WORDS else best_fit(item, part)
+                if edits > allowed:
+                    break
+                out.append((low + first, low + last, edits))
+                taken = taken or low + last
+                high = low + first
+            if taken:
+                done = taken
+                i = max(i + 1, int(np.searchsorted(places, done - allowed)))
+            else:
+                i = j
+        return sorted(out)
 
 
-def match_column(index: ItemIndex, text: Column) -> Column:
+def match_column(index: ItemIndex, text: Column, id_type: str = "bigint") -> Column:
     """Contained items of every text, as array<struct<item_id,start_word,end_word,distance>>."""
 
-    @F.pandas_udf(MATCH)
+    @F.pandas_udf(MATCH.format(id_type))
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = ("item_id", "start_word", "end_word", "distance")
         for part in parts:
@@ -256,16 +328,38 @@ def match_column(index: ItemIndex, text: Column) -> Column:
     return run(text)
 
 
+def _blocks(items: DataFrame, item_key: str, item_text: str) -> Iterator[ItemIndex]:
+    """Indexes of about ITEMS_A_PASS items each; there is one at least."""
+    wanted = items.select(F.col(item_key).alias("i"), F.col(item_text).alias("t"))
+    blocks = -(-wanted.count() // ITEMS_A_PASS) or 1
+    for b in range(blocks):
+        yield ItemIndex([(r.i, r.t) for r in wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()])
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> Column:
-    """Column of all matches; items beyond ITEMS_A_PASS are searched in blocks.
+    """Column of all matches. One worker holds the indexes of all items: for benchmarks of bounded size."""
+    kind = items.schema[item_key].dataType.simpleString()
+    found = [match_column(index, docs[text], kind) for index in _blocks(items, item_key, item_text)]
+    return found[0] if len(found) == 1 else F.flatten(F.array(*found))
+
 
-    Each block has at most about ITEMS_A_PASS items, which bounds what the driver
-    reads and every task holds at a time.
+def leak_rows(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(key, item_id, start_word, end_word, distance) of every match.
+
+    Each block of items is a pass of its own over the documents, so the driver and a
+    task hold one index of about ITEMS_A_PASS items at a time, however many there are.
     """
-    wanted = items.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t"))
-    blocks = -(-wanted.count() // ITEMS_A_PASS) or 1
-    found = []
-    for b in range(blocks):
-        rows = wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()
-        found.append(match_column(ItemIndex([(r.i, r.t) for r in rows]), docs[text]))
-    return found[0] if blocks == 1 else F.flatten(F.array(*found))
+    kind = items.schema[item_key].dataType.simpleString()
+    passes = [
+        docs.select(F.col(key), F.explode_outer(match_column(index, docs[text], kind)).alias("_match")).where("_match is not null").select(key, "_match.*")
+        for index in _blocks(items, item_key, item_text)
+    ]
+    return reduce(DataFrame.unionAll, passes)
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose text contains no item, a filter for each block of items."""
+    for index in _blocks(items, item_key, item_text):
+        row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+        docs = docs.select(row, match_column(index, docs[text], items.schema[item_key].dataType.simpleString()).alias("leaks")).where(F.size("leaks") == 0).select("row.*")
+    return docs

@@ -13,7 +13,7 @@ from fleetlens.llm.common import table
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
-    return out.where("row.text is not null").select("row.doc_id", "n_lines", "n_removed", "row.text")
+    return out.select("row.doc_id", "n_lines", "n_removed", "row.text")
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,9 +34,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = docs.select("doc_id", decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).alias("m"))
-    return found.select("doc_id", F.explode_outer("m").alias("m")).where("m is not null").select("doc_id", "m.*")
+    return decontaminate.leak_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +64,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     base = F.concat(*map(pii.as_spans, pii.KINDS[:4]))
-    counts = [F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS[:4]]
+    every = F.concat(base, pii.as_spans("found"))
+    counts = [F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select(
-        "doc_id", *counts, F.sha2(pii.span_text(base), 256).alias("base_sha256"), pii.span_text(F.concat(base, pii.as_spans("found"))).alias("spans")
+        "doc_id", *counts[:4], F.sha2(pii.span_text(base), 256).alias("base_sha256"), pii.span_text(every).alias("spans"), counts[4], F.size(every).cast("long").alias("n_spans")
     )
 
 

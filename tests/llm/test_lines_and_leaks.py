@@ -57,6 +57,36 @@ def test_line_dedup_odd_rows(spark):
     assert line_dedup.cleaned_documents(frame.limit(0)).collect() == []
 
 
+def test_text_of_many_lines(spark):
+    """Twice the lines cost about twice the time: no array is searched for each line."""
+    import time
+
+    def seconds(n):
+        rows = [(0, f"{'s' * 200}", "z")] + [(i, "\n".join(f"line {j}" for j in range(n)), f"site {i}") for i in range(1, 3)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, source string").cache()
+        frame.count()
+        began = time.time()
+        got = line_dedup.remove_boilerplate(frame, min_sites=2).select("row.doc_id", "n_removed", "row.text").collect()
+        assert {(r.doc_id, r.n_removed, len(r.text) > 0) for r in got} == {(0, 0, True), (1, 0, True), (2, n, False)}
+        return time.time() - began
+
+    seconds(1000)
+    small = seconds(200_000)
+    assert seconds(400_000) < 2.5 * small + 3
+
+
+def test_null_texts_are_rows(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, None if i % 4 == 0 else f"Same line\nown {i}\n", f"s{i % 6}") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, op1_line_dedup(spark, str(tmp_path)).select("doc_id", "n_lines", "n_removed", "text").collect()))
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(db.execute(f"select doc_id, n_lines, n_removed, text from ({line_dedup.ORACLE})").fetchall())
+    assert got == want and len(got) == 40 and sum(r[2] for r in got) == 29
+
+
 def plain_distance(item, words):
     row = [0] * (len(words) + 1)
     for i, x in enumerate(item, 1):
@@ -114,6 +144,29 @@ def test_leaks_odd_rows(spark, monkeypatch):
     assert docs.limit(0).select(decontaminate.find_leaks(docs, items)).collect() == []
 
 
+def test_every_occurrence_is_a_match():
+    rng = random.Random(6)
+    item = [f"w{rng.randrange(500)}" for _ in range(30)]
+    edited = [*item[:10], "zz", *item[11:25], *item[26:]]
+    index = decontaminate.ItemIndex([("a", " ".join(item)), ("b", " ".join(item))])
+    words = [*item, *item, *edited, "x", "y", "z", *item, *edited]
+    found = index.matches(" ".join(words))
+    assert [m[1:] for m in found if m[0] == "a"] == [m[1:] for m in found if m[0] == "b"] == [(0, 30, 0), (30, 60, 0), (60, 89, 2), (92, 122, 0), (122, 151, 2)]
+    assert len(index.matches(" ".join(item * 500))) == 1000
+
+
+def test_ids_of_any_type_and_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "x one two three four five six y", 0), (2, None, 0), (3, "none of it here at all", 0)], "doc_id long, text string, leaks int")
+    items = spark.createDataFrame([("q-1", "One two three four five six"), ("q-2", "two three four five six y"), ("q-3", "other words stand here and there")], "item_id string, text string")
+    rows = decontaminate.leak_rows(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in rows) == [(1, "q-1", 0), (1, "q-2", 0)]
+    monkeypatch.setattr(decontaminate, "ITEMS_A_PASS", 1)
+    assert sorted(map(str, decontaminate.leak_rows(docs, items).collect())) == sorted(map(str, rows))
+    left = decontaminate.without_leaks(docs, items)
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [2, 3]
+    assert decontaminate.leak_rows(docs, items.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("n", [15, 37, 59])
 def test_embedding_recall_at_threshold(n):
     rng = random.Random(n)
