@@ -1,13 +1,13 @@
 """Removal of boilerplate lines that spread over many sites.
 
-Each distinct line of a document is keyed by the MD5 of its trimmed text. One
-aggregate merges a HyperLogLog sketch of sites for each line. Lines whose estimate
+Each line of a document is keyed by the MD5 of its trimmed text. One aggregate over
+lines and sites is staged; sketches of sites, HyperLogLog, are merged from it for each line. Lines whose estimate
 is near the threshold get an exact distinct count of sites, so the sketch's error
 decides nothing. A line found on ``min_sites`` sites or more is boilerplate: its
 first document (least key) keeps it, all others lose it, so no passage leaves the
 corpus and groups of copies keep one carrier.
 
-Defined results: a NULL text has no lines and stays NULL; blank lines always stay;
+Defined results: a NULL text has no lines, stays NULL and loses none; blank lines always stay;
 a NULL site is one site of its own; a row with a NULL key is no line's first
 carrier unless no row with the line has a key; repeated rows change alike; an empty
 table gives an empty result; other columns are kept as they are.
@@ -15,7 +15,7 @@ table gives an empty result; other columns are kept as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import checkpointed, key_text
@@ -32,31 +32,35 @@ _KEY = "unhex(md5(trim(BOTH ' \\t\\r' FROM {x})))"
 _HAS_TEXT = "length(trim(BOTH ' \\t\\r' FROM {x})) > 0"
 
 
-def _occurrences(docs: DataFrame, key: str, site: str, text: str) -> DataFrame:
-    lines = f"array_distinct(transform(filter({_LINES.format(t='_text')}, x -> {_HAS_TEXT.format(x='x')}), x -> {_KEY.format(x='x')}))"
-    return (
-        docs.select(F.col(key).alias("_doc"), key_text(F.col(site)).alias("_site"), F.col(text).alias("_text"))
-        # The outer form: for the inner one Catalyst adds a filter that works out the array again.
-        .select("_doc", "_site", F.explode_outer(F.expr(lines)).alias("_line"))
-        .where("_line is not null")
-    )
+def _occurrences(docs: DataFrame, key: str, site: str, text: str, *more: Column) -> DataFrame:
+    """A row for each line with text: _doc, _site, what ``more`` adds, _at (place from 0), _line."""
+    keys = f"transform({_LINES.format(t='_text')}, x -> if({_HAS_TEXT.format(x='x')}, {_KEY.format(x='x')}, null))"
+    head = docs.select(F.col(key).alias("_doc"), key_text(F.col(site)).alias("_site"), *more, F.col(text).alias("_text"))
+    # The outer form: for the inner one Catalyst adds a filter that works out the array again.
+    return head.select(*[c for c in head.columns if c != "_text"], F.posexplode_outer(F.expr(keys)).alias("_at", "_line")).where("_line is not null")
+
+
+def line_sites(docs: DataFrame, key: str = "doc_id", site: str = "source", text: str = "text") -> DataFrame:
+    """(_line, _site, _first) for each line and site, staged: the one table that sketches and counts read."""
+    found = _occurrences(docs, key, site, text)
+    return checkpointed(found.groupBy("_line", "_site").agg(F.min("_doc").alias("_first")))
 
 
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", site: str = "source", text: str = "text") -> DataFrame:
     """Lines on ``min_sites`` sites or more: (_line, _first, sites as estimated or counted)."""
-    found = _occurrences(docs, key, site, text)
+    found = line_sites(docs, key, site, text)
     margin = max(1.0, MARGIN * min_sites)
     spread = (
         found.groupBy("_line")
-        .agg(F.hll_sketch_agg("_site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min("_doc").alias("_first"), F.count("*").alias("n"))
+        .agg(F.hll_sketch_agg("_site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min("_first").alias("_first"), F.count("*").alias("n"))
+        # Fewer rows than sites wanted need no sketch to be told apart.
         .where(F.col("n") >= min_sites)
         .select("_line", "_first", F.hll_sketch_estimate("sketch").alias("sites"))
         .where(F.col("sites") >= min_sites - margin)
     )
-    near = spread.where(F.col("sites") <= min_sites + margin)
-    # Sites are made distinct before the join, so a line on a third of all rows brings a row for each site.
-    sites = found.select("_line", "_site").distinct()
-    exact = sites.join(near.select("_line"), "_line", "left_semi").groupBy("_line").agg(F.count("*").alias("counted"))
+    spread = checkpointed(spread)
+    near = spread.where(F.col("sites") <= min_sites + margin).select("_line")
+    exact = found.join(_small(near), "_line", "left_semi").groupBy("_line").agg(F.count("*").alias("counted"))
     return (
         spread.join(exact, "_line", "left")
         .withColumn("sites", F.coalesce("counted", "sites"))
@@ -65,30 +69,40 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id"
     )
 
 
+def _small(lines: DataFrame) -> DataFrame:
+    """``lines`` with a broadcast hint where a count shows that they are few; staged tables only."""
+    return F.broadcast(lines) if lines.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES else lines
+
+
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", site: str = "source", text: str = "text") -> DataFrame:
     """``docs`` with boilerplate lines gone from the text column, and two counts.
 
-    Only occurrences of boilerplate are grouped by document; the text is shuffled
-    once, by document. Columns: ``row`` (the input row, text replaced), ``n_lines``
-    and ``n_removed``.
+    What goes is sent to the texts as sorted places, one row for each key and text, so rows
+    of one key do not meet in one task and a text of any number of lines costs time in
+    proportion. Columns: ``row`` (the input row, text replaced), ``n_lines`` (0 for a
+    NULL text) and ``n_removed``.
     """
     # Staged, so that the join below has a shuffle of its own on both sides, which can be split where skewed.
-    bad = checkpointed(boilerplate(docs, min_sites, key, site, text))
-    bad = F.broadcast(bad) if bad.count() <= BROADCAST_LINES else bad
+    bad = _small(checkpointed(boilerplate(docs, min_sites, key, site, text)))
+    digest = F.md5(F.col(text).cast("binary"))
     losing = (
-        _occurrences(docs, key, site, text)
+        _occurrences(docs, key, site, text, digest.alias("_digest"))
         .join(bad, "_line")
         .where(~F.col("_doc").eqNullSafe(F.col("_first")))
-        .groupBy("_doc")
-        .agg(F.collect_set("_line").alias("_bad"))
+        .groupBy("_doc", "_digest")
+        .agg(F.sort_array(F.collect_set("_at")).alias("_gone"))
     )
-    joined = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")).join(losing, F.col(f"row.{key}").eqNullSafe(F.col("_doc")), "left")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), digest.alias("_key"))
+    joined = rows.join(losing, F.col(f"row.`{key}`").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_digest")), "left")
     body = f"row.`{text}`"
-    kept = f"filter({_LINES.format(t=body)}, x -> not array_contains(_bad, {_KEY.format(x='x')}))"
+    lines = _LINES.format(t=body)
+    # Runs of lines between places that go; slices of one array, so the whole is linear.
+    kept = "flatten(zip_with(concat(array(-1), _gone), concat(_gone, array(size(_split))), (a, b) -> slice(_split, a + 2, b - a - 1)))"
     return (
-        joined.withColumn("_kept", F.expr(f"if(_bad is null, null, {kept})"))
-        .withColumn("n_lines", F.expr(f"size({_LINES.format(t=body)})").cast("long"))
-        .withColumn("n_removed", F.coalesce(F.col("n_lines") - F.size("_kept"), F.lit(0)).cast("long"))
+        joined.withColumn("_split", F.expr(f"if({body} is null, null, {lines})"))
+        .withColumn("_kept", F.expr(f"if(_gone is null, null, {kept})"))
+        .withColumn("n_lines", F.expr(f"if({body} is null, 0, size(_split))").cast("long"))
+        .withColumn("n_removed", F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long"))
         .select(
             F.struct(
                 *[(F.when(F.col("_kept").isNull(), F.col(body)).otherwise(F.array_join("_kept", "\n")) if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
@@ -113,8 +127,11 @@ WITH line AS (
   SELECT body, min(doc_id) AS first FROM line WHERE length(body) > 0 GROUP BY body HAVING count(DISTINCT coalesce(source, chr(92) || 'N')) >= {MIN_SITES}
 ), kept AS (
   SELECT doc_id, pos, line, (bad.body IS NOT NULL AND line.doc_id <> bad.first) AS gone FROM line LEFT JOIN bad ON line.body = bad.body
+), cleaned AS (
+  SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
+  FROM kept GROUP BY doc_id
 )
-SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
-       coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
-FROM kept GROUP BY doc_id
+SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed, c.text
+FROM documents d LEFT JOIN cleaned c ON d.doc_id = c.doc_id
 """
