@@ -6,7 +6,10 @@ is discounted by its link density; the best one makes the article (the approach
 Arc90 Readability experiment), with what stands beside it or beside an element around
 it and has a good score or mostly unlinked text. Lists of links go, unless they follow
 a heading inside it. Menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and comments go first.
+sidebars, notices, adverts, forms, scripts, styles and comments go first: by tag, role or
+being hidden; by a class or id that names boilerplate, unless the element holds ``article``
+or ``main`` or most of the page's text (reader comments go even then); with a
+boilerplate word elsewhere in a name only if it is mostly links, else its score is lowered.
 
 Defined results: NULL or empty html gives an empty text; markup that never closes
 ends at the end of the page; repeated rows give equal results; an empty table gives
@@ -43,7 +46,16 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TAG_POINTS = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "th": -5.0}
 #: Share of linked text over which an element outside the best container needs a good score.
 MOSTLY_LINKS = 0.5
-NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Last words of a name that say how a thing is laid out, not what it is.
+LAYOUT_NAMES = frozenset(
+    "area bar block bottom box button buttons column content container group inner item items left link links list outer panel posts right section text title top wrap wrapper".split()
+)
+READER_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: On pages without article or main: share of the unlinked text over which a name alone does not remove an element.
+MOST_TEXT = 0.5
+#: What is left of the score of an element with a boilerplate word elsewhere in its name.
+NAMED_SHARE = 0.75
 
 
 class Node:
@@ -57,22 +69,35 @@ class Node:
         self.score = 0.0
 
 
-def unwanted(tag: str, attrs: list[tuple[str, str | None]], inside_main: bool) -> tuple[bool, bool]:
-    """Whether an element is surely boilerplate, or only by its names."""
+def unwanted(tag: str, attrs: list[tuple[str, str | None]], inside_main: bool) -> tuple[bool, int]:
+    """Whether an element is surely boilerplate, and what its names say (``name_kind``)."""
     if tag in NEVER_TEXT or tag == "header" and not inside_main:
-        return True, False
-    named = False
+        return True, 0
+    named = 0
     for name, value in attrs:
         value = value or ""
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True, False
+            return True, 0
         if name == "role" and value.strip().lower() in NOT_TEXT_ROLES:
-            return True, False
+            return True, 0
         if name in ("class", "id"):
-            parts = {p.lower() for p in NAME_PARTS.findall(value)}
-            hit = parts & NOT_TEXT_NAMES
-            named |= bool(hit) and not (inside_main and hit == {"header"})
-    return False, named and tag not in HOLDS_MAIN
+            named = max([named, *(name_kind(x, inside_main) for x in value.split())])
+    return False, 0 if tag in HOLDS_MAIN else named
+
+
+def name_kind(name: str, inside_main: bool) -> int:
+    """What one class or id says: 0 nothing, 1 a boilerplate word somewhere, 2 boilerplate, 3 reader comments.
+
+    The last word that is no layout word is what a compound names: ``related-posts`` and
+    ``post-comments`` are boilerplate, ``related-work`` and ``share-price`` are not.
+    """
+    parts = [p.lower() for p in NAME_PARTS.findall(name)]
+    hit = {p for p in parts if p in NOT_TEXT_NAMES}
+    if not hit or inside_main and hit == {"header"}:
+        return 0
+    while len(parts) > 1 and parts[-1] in LAYOUT_NAMES:
+        parts.pop()
+    return 3 if parts[-1] in READER_NAMES else 2 if parts[-1] in NOT_TEXT_NAMES else 1
 
 
 class Tree(HTMLParser):
@@ -82,7 +107,7 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", None, False)
         self.nodes = [self.root]
-        self.named: list[Node] = []
+        self.named: list[tuple[Node, int]] = []
         self.open = [self.root]
         self.counts: dict[str, int] = {}
 
@@ -91,7 +116,7 @@ class Tree(HTMLParser):
         sure, named = unwanted(tag, attrs, self.counts.get("article", 0) + self.counts.get("main", 0) > 0)
         node = Node(tag, top, sure)
         if named:
-            self.named.append(node)
+            self.named.append((node, named))
         top.parts.append(node)
         self.nodes.append(node)
         return node
@@ -244,7 +269,9 @@ def main_text(html: str | None) -> str:
         if node.parent is not None and node.parent.gone:
             node.gone = True
     _measure(nodes)
-    dropped = [n for n in tree.named if not n.gone and not n.main]
+    # Beside ``article`` or ``main`` a name is enough.
+    most = (1 if tree.root.main else MOST_TEXT) * (tree.root.chars - tree.root.linked)
+    dropped = [n for n, kind in tree.named if not n.gone and not n.main and (kind == 3 or n.chars - n.linked <= most and (kind == 2 or _density(n) > MOSTLY_LINKS))]
     if dropped:
         for node in dropped:
             node.gone = True
@@ -259,6 +286,8 @@ def main_text(html: str | None) -> str:
         return ""
     for n in boxes:
         n.score *= 1 - _density(n)
+    for n, _ in tree.named:
+        n.score *= NAMED_SHARE
     best = max(boxes, key=lambda n: n.score)
     around, above = set(), best.parent
     while above is not None:
