@@ -170,3 +170,41 @@ def test_context_discovers_unseen(spark):
     rows += [(100 + i, f'more pass = "Zq{i}-unseen99" tail') for i in range(3)] + [(200 + i, f"room number {i}1234567 is free") for i in range(9)]
     got = {r.doc_id: r.found for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(len(got[100 + i]) == 1 for i in range(3)) and not any(got[200 + i] for i in range(9))
+
+
+def test_patterns_discover_keys_that_are_no_seeds(spark):
+    """With half of the key forms as seeds, the patterns find the rest, and passwords that no form knows."""
+    import random
+
+    rng = random.Random(11)
+    hexed = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    upper = lambda: "AKIA" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(16))
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(6))
+    rows, want = [], set()
+    for i in range(240):
+        value = [hexed(40), upper(), hexed(17) + "a"][i % 3]
+        text = word() + [' token = "%s" ', " %s ", " password=%s "][i % 3] % value + word()
+        want.add((i, text.index(value), text.index(value) + len(value)))
+        rows.append((i, text))
+    rows += [(1000 + i, f"{word()} in the year {1000 + i}/17 and release-{i}.2.17 of {word()}") for i in range(200)]
+    got = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), seed_share=0.5).collect()
+    found = {(r.doc_id, s.start, s.end) for r in got for s in r.found}
+    based = {r.doc_id for r in got if r.email or r.ip or r.card or r.phone}
+    missed = {w for w in want - found if w[0] not in based}
+    assert len(missed) <= 0.1 * len(want) and not found - want
+
+
+def test_personal_data_of_a_long_text(spark):
+    """Twice the identifiers cost about twice the time."""
+    import time
+
+    def seconds(n):
+        frame = spark.createDataFrame([(1, " ".join(f"id{i}abc a{i}@b.org" for i in range(n)))], "doc_id long, text string")
+        began = time.time()
+        row = pii.find_personal_data(frame).selectExpr("size(email) as n", "email[0].start as a", f"email[{n - 1}].end as b", "size(found) as f").collect()[0]
+        assert (row.n, row.a, row.b, row.f) == (n, 7, len(" ".join(f"id{i}abc a{i}@b.org" for i in range(n))), 0)
+        return time.time() - began
+
+    seconds(100)
+    small = seconds(30_000)
+    assert seconds(60_000) < 2.5 * small + 3
