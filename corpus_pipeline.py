@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import bpe, decontaminate, line_dedup, near_dedup, quality_mil
-from fleetlens.llm.common import checkpointed, table
+from fleetlens.llm.common import checkpointed, remove, table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +48,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), found.alias("leaks")).where(F.size("leaks") == 0).select("row.*")
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,17 +69,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; a written table in the shared folder between stages."""
-    import uuid
+    """All stages over ``documents``; a written table in the shared folder between stages.
 
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        import tempfile
-
-        shared = tempfile.mkdtemp(prefix="fleetlens-pipeline-")
+    A stage's table goes once the next one is written; the last one stays, since the
+    result reads it.
+    """
     docs = table(spark, sf_dir, "documents")
-    base = f"{shared}/pipeline-{uuid.uuid4().hex}"
-    for i, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{i}")
-        docs = spark.read.parquet(f"{base}/{i}")
+    last = None
+    for _, stage in STAGES[:-1]:
+        docs, path = written(stage(spark, docs, sf_dir))
+        if last is not None:
+            remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
