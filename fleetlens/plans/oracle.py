@@ -166,7 +166,7 @@ def build(final: str, *needs: str) -> str:
 
     for n in needs:
         add(n)
-    return "WITH " + ",\n".join(f"{n} AS ({CTE[n][1]})" for n in order) + "\n" + final if order else final
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({CTE[n][1]})" for n in order) + "\n" + final if order else final
 
 
 BAND = "CASE WHEN fd IS NULL THEN 'no-bucket' WHEN pct_dev IS NULL THEN 'n/a' WHEN abs(pct_dev) < 15 THEN 'ok' WHEN abs(pct_dev) < 30 THEN 'warn' ELSE 'alert' END"

@@ -204,3 +204,20 @@ def test_empty_and_missing(spark):
     with pytest.raises(ValueError, match="no telemetry"):
         telemetry.require_rows(empty)
     assert explain.strength(F.lit(3.2)) is not None and PROXY.trip_gap == 45.0
+
+
+def test_peers_in_blocks_equal_all_distances(spark):
+    """Tiles of a few vehicles give what all distances give, ties by id included."""
+    import math
+
+    rows = [("v", str(i), *[float((i * (j + 3)) % 11) for j in range(9)]) for i in range(60)] + [("w", str(i), *[1.0] * 9) for i in range(30)]
+    frame = spark.createDataFrame(rows, ["variant", "imei", *peers.MATCH_FEATURES])
+    scaled = {(r.variant, r.imei): r.v for r in peers.scaled_features(frame).collect()}
+    want = set()
+    for (variant, imei), v in scaled.items():
+        far = sorted((round(math.dist(v, w), 9), peer) for (other, peer), w in scaled.items() if other == variant and peer != imei)
+        want |= {(variant, imei, peer, rank) for rank, (_, peer) in enumerate(far[:20], 1)}
+    for block in (7, 2000):
+        got = peers.find_peers(frame, block=block)
+        assert {(r.variant, r.imei, r.peer, r.rank) for r in got.collect()} == want
+    assert peers.find_peers(frame.limit(0)).collect() == []
