@@ -63,7 +63,7 @@ class Codec:
         for a, b in merges:
             a, b = as_bytes(a), as_bytes(b)
             if a + b in number:
-                continue
+                raise ValueError("two merges give one token: this encoder wants a token to have one pair")
             self.pairs[number[a], number[b]] = number[a + b] = len(self.tokens)
             self.left.append(number[a])
             self.right.append(number[b])

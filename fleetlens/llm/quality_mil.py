@@ -6,7 +6,8 @@ weighted passage representation is scored (Ilse, Tomczak and Welling 2018). The
 only inputs are the characters of the text.
 
 The model is fitted with numpy on at most ``MAX_LABELLED`` labelled documents, those
-with the smallest key hashes; each is used whole. Scoring covers every passage of
+with the smallest key hashes, and at most ``TRAIN_PASSAGES`` passages of each, evenly spread;
+the least text stands for a key with several. Scoring covers every passage of
 every document.
 
 Defined results: a NULL or empty text is one empty passage and gets a score;
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 
 #: Bound of the training sample, in labelled documents.
 MAX_LABELLED = 3000
+#: Passages of one training document that are sent to the driver; scoring reads all.
+TRAIN_PASSAGES = 512
 PASSAGE_WORDS = 64
 HASHED = 128
 #: Longest run of characters of one word that counts, so that a passage stays small.
@@ -72,6 +75,11 @@ def features(text: str | None) -> np.ndarray:
     return np.stack(rows)
 
 
+def spread_out(bag: np.ndarray) -> np.ndarray:
+    """A training bag of TRAIN_PASSAGES rows at most, evenly spread over the text."""
+    return bag if len(bag) <= TRAIN_PASSAGES else bag[np.linspace(0, len(bag) - 1, TRAIN_PASSAGES).astype(int)]
+
+
 def _sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
@@ -158,11 +166,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ke
     @F.pandas_udf("binary")
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([features(x).astype(np.float16).tobytes() for x in part], dtype=object)
+            yield pd.Series([spread_out(features(x)).astype(np.float16).tobytes() for x in part], dtype=object)
 
     rows = (
         docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
         .join(F.broadcast(sample), "_key")
+        # One text for each key: rows that repeat a key do not make the sample larger.
+        .groupBy("_key", "_label")
+        .agg(F.min("_text").alias("_text"))
         .select("_key", "_label", encode("_text").alias("bag"))
         .collect()
     )

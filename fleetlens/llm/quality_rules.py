@@ -27,6 +27,7 @@ BUCKETS = 10_000
 #: Mean log-likelihood ratio from which a document is kept.
 THRESHOLD = -0.25
 SMOOTHING = 1.0
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr", "base_failed", "kept")
 #: Repeated windows up to which each window is looked up among them.
 FEW = 32
 #: Trusted keys up to which they are broadcast; beyond it, both sides are shuffled.
@@ -120,7 +121,14 @@ def _sql(chars: str) -> str:
 
 
 def judge(docs: DataFrame, ratios: DataFrame, text: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with rule counts, ``llr`` (mean over n-grams), ``base_failed`` and ``kept``."""
+    """``docs`` with rule counts, ``llr`` (mean over n-grams), ``base_failed`` and ``kept``.
+
+    A column of ``docs`` with one of these names gives way to the result; all others stay.
+    """
+    if {c for c in docs.columns if c in RESULTS or c.startswith("_")}:
+        held = F.struct(*[F.col(c) for c in docs.columns if c not in RESULTS]).alias("row")
+        packed = docs.select(held, F.col(text).alias("text"))
+        return judge(packed, ratios, "text", buckets, threshold).select("row.*", *RESULTS)
     scored = (
         ngram_buckets(rule_columns(docs, text), text, buckets)
         .withColumn("_ratio", ratio_array(ratios))

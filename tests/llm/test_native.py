@@ -208,3 +208,14 @@ def test_personal_data_of_a_long_text(spark):
     seconds(100)
     small = seconds(30_000)
     assert seconds(60_000) < 2.5 * small + 3
+
+
+def test_rules_beside_columns_of_the_same_names(spark):
+    rows = [(1, "one two three " * 40, "k", 5, "u"), (2, None, "k", 6, "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string, n_words int, _w string")
+    ratios = quality_rules.bucket_ratios(docs, docs.select("doc_id").limit(1))
+    got = quality_rules.judge(docs, ratios)
+    plain = {r.doc_id: r for r in quality_rules.judge(docs.select("doc_id", "text"), ratios).collect()}
+    assert got.columns == ["doc_id", "text", "_w", *quality_rules.RESULTS]
+    for r in got.collect():
+        assert r._w == {1: "u", 2: "v"}[r.doc_id] and all(r[c] == plain[r.doc_id][c] for c in quality_rules.RESULTS)
