@@ -23,7 +23,7 @@ def main(args: list[str] | None = None) -> None:
     sub.add_parser("run", help="flags, verdicts, summary and fleet reference")
     sub.add_parser("flags", help="outlier flags only")
     sub.add_parser("reference", help="fleet reference only")
-    sub.add_parser("dashboard", help="one HTML page of verdicts")
+    sub.add_parser("dashboard", help="one HTML page of verdicts, and the dashboard tables")
     report = sub.add_parser("report", help="HTML reports: one vehicle, or all of a verdict")
     report.add_argument("imei", nargs="?")
     report.add_argument("--verdict", choices=["ELEVATED", "WATCH", "NORMAL"], default="ELEVATED")
@@ -42,16 +42,18 @@ def main(args: list[str] | None = None) -> None:
             sinks.write_csv(run.fleet_reference(), f"{a.out}/fleet_reference_csv")
         else:
             os.makedirs(a.out, exist_ok=True)
-            if a.what == "dashboard":
-                pages = {"dashboard": run.dashboard_page()}
-            else:
-                chosen = [a.imei] if a.imei else [r.imei for r in peers.targets(run.verdicts(), a.verdict, a.variant).select("imei").toLocalIterator()]
-                pages = {i: run.report(i) for i in chosen}
-                pages["index"] = sinks.page("Reports", [f'<p><a href="{i}.html">{i}</a></p>' for i in chosen])
-            for name, text in pages.items():
+
+            def put(name: str, text: str) -> None:
                 with open(f"{a.out}/{name}.html", "w", encoding="utf-8") as f:
                     f.write(text)
 
+            if a.what == "dashboard":
+                put("dashboard", run.dashboard_page())
+                run.write_dashboard(a.out)
+            else:
+                chosen = [a.imei] if a.imei else [r.imei for r in peers.targets(run.judged, a.verdict, a.variant).select("imei").toLocalIterator()]
+                run.reports(chosen, put)
+
 
 if __name__ == "__main__":
     main()

@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame
 def staged(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: computed once, survives lost executors, and keeps plans short.
 
-    The folder is the session's ``spark.checkpoint.dir``; one of our own only where
-    that is unset, as in tests.
+    The folder is the session's ``spark.checkpoint.dir``; one of our own only in local
+    mode where that is unset, as in tests.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fleetlens-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="fleetlens-"))
     return df.checkpoint(eager=True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import asdict
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,16 @@ class Run:
         self.profiles = staged(trips.profiles(self.trips, trips.charge_summary(self.rows, self.thresholds, settings)))
         self.flags = flags if flags is not None else staged(ml.outlier_flags(ml.vehicle_features(self.rows, settings), settings))
 
+    @cached_property
+    def judged(self) -> DataFrame:
+        """Explained verdicts, staged: reports of many vehicles read one table."""
+        return staged(self.verdicts())
+
+    @cached_property
+    def compared(self) -> tuple[DataFrame, DataFrame]:
+        attributes, dets = self.comparisons()
+        return staged(attributes), staged(dets)
+
     def verdicts(self) -> DataFrame:
         records = staged(peers.verdicts(self.flags, self.profiles, self.trips, self.settings))
         return explain.explanations(peers.legacy(peers.with_trips(records, self.trips)), self.settings)
@@ -47,7 +59,7 @@ class Run:
 
     def write(self, out: str) -> None:
         """Tables as Parquet, records as JSON lines, the reference also as CSV."""
-        records = staged(self.verdicts())
+        records = self.judged
         sinks.write_table(self.flags, f"{out}/flags")
         sinks.write_table(peers.ordered(records), f"{out}/verdicts")
         sinks.write_json_records(peers.ordered(records), f"{out}/verdicts_json")
@@ -59,11 +71,11 @@ class Run:
     def report(self, imei: str) -> str:
         """HTML report of one vehicle: verdict, trips, deviations, detectors, time in buckets."""
         one = lambda df: df.where(F.col("imei") == imei)
-        attributes, dets = self.comparisons()
+        attributes, dets = self.compared
         moving = sessions.trips_of(one(self.rows), self.settings)
         mine = one(self.trips)
         parts = [
-            sinks.html_table("Verdict", one(self.verdicts()).select("variant", "verdict", "watch_reason", "n_trips", "n_peers", F.array_join("explanations", " ").alias("account"))),
+            sinks.html_table("Verdict", one(self.judged).select("variant", "verdict", "watch_reason", "n_trips", "n_peers", F.array_join("explanations", " ").alias("account"))),
             sinks.html_table("Averages", fleet.attribute_means(mine)),
             sinks.html_table("Range", fleet.vehicle_range(mine)),
             sinks.html_table("Deviations", one(attributes).orderBy("trip_id", "attr")),
@@ -73,8 +85,29 @@ class Run:
         ]
         return sinks.page(f"Vehicle {imei}", parts)
 
+    def write_dashboard(self, out: str) -> None:
+        """Every dashboard table as Parquet and as JSON lines."""
+        for name, table in self.dashboard().items():
+            table = staged(table)
+            sinks.write_table(table, f"{out}/dashboard/{name}")
+            sinks.write_json_records(table, f"{out}/dashboard/{name}_json")
+
+    def reports(self, imeis: Iterable[str], put: Callable[[str, str], None]) -> None:
+        """A page for each vehicle, put as soon as it is made, then an index; a failed vehicle does not end the run."""
+        lines = []
+        facts = {}
+        for i in imeis:
+            try:
+                put(i, self.report(i))
+                row = self.judged.where(F.col("imei") == i).select("variant", "verdict", "strong_metric_count", "n_trips", "n_peers", "reason").first()
+                facts[i] = row.asDict() if row else {}
+                lines.append((i, ""))
+            except Exception as e:  # noqa: BLE001
+                lines.append((i, f"{type(e).__name__}: {e}"[:200]))
+        put("index", sinks.index_page(lines, facts))
+
     def dashboard_page(self) -> str:
-        return sinks.render(sinks.DASHBOARD, sinks.payload({"version": self.settings.version, "params": asdict(self.settings)}, peers.listed(self.verdicts()).drop("trips")))
+        return sinks.render(sinks.DASHBOARD, sinks.payload({"version": self.settings.version, "params": asdict(self.settings)}, peers.listed(self.judged).drop("trips")))
 
 
 def from_csv(spark: SparkSession, path: str, settings: Settings = DEFAULT) -> Run:

@@ -328,9 +328,9 @@ def summary_record(spark, sf_dir):
     return peers.summary_record(staged(Base(spark, sf_dir).verdicts), PROXY)
 
 
-@query(build("SELECT imei, variant, verdict, ns AS strong_metric_count FROM ver ORDER BY CASE verdict WHEN 'ELEVATED' THEN 0 WHEN 'WATCH' THEN 1 ELSE 2 END, ns DESC, variant, imei LIMIT 100", "ver"))
+@query(build("SELECT imei, variant, verdict, ns AS strong_metric_count FROM ver ORDER BY CASE verdict WHEN 'ELEVATED' THEN 0 WHEN 'WATCH' THEN 1 ELSE 2 END, ns DESC, variant, imei", "ver"))
 def verdict_order(spark, sf_dir):
-    return peers.ordered(Base(spark, sf_dir).verdicts).select("imei", "variant", "verdict", "strong_metric_count").limit(100)
+    return peers.ordered(Base(spark, sf_dir).verdicts).select("imei", "variant", "verdict", "strong_metric_count")
 
 
 @query(build("SELECT imei, variant, verdict FROM ver WHERE verdict = 'WATCH' AND variant = 'A' AND (imei LIKE '%1%' OR lower(variant) LIKE '%1%') ORDER BY ns DESC, imei LIMIT 500", "ver"))

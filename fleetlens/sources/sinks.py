@@ -73,5 +73,17 @@ def html_table(title: str, df: DataFrame) -> str:
     return f"<h2>{html.escape(title)}</h2><table><tr>{head}</tr>{body}</table>"
 
 
+def index_page(lines: list[tuple[str, str]], facts: dict[str, dict]) -> str:
+    """A table of reports: a link and the verdict of each vehicle, or why it has none."""
+    columns = ("variant", "verdict", "strong_metric_count", "n_trips", "n_peers", "reason")
+    rows = []
+    for name, failed in lines:
+        shown = html.escape(name)
+        rest = f'<td colspan="{len(columns)}">failed: {html.escape(failed)}</td>' if failed else "".join(f"<td>{cell(facts.get(name, {}).get(c))}</td>" for c in columns)
+        rows.append(f'<tr><td>{shown if failed else f"<a href={chr(34)}{shown}.html{chr(34)}>{shown}</a>"}</td>{rest}</tr>')
+    head = "".join(f"<th>{c}</th>" for c in ("vehicle", *columns))
+    return page("Reports", [f"<table><tr>{head}</tr>{''.join(rows)}</table>"])
+
+
 def page(title: str, parts: list[str]) -> str:
     return f'<!DOCTYPE html><html><head><meta charset="utf-8"><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1>{"".join(parts)}</body></html>'
