@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.config import CHARGE, DEFAULT, DETECTORS, Settings
+from fleetlens.config import CHARGE, DEFAULT, DETECTORS, RUN, Settings
 from fleetlens.functions.core import VEHICLE
-from fleetlens.operators.sessions import charge_sessions_of, dwell_runs, ratio_rows, source_rows, trips_of
+from fleetlens.operators.sessions import charge_sessions_of, dwell_runs, trips_of
 
 THRESHOLDS = (
     *[f"{s}_p{p}" for s in ("rpm", "torque", "current", "throttle") for p in (25, 50, 75, 90)],
@@ -30,36 +30,50 @@ RUN_MASKS = {
 CHARGE_MASK = "soc >= 95 and current >= charge_current_p75"
 
 
+#: Signals of the one scan: the driving signals, the gated ratio, the charging current, and the row counts by state.
+SCANNED = {
+    **{s: s for s in ("rpm", "torque", "current", "throttle", "speed", "temp")},
+    "ratio": "case when speed > 3 and rpm > 50 then rpm / speed end",
+    "charge": f"case when state = {CHARGE} then current end",
+    "rows": f"case state when {RUN} then 0d when {CHARGE} then 1d else 2d end",
+}
+
+
 def variant_thresholds(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Exact percentiles of each variant; NULL where there is no data.
+    """Exact percentiles of each variant, over driving rows or, where these are too few, all its rows; NULL without data.
 
-    Values are counted first: a variant with a third of all rows leaves one row for
-    each distinct value and task. The percentile buffers then hold distinct values,
-    not rows.
+    One scan: values are counted first, among driving rows and among all, so a variant
+    with a third of all rows leaves one row for each distinct value and task. Which of
+    the two counts holds is known once the variant's rows are counted, from the same
+    table. The percentile buffers hold distinct values, not rows.
     """
-    source = source_rows(rows, settings)
-    drive = source.select("variant", F.expr("stack(6, 'rpm', rpm, 'torque', torque, 'current', current, 'throttle', throttle, 'speed', speed, 'temp', temp) as (signal, value)"))
-    ratios = ratio_rows(source).select("variant", F.lit("ratio").alias("signal"), F.col("rpm_per_speed").alias("value"))
-    charge = rows.where(F.col("state") == CHARGE).select("variant", F.lit("charge").alias("signal"), F.col("current").alias("value"))
-    gate = rows.groupBy("variant").agg((F.count_if(F.col("state") == CHARGE) >= settings.min_charge_rows).alias("enough"))
-    counted = drive.union(ratios).union(charge).where("value is not null").groupBy("variant", "signal", "value").agg(F.count("*").alias("n"))
+    stack = ", ".join(f"'{s}', cast({e} as double)" for s, e in SCANNED.items())
+    counted = (
+        rows.select("variant", (F.col("state") == RUN).alias("drives"), F.expr(f"stack({len(SCANNED)}, {stack}) as (signal, value)"))
+        .where("value is not null")
+        .groupBy("variant", "signal", "value")
+        .agg(F.count_if("drives").alias("driving"), F.count("*").alias("n"))
+    )
     ps = F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.9, 0.95)))
-    wide = (
-        counted.groupBy("variant", "signal")
-        .agg(F.percentile("value", ps, F.col("n")).alias("p"))
-        .groupBy("variant")
-        .pivot("signal", ["rpm", "torque", "current", "throttle", "speed", "temp", "ratio", "charge"])
-        .agg(F.first("p"))
+    state_rows = lambda v: F.sum(F.when(F.col("value") == v, F.col("n")))
+    by_signal = counted.groupBy("variant", "signal").agg(
+        F.percentile("value", ps, F.col("driving")).alias("of_driving"), F.percentile("value", ps, F.col("n")).alias("of_all"), state_rows(0.0).alias("runs"), state_rows(1.0).alias("charges")
+    )
+    wide = by_signal.groupBy("variant").agg(
+        *[F.first(F.when(F.col("signal") == "rows", F.coalesce(c, F.lit(0))), ignorenulls=True).alias(c) for c in ("runs", "charges")],
+        *[F.first(F.when(F.col("signal") == s, F.struct("of_driving", "of_all")), ignorenulls=True).alias(s) for s in SCANNED if s != "rows"],
     )
+    few = F.col("runs") < settings.min_drive_rows
+    of = lambda s: F.when(few, F.col(s)["of_all"]).otherwise(F.col(s)["of_driving"])
     place = {"25": 0, "50": 1, "75": 2, "90": 3}
-    four = [F.col(s)[place[p]].alias(f"{s}_p{p}") for s in ("rpm", "torque", "current", "throttle") for p in place]
-    return gate.join(wide, "variant", "left").select(
+    four = [of(s)[place[p]].alias(f"{s}_p{p}") for s in ("rpm", "torque", "current", "throttle") for p in place]
+    return wide.select(
         "variant",
         *four,
-        F.col("speed")[0].alias("speed_p25"),
-        F.col("temp")[3].alias("temp_p90"),
-        F.col("ratio")[4].alias("ratio_rpm_speed_p95"),
-        F.when(F.col("enough"), F.col("charge")[2]).alias("charge_current_p75"),
+        of("speed")[0].alias("speed_p25"),
+        of("temp")[3].alias("temp_p90"),
+        of("ratio")[4].alias("ratio_rpm_speed_p95"),
+        F.when(F.col("charges") >= settings.min_charge_rows, F.col("charge")["of_all"][2]).alias("charge_current_p75"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from fleetlens.config import DANGER_DETECTORS, DETECTORS, MATCH_FEATURES, PROXY, SIGNALS
 from fleetlens.operators.detectors import CHARGE_MASK, RUN_DETECTORS, RUN_MASKS, THRESHOLDS
+from fleetlens.operators.explain import REASONS
 from fleetlens.operators.fleet import ATTRIBUTES, EVENT_ATTRIBUTES, MAP_EDGES, MAP_PAIRS, SHARE_EDGES, SHOWN
 from fleetlens.operators.histograms import BINS, PAIRS, STATS
 from fleetlens.operators.ml import FEATURES
@@ -188,6 +189,47 @@ def verdict_columns() -> str:
     )
 
 
+def explanation_sql() -> str:
+    """Headline, sentences of strong detectors in order, notes and caveats, joined by a space."""
+    facts = " UNION ALL ".join(f"SELECT {V}, '{d}' AS det, {d}_events_total AS n, round_even({d}_max_dwell_s, 2) AS dwell FROM prof" for d in DETECTORS)
+    labels = ", ".join(f"('{d}', '{t}')" for d, t in DETECTORS.items())
+    z, rate = "round_even(z, 3)", "round_even(rate, 4)"
+    strength = f"CASE WHEN abs({z}) >= 4 THEN 'far beyond its peers' WHEN abs({z}) >= 3 THEN 'well beyond its peers' WHEN abs({z}) >= 2 THEN 'clearly beyond its peers' ELSE 'above its peers' END"
+    sentence = f"""label || ': ' || concat_ws(', ', CASE WHEN n > 0 THEN n || ' event(s)' END, CASE WHEN dwell > 0 THEN 'longest ' || printf('%.0f', round_even(dwell, 0)) || ' s' END,
+        CASE WHEN z IS NOT NULL THEN {strength} || ' (z ' || printf('%.1f', round_even({z}, 1)) || ')' WHEN rate > 0 THEN printf('%.2f', round_even({rate}, 2)) || ' per hour' END) || '.'"""
+    why = " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in REASONS.items())
+    return build(
+        f"""SELECT imei, variant, verdict, concat_ws(' ',
+        CASE WHEN verdict = 'ELEVATED' THEN 'Elevated: an unusual usage pattern together with ' || ns || ' strong signal contradictions.'
+          WHEN verdict = 'WATCH' THEN 'Watch: ' || CASE watch_reason {why} ELSE '{REASONS["PARTIAL_EVIDENCE"]}' END || '.'
+          WHEN spirited THEN 'Normal: driven fast, with ' || ns || ' strong contradiction(s), too few to count against it.' ELSE 'Normal: it behaves like the vehicles it is compared with.' END,
+        sentences, CASE WHEN spirited AND verdict = 'ELEVATED' THEN 'It is also driven fast; repeated contradictions outweigh driving style.' END,
+        CASE WHEN n_peers > 0 AND n_peers < {_p.min_peers} AND verdict <> 'NORMAL' THEN 'Caution: only ' || n_peers || ' comparable vehicles.' END,
+        CASE WHEN n_trips <= 2 AND verdict IN ('ELEVATED', 'WATCH') THEN 'Caution: based on ' || n_trips || ' trip(s).' END) AS explanations
+        FROM ver LEFT JOIN (SELECT {V}, string_agg({sentence}, ' ' ORDER BY det) AS sentences FROM strong JOIN ({facts}) USING ({V}, det) JOIN (VALUES {labels}) l(det, label) USING (det) WHERE strong GROUP BY {V}) USING ({V})""",
+        "ver", "strong", "prof",
+    )
+
+
+def summary_sql(counts: str) -> str:
+    """The flat counts, and counts by verdict, reason and variant as sorted text."""
+    listed = lambda key: f"(SELECT string_agg({key} || '=' || n, ',' ORDER BY {key}) FROM (SELECT {key}, count(*) AS n FROM ver GROUP BY 1))"
+    return build(
+        f"""SELECT s.*, {listed("verdict")} AS verdict_counts, {listed("watch_reason")} AS watch_reason_counts,
+        (SELECT string_agg(variant || ':' || v, ';' ORDER BY variant) FROM (SELECT variant, string_agg(verdict || '=' || n, ',' ORDER BY verdict) AS v FROM (SELECT variant, verdict, count(*) AS n FROM ver GROUP BY 1, 2) GROUP BY 1)) AS variant_verdict_counts,
+        '{_p.version}' AS pipeline_version FROM ({counts}) s""",
+        "ver",
+    )
+
+
+def inspect_sql() -> str:
+    return build(
+        f"""SELECT c.*, verdict FROM (SELECT {T}, 'attribute' AS kind, attr AS name, {rnd("vehicle", "value")}, {rnd("fleet")}, {rnd("pct_dev")}, CAST(NULL AS DOUBLE) AS max_dwell_s, {BAND} AS flag FROM attr
+        UNION ALL SELECT {T}, 'detector', det, {rnd("CAST(events AS DOUBLE)", "value")}, {rnd("fleet_median", "fleet")}, CAST(NULL AS DOUBLE), {rnd("max_dwell_s")}, {status("events", "fleet_median")} FROM detr) c LEFT JOIN (SELECT {V}, verdict FROM ver) USING ({V})""",
+        "attr", "detr", "ver",
+    )
+
+
 def histogram_sql(keys: str, source: str = "drv") -> str:
     parts = [f"SELECT {keys}, '{s}' AS signal, {_edge_bin(s, *b)} AS bin FROM {source}" for s, b in BINS.items()] + [f"SELECT {keys}, 'mode' AS signal, CASE WHEN mode IN (0, 1) THEN mode END AS bin FROM {source}"]
     return build(f"SELECT {keys}, signal, bin, {rnd(f'round_even(n * 100.0 / sum(n) OVER (PARTITION BY {keys}, signal), 3)', 'pct')} FROM (SELECT {keys}, signal, bin, count(*) AS n FROM ({' UNION ALL '.join(parts)}) WHERE bin IS NOT NULL GROUP BY ALL)", source)

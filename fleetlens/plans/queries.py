@@ -316,16 +316,28 @@ def variant_breakdown(spark, sf_dir):
     return peers.breakdown(Base(spark, sf_dir).verdicts, 8)
 
 
-@query(build("""SELECT count(*) AS total_validated, count(*) FILTER (WHERE detector_flag) AS detector_flagged, count(*) FILTER (WHERE verdict = 'ELEVATED') AS elevated, count(*) FILTER (WHERE verdict = 'WATCH') AS watch,
+_COUNTS = """SELECT count(*) AS total_validated, count(*) FILTER (WHERE detector_flag) AS detector_flagged, count(*) FILTER (WHERE verdict = 'ELEVATED') AS elevated, count(*) FILTER (WHERE verdict = 'WATCH') AS watch,
   count(*) FILTER (WHERE verdict IN ('ELEVATED', 'WATCH')) AS watchlist_total, count(*) FILTER (WHERE verdict = 'NORMAL') AS normal_after_validation, count(*) FILTER (WHERE spirited) AS spirited_total,
-  count(*) FILTER (WHERE spirited AND verdict = 'NORMAL') AS spirited_demoted_to_normal, CAST(0 AS BIGINT) AS no_valid_trips, CAST(sum(n_trips) AS BIGINT) AS valid_trips, count(*) FILTER (WHERE n_trips > 0) AS vehicles_with_valid_trips FROM ver""", "ver"))
+  count(*) FILTER (WHERE spirited AND verdict = 'NORMAL') AS spirited_demoted_to_normal, CAST(0 AS BIGINT) AS no_valid_trips, CAST(sum(n_trips) AS BIGINT) AS valid_trips, count(*) FILTER (WHERE n_trips > 0) AS vehicles_with_valid_trips FROM ver"""
+
+
+@query(build(_COUNTS, "ver"))
 def legacy_summary(spark, sf_dir):
     return peers.summary(Base(spark, sf_dir).verdicts)
 
 
-@query()
+def _counts(m: str):
+    return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+
+
+@query(O.summary_sql(_COUNTS))
 def summary_record(spark, sf_dir):
-    return peers.summary_record(staged(Base(spark, sf_dir).verdicts), PROXY)
+    """The nested summary, its maps as sorted text."""
+    nested = F.transform(
+        F.array_sort(F.map_keys("variant_verdict_counts")), lambda v: F.concat(v, F.lit(":"), _counts(F.col("variant_verdict_counts")[v]))
+    )
+    out = peers.summary_record(staged(Base(spark, sf_dir).verdicts), PROXY)
+    return out.withColumn("variant_verdict_counts", F.array_join(nested, ";")).withColumns({m: _counts(m) for m in ("verdict_counts", "watch_reason_counts")})
 
 
 @query(build("SELECT imei, variant, verdict, ns AS strong_metric_count FROM ver ORDER BY CASE verdict WHEN 'ELEVATED' THEN 0 WHEN 'WATCH' THEN 1 ELSE 2 END, ns DESC, variant, imei", "ver"))
@@ -360,9 +372,9 @@ def nested_trips(spark, sf_dir):
     return peers.with_trips(b.verdicts, b.trips).select("imei", "variant", F.explode("trips").alias("t")).select("imei", "variant", "t.trip_id", "t.km_per_soc_pct", "t.dist_km")
 
 
-@query()
+@query(O.explanation_sql())
 def explanations(spark, sf_dir):
-    return explain.explanations(Base(spark, sf_dir).verdicts, PROXY).select("imei", "variant", "verdict", "explanations")
+    return explain.explanations(Base(spark, sf_dir).verdicts, PROXY).select("imei", "variant", "verdict", F.array_join("explanations", " ").alias("explanations"))
 
 
 # Fleet reference and comparison
@@ -463,14 +475,15 @@ def pair_maps(spark, sf_dir):
     return fleet.pair_maps(sessions.moving(proxy.telemetry(spark, sf_dir)), ["variant"])
 
 
-@query()
+@query(O.inspect_sql())
 def inspect(spark, sf_dir):
-    """The comparison of every vehicle in one job: deviations and detector rows side by side."""
+    """The comparison of every vehicle in one job: attribute and detector rows of each trip, with the verdict."""
     b = Base(spark, sf_dir)
-    m = b.matched
-    a = fleet.attribute_rows(m).groupBy(*VEHICLE, "trip_id").agg(F.sort_array(F.collect_list(F.struct("attr", "vehicle", "fleet", "pct_dev", "flag"))).alias("attributes"))
-    d = fleet.detector_rows(m).groupBy(*VEHICLE, "trip_id").agg(F.sort_array(F.collect_list(F.struct("det", "events", "max_dwell_s", "fleet_median", "flag"))).alias("detectors"))
-    return a.join(d, [*VEHICLE, "trip_id"]).join(_flat(b.verdicts).select(*VEHICLE, "verdict"), list(VEHICLE), "left")
+    m, trip = staged(b.matched), [*VEHICLE, "trip_id"]
+    none = F.lit(None).cast("double")
+    a = fleet.attribute_rows(m).select(*trip, F.lit("attribute").alias("kind"), F.col("attr").alias("name"), F.col("vehicle").alias("value"), "fleet", "pct_dev", none.alias("max_dwell_s"), "flag")
+    d = fleet.detector_rows(m).select(*trip, F.lit("detector"), "det", F.col("events").cast("double"), "fleet_median", none, "max_dwell_s", "flag")
+    return a.union(d).join(_flat(b.verdicts).select(*VEHICLE, "verdict"), list(VEHICLE), "left")
 
 
 @query("SELECT CAST(x AS BIGINT) AS x, CAST(round_even(x / 5.0, 0) * 5 AS BIGINT) AS five FROM (SELECT DISTINCT l_quantity / 2 * 5 AS x FROM lineitem WHERE l_quantity % 2 = 0)")
