@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import CHARGE, DEFAULT, DETECTORS, RUN, Settings
 from fleetlens.functions.core import VEHICLE
+from fleetlens.functions.quantiles import counted_percentiles
+from fleetlens.functions.shared import staged
 from fleetlens.operators.sessions import charge_sessions_of, dwell_runs, trips_of
 
 THRESHOLDS = (
@@ -45,35 +47,30 @@ def variant_thresholds(rows: DataFrame, settings: Settings = DEFAULT) -> DataFra
     One scan: values are counted first, among driving rows and among all, so a variant
     with a third of all rows leaves one row for each distinct value and task. Which of
     the two counts holds is known once the variant's rows are counted, from the same
-    table. The percentile buffers hold distinct values, not rows.
+    staged table. The percentiles are found by rank, spread over all tasks.
     """
     stack = ", ".join(f"'{s}', cast({e} as double)" for s, e in SCANNED.items())
-    counted = (
+    counted = staged(
         rows.select("variant", (F.col("state") == RUN).alias("drives"), F.expr(f"stack({len(SCANNED)}, {stack}) as (signal, value)"))
         .where("value is not null")
         .groupBy("variant", "signal", "value")
         .agg(F.count_if("drives").alias("driving"), F.count("*").alias("n"))
     )
-    ps = F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.9, 0.95)))
-    state_rows = lambda v: F.sum(F.when(F.col("value") == v, F.col("n")))
-    by_signal = counted.groupBy("variant", "signal").agg(
-        F.percentile("value", ps, F.col("driving")).alias("of_driving"), F.percentile("value", ps, F.col("n")).alias("of_all"), state_rows(0.0).alias("runs"), state_rows(1.0).alias("charges")
-    )
-    wide = by_signal.groupBy("variant").agg(
-        *[F.first(F.when(F.col("signal") == "rows", F.coalesce(c, F.lit(0))), ignorenulls=True).alias(c) for c in ("runs", "charges")],
-        *[F.first(F.when(F.col("signal") == s, F.struct("of_driving", "of_all")), ignorenulls=True).alias(s) for s in SCANNED if s != "rows"],
-    )
-    few = F.col("runs") < settings.min_drive_rows
-    of = lambda s: F.when(few, F.col(s)["of_all"]).otherwise(F.col(s)["of_driving"])
+    state_rows = lambda v: F.coalesce(F.sum(F.when(F.col("value") == v, F.col("n"))), F.lit(0))
+    gate = counted.where("signal = 'rows'").groupBy("variant").agg(state_rows(0.0).alias("runs"), state_rows(1.0).alias("charges"))
+    everything = (F.col("signal") == "charge") | (F.col("runs") < settings.min_drive_rows)
+    weighed = counted.where("signal <> 'rows'").join(gate, "variant").select("variant", "signal", "value", F.when(everything, F.col("n")).otherwise(F.col("driving")).alias("n"))
+    signals = [s for s in SCANNED if s != "rows"]
+    wide = counted_percentiles(weighed, ["variant", "signal"], [0.25, 0.5, 0.75, 0.9, 0.95]).groupBy("variant").pivot("signal", signals).agg(F.first("p"))
     place = {"25": 0, "50": 1, "75": 2, "90": 3}
-    four = [of(s)[place[p]].alias(f"{s}_p{p}") for s in ("rpm", "torque", "current", "throttle") for p in place]
-    return wide.select(
+    four = [F.col(s)[place[p]].alias(f"{s}_p{p}") for s in ("rpm", "torque", "current", "throttle") for p in place]
+    return gate.join(wide, "variant", "left").select(
         "variant",
         *four,
-        of("speed")[0].alias("speed_p25"),
-        of("temp")[3].alias("temp_p90"),
-        of("ratio")[4].alias("ratio_rpm_speed_p95"),
-        F.when(F.col("charges") >= settings.min_charge_rows, F.col("charge")["of_all"][2]).alias("charge_current_p75"),
+        F.col("speed")[0].alias("speed_p25"),
+        F.col("temp")[3].alias("temp_p90"),
+        F.col("ratio")[4].alias("ratio_rpm_speed_p95"),
+        F.when(F.col("charges") >= settings.min_charge_rows, F.col("charge")[2]).alias("charge_current_p75"),
     )
 
 

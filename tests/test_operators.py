@@ -238,3 +238,19 @@ def test_reports_go_on_after_a_failed_vehicle():
     Half().reports(["1", "2"], pages.__setitem__)
     assert list(pages) == ["index"] and pages["index"].count("no &lt;data&gt;") == 2
     assert '<a href="3.html">3</a>' in sinks.index_page([("3", "")], {"3": {"variant": "v"}})
+
+
+def test_counted_percentiles(spark):
+    """Ranks over many small partitions equal numpy's percentiles; ties, one value and absent groups included."""
+    import numpy as np
+
+    from fleetlens.functions.quantiles import counted_percentiles
+
+    rng = np.random.default_rng(5)
+    groups = {"big": rng.normal(size=4000).round(2), "ties": np.repeat([1.0, 2.0], [7, 3]), "one": np.array([4.5])}
+    rows = [(g, float(v), int(n)) for g, x in groups.items() for v, n in zip(*np.unique(x, return_counts=True))] + [("none", 1.0, 0)]
+    got = counted_percentiles(spark.createDataFrame(rows, "g string, value double, n long"), ["g"], [0.25, 0.5, 0.9, 0.95])
+    found = {r.g: r.p for r in got.collect()}
+    assert set(found) == set(groups)
+    for g, x in groups.items():
+        assert np.allclose(found[g], np.quantile(x, [0.25, 0.5, 0.9, 0.95]))
