@@ -1,9 +1,11 @@
 """Vehicle features and the unsupervised outlier stage.
 
-Features, imputation, scaling and all percentiles are Spark aggregates. Only fitting
-and scoring run in numpy: clusters and an isolation forest (Liu, Ting and Zhou 2008)
-are fitted on at most FIT_VEHICLES vehicles of a variant, those with the least id
-hashes, and every vehicle is scored in groups of bounded size.
+Features, imputation, scaling and all percentiles are Spark aggregates. Centres are
+moved by means over all vehicles of a variant; each tree of the isolation forest (Liu,
+Ting and Zhou 2008) is grown from its own draw out of the whole variant; every vehicle
+is scored in groups of bounded size. Only the number of clusters, whose silhouette is
+quadratic, and the starting centres come from at most FIT_VEHICLES vehicles of a
+variant, those with the least id hashes.
 """
 
 from __future__ import annotations
@@ -12,17 +14,19 @@ import pickle
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.config import DEFAULT, SIGNALS, Settings
 from fleetlens.functions.core import VEHICLE, severity
+from fleetlens.functions.shared import staged
 from fleetlens.operators.sessions import driving
 
 FEATURES = tuple(f"{s}_{k}" for s in SIGNALS for k in ("p50", "p90", "iqr"))
-#: Bounds of the fit and of one scoring group, in vehicles.
+#: Bounds of the choice of clusters and of one scoring group, in vehicles.
 FIT_VEHICLES, SCORE_VEHICLES = 4000, 50_000
-SUBSAMPLE = 256
+#: Vehicles of a tree, and how many are drawn on average so that enough are there.
+SUBSAMPLE, DRAWN = 256, 400
 
 
 def vehicle_features(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -101,29 +105,30 @@ def path_length(n) -> np.ndarray:
     return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + np.euler_gamma) - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
 
 
+def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple]:
+    """One tree as nodes: (feature, threshold, left, right), or (-1, depth + path, 0, 0) at leaves."""
+    top = int(np.ceil(np.log2(max(len(x), 2))))
+    nodes: list[tuple] = [()]
+    work = [(0, x, 0)]
+    while work:
+        at, part, depth = work.pop()
+        low, high = part.min(0), part.max(0)
+        free = np.flatnonzero(high > low)
+        if depth >= top or len(part) <= 1 or not len(free):
+            nodes[at] = (-1, depth + float(path_length(len(part))), 0, 0)
+            continue
+        f = int(rng.choice(free))
+        cut = float(rng.uniform(low[f], high[f]))
+        nodes[at] = (f, cut, len(nodes), len(nodes) + 1)
+        nodes += [(), ()]
+        left = part[:, f] < cut
+        work += [(nodes[at][2], part[left], depth + 1), (nodes[at][3], part[~left], depth + 1)]
+    return nodes
+
+
 def grow_forest(x: np.ndarray, trees: int, rng: np.random.Generator) -> list[list[tuple]]:
-    """Trees as node lists: (feature, threshold, left, right), or (-1, depth + path, 0, 0) at leaves."""
     size = min(SUBSAMPLE, len(x))
-    top = int(np.ceil(np.log2(max(size, 2))))
-    forest = []
-    for _ in range(trees):
-        nodes: list[tuple] = [()]
-        work = [(0, x[rng.choice(len(x), size, replace=False)], 0)]
-        while work:
-            at, part, depth = work.pop()
-            low, high = part.min(0), part.max(0)
-            free = np.flatnonzero(high > low)
-            if depth >= top or len(part) <= 1 or not len(free):
-                nodes[at] = (-1, depth + float(path_length(len(part))), 0, 0)
-                continue
-            f = int(rng.choice(free))
-            cut = float(rng.uniform(low[f], high[f]))
-            nodes[at] = (f, cut, len(nodes), len(nodes) + 1)
-            nodes += [(), ()]
-            left = part[:, f] < cut
-            work += [(nodes[at][2], part[left], depth + 1), (nodes[at][3], part[~left], depth + 1)]
-        forest.append(nodes)
-    return forest
+    return [grow_tree(x[rng.choice(len(x), size, replace=False)], rng) for _ in range(trees)]
 
 
 def forest_score(forest: list[list[tuple]], x: np.ndarray, size: int) -> np.ndarray:
@@ -143,30 +148,88 @@ def _matrix(part: pd.DataFrame) -> np.ndarray:
     return part[list(FEATURES)].to_numpy(dtype=float)
 
 
-def outlier_flags(features: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Flags of every vehicle with features; variants under the cohort minimum are all NORMAL."""
-    z = standardised(features)
-    order = Window.partitionBy("variant").orderBy(F.xxhash64("imei"), "imei")
-    big = z.where(F.col("cohort") >= settings.min_cohort)
-    sample = big.withColumn("place", F.row_number().over(order)).where(F.col("place") <= FIT_VEHICLES)
+def _chance(*by) -> Column:
+    """A number from 0 up to 1 by the hash of columns; the same in every run."""
+    return F.pmod(F.xxhash64(*by), F.lit(1 << 31)) / F.lit(float(1 << 31))
+
+
+def start_centres(big: DataFrame, settings: Settings = DEFAULT) -> dict[str, np.ndarray]:
+    """The chosen number of clusters of each variant, as centres of its FIT_VEHICLES least id hashes."""
+    low = big.withColumn("chance", _chance("imei")).where(F.col("chance") * F.col("cohort") < 2.0 * FIT_VEHICLES)
+    place = F.row_number().over(Window.partitionBy("variant").orderBy("chance", "imei"))
+    sample = low.withColumn("place", place).where(F.col("place") <= FIT_VEHICLES)
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         x = _matrix(part.sort_values("place"))
-        rng = np.random.default_rng(settings.seed)
-        model = pickle.dumps((pick_clusters(x, settings, rng), grow_forest(x, settings.trees, rng), len(x)))
-        return pd.DataFrame({"variant": [part["variant"].iloc[0]], "model": [model], "cohort": [int(part["cohort"].iloc[0])]})
+        return pd.DataFrame({"variant": [part["variant"].iloc[0]], "centres": [pickle.dumps(pick_clusters(x, settings, np.random.default_rng(settings.seed)))]})
+
+    return {r.variant: pickle.loads(r.centres) for r in sample.groupBy("variant").applyInPandas(fit, "variant string, centres binary").collect()}
+
+
+def moved_centres(big: DataFrame, centres: dict[str, np.ndarray], turns: int = 100) -> dict[str, np.ndarray]:
+    """Lloyd's turns over all vehicles until no centre moves; one small row a variant and cluster reaches the driver."""
+    width = len(FEATURES)
+    for _ in range(turns if centres else 0):
+
+        def sums(batches):
+            held: dict[tuple, list] = {}
+            for batch in batches:
+                for v, part in batch.groupby("variant"):
+                    x = _matrix(part)
+                    own = nearest(x, centres[v])[0]
+                    for c in np.unique(own):
+                        old = held.setdefault((v, int(c)), [0, np.zeros(width)])
+                        old[0] += int((own == c).sum())
+                        old[1] += x[own == c].sum(0)
+            yield pd.DataFrame([(v, c, n, list(t)) for (v, c), (n, t) in held.items()], columns=["variant", "cluster", "n", "sums"])
+
+        parts = big.select("variant", *FEATURES).mapInPandas(sums, "variant string, cluster int, n long, sums array<double>")
+        found = parts.groupBy("variant", "cluster").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums")).collect()
+        new = {v: c.copy() for v, c in centres.items()}
+        for r in found:
+            new[r.variant][r.cluster] = np.array(r.sums) / r.n
+        still = all(np.allclose(new[v], centres[v]) for v in centres)
+        if still:
+            break
+        centres = new
+    return centres
+
+
+def grown_forests(big: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """(variant, forest): every tree from its own draw of SUBSAMPLE vehicles of the whole variant.
+
+    A vehicle joins the draw of a tree by a hash of both, with a chance that gives about
+    DRAWN vehicles a tree; the SUBSAMPLE least hashes of these are used.
+    """
+    by = lambda t: _chance("variant", "imei", t, F.lit(settings.seed))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(settings.trees - 1)), lambda t: by(t) * F.col("cohort") < DRAWN)
+    rows = big.withColumn("tree", F.explode(drawn)).withColumn("chance", by(F.col("tree")))
+
+    def grow(part: pd.DataFrame) -> pd.DataFrame:
+        tree = int(part["tree"].iloc[0])
+        x = _matrix(part.sort_values(["chance", "imei"]).head(SUBSAMPLE))
+        return pd.DataFrame({"variant": [part["variant"].iloc[0]], "tree": [tree], "nodes": [pickle.dumps(grow_tree(x, np.random.default_rng([settings.seed, tree])))]})
+
+    grown = rows.groupBy("variant", "tree").applyInPandas(grow, "variant string, tree int, nodes binary")
+    return grown.groupBy("variant").agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("forest")).select("variant", F.col("forest.nodes").alias("forest"))
+
 
-    models = sample.groupBy("variant").applyInPandas(fit, "variant string, model binary, cohort long")
+def outlier_flags(features: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """Flags of every vehicle with features; variants under the cohort minimum are all NORMAL."""
+    z = staged(standardised(features))
+    big = z.where(F.col("cohort") >= settings.min_cohort)
+    centres = moved_centres(big, start_centres(big, settings))
+    models = grown_forests(big, settings).join(big.groupBy("variant").agg(F.first("cohort").alias("cohort")), "variant")
     groups = lambda c: F.ceil(F.col(c) / SCORE_VEHICLES).cast("int")
     salted = big.withColumn("salt", F.pmod(F.xxhash64("imei"), groups("cohort")).cast("int"))
-    copies = models.withColumn("salt", F.explode(F.sequence(F.lit(0), groups("cohort") - 1))).select("variant", "salt", "model")
+    copies = models.withColumn("salt", F.explode(F.sequence(F.lit(0), groups("cohort") - 1))).select("variant", "salt", "cohort", "forest")
 
     def score(part: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         if part.empty:
             return pd.DataFrame({"variant": [], "imei": [], "cluster_id": [], "distance": [], "iso": []})
-        centres, forest, size = pickle.loads(model["model"].iloc[0])
+        forest, size = [pickle.loads(n) for n in model["forest"].iloc[0]], int(model["cohort"].iloc[0])
         x = _matrix(part)
-        own, far = nearest(x, centres)
+        own, far = nearest(x, centres[part["variant"].iloc[0]])
         return pd.DataFrame({"variant": part["variant"], "imei": part["imei"], "cluster_id": own.astype("int32"), "distance": far, "iso": forest_score(forest, x, size)})
 
     scored = salted.groupBy("variant", "salt").cogroup(copies.groupBy("variant", "salt")).applyInPandas(score, "variant string, imei string, cluster_id int, distance double, iso double")

@@ -254,3 +254,22 @@ def test_counted_percentiles(spark):
     assert set(found) == set(groups)
     for g, x in groups.items():
         assert np.allclose(found[g], np.quantile(x, [0.25, 0.5, 0.9, 0.95]))
+
+
+def test_outlier_fit_uses_every_vehicle(spark, monkeypatch):
+    """Centres after the fit are means over all vehicles, though the choice of clusters saw a few; each tree draws from all."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    x = np.vstack([rng.normal(-3, 0.5, (150, len(ml.FEATURES))), rng.normal(3, 0.5, (150, len(ml.FEATURES)))])
+    frame = pd.DataFrame(x, columns=list(ml.FEATURES)).assign(variant="v", imei=[str(i) for i in range(300)], cohort=300)
+    big = spark.createDataFrame(frame).repartition(7)
+    monkeypatch.setattr(ml, "FIT_VEHICLES", 40)
+    start = ml.start_centres(big)
+    moved = ml.moved_centres(big, start)["v"]
+    own = ml.nearest(x, moved)[0]
+    assert len(start["v"]) == len(moved)
+    assert np.allclose(moved, [x[own == c].mean(0) for c in range(len(moved))], atol=1e-6)
+    forest = ml.grown_forests(big).first().forest
+    assert len(forest) == DEFAULT.trees
