@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +50,18 @@ def lookup(records: DataFrame, imei: str) -> DataFrame:
     return records.where(F.col("imei") == imei).limit(1)
 
 
+def find_record(spark: SparkSession, path: str, schema, imei: str) -> dict | None:
+    """Best effort: one vehicle's record of a JSON records folder; None where folder or vehicle is missing.
+
+    Damaged lines become NULL fields under the schema and so match no vehicle.
+    """
+    try:
+        found = lookup(read_json_records(spark, path, schema), imei).first()
+    except AnalysisException:
+        return None
+    return found.asDict(recursive=True) if found else None
+
+
 def render(template: str, document: str) -> str:
     """A template with its data put in; closing tags in the data cannot end the script."""
     return template.replace("{{DATA_JSON}}", document.replace("</", "<\\/"))

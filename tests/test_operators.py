@@ -273,3 +273,16 @@ def test_outlier_fit_uses_every_vehicle(spark, monkeypatch):
     assert np.allclose(moved, [x[own == c].mean(0) for c in range(len(moved))], atol=1e-6)
     forest = ml.grown_forests(big).first().forest
     assert len(forest) == DEFAULT.trees
+
+
+def test_find_record(spark, tmp_path):
+    """A record is found beside a damaged line; a missing vehicle or folder gives none."""
+    from fleetlens.sources import sinks
+
+    path = tmp_path / "records"
+    path.mkdir()
+    (path / "a.json").write_text('{"imei": "7", "verdict": "WATCH"}\n{"imei": "8", "verd\n')
+    schema = "imei string, verdict string"
+    assert sinks.find_record(spark, str(path), schema, "7") == {"imei": "7", "verdict": "WATCH"}
+    assert sinks.find_record(spark, str(path), schema, "8") is None
+    assert sinks.find_record(spark, str(tmp_path / "absent"), schema, "7") is None
