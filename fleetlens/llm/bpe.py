@@ -34,7 +34,7 @@ CACHE_BYTES, CACHE_PIECES = 48, 200_000
 CACHE_PAIRS = 300_000
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable stand-ins of the 256 byte values in byte-level vocabularies."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(printable)]
@@ -50,7 +50,7 @@ class Codec:
 
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
-        letters = _byte_letters()
+        letters = byte_letters()
         as_bytes = lambda token: bytes(letters[c] for c in token)
         model = data["model"]
         vocab = {as_bytes(t): i for t, i in model["vocab"].items()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, decontaminate, html_extract, license_scan, line_dedup, near_dedup, pii, quality_mil, quality_rules, sharding
+from fleetlens.llm import bpe, decontaminate, divergence, fill_in_middle, html_extract, license_scan, line_dedup, near_dedup, packing, pii, quality_mil, quality_rules, sharding
 from fleetlens.llm.common import table
 
 
@@ -71,9 +71,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")]
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op12_divergence": divergence.ORACLE, "op13_fill_in_middle": fill_in_middle.ORACLE}
