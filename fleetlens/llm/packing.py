@@ -92,17 +92,17 @@ def encoder(path: str) -> WordEncoder:
 
 
 def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = END_ID, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, ids, part, rest, place, first_full): ids with the end token, and places among equal lengths.
+    """(doc_id, ids, part, rest, place, first_full, full): ids with the end token, and places among equal lengths.
 
-    ``rest`` is the length beyond whole sequences, ``place`` its number among the rests of
-    that length that this task (``part``) made, ``first_full`` the whole sequences made
-    before. To be written before use: the places belong to one run of the task.
+    ``rest`` is the length beyond ``full`` whole sequences, ``place`` its number among the
+    rests of that length that this task (``part``) made, ``first_full`` the whole sequences
+    made before. To be written before use: the places belong to one run of the task.
     """
     path = path or public_path(TOKENIZER)
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType(
         [T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]
-        + [T.StructField(c, T.LongType()) for c in ("part", "rest", "place", "first_full")]
+        + [T.StructField(c, T.LongType()) for c in ("part", "rest", "place", "first_full", "full")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +111,7 @@ def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", path: st
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 some = batch.slice(at, ROWS_AT_ONCE)
-                lists, rests, places, firsts = [], [], [], []
+                lists, rests, places, firsts, fulls = [], [], [], [], []
                 for x in some.column(1).to_pylist():
                     ids = np.append(enc.encode(x or ""), np.int32(end_id))
                     rest = len(ids) % limit
@@ -119,11 +119,12 @@ def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", path: st
                     rests.append(rest)
                     places.append(seen[rest])
                     firsts.append(full)
+                    fulls.append(len(ids) // limit)
                     seen[rest] += 1
-                    full += len(ids) // limit
+                    full += fulls[-1]
                 offsets = np.concatenate([[0], np.cumsum([len(i) for i in lists])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists), type=pa.int32()))
-                numbers = [pa.array(c, type=pa.int64()) for c in ([part] * len(lists), rests, places, firsts)]
+                numbers = [pa.array(c, type=pa.int64()) for c in ([part] * len(lists), rests, places, firsts, fulls)]
                 yield pa.RecordBatch.from_arrays([some.column(0), ids, *numbers], names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -209,10 +210,10 @@ def ranked(tokens: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, dict[int,
 
     Ranks are a part's running count before plus the place inside it: the ids are joined
     with narrow counts by (part, length), so a length that a third of the documents have is
-    as many groups as there are parts. The histogram has at most ``limit`` rows.
+    as many groups as there are parts. They are written first, so Spark knows their size and
+    broadcasts them where they are small. The histogram has at most ``limit`` rows.
     """
-    size = F.size("ids")
-    counts = tokens.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum(F.floor(size / limit)).alias("full"))
+    counts = tokens.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum("full").alias("full"))
     full = counts.groupBy("part").agg(F.sum("full").alias("n")).select("part", F.lit(limit).cast("long").alias("rest"), "n")
     before = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = counts.select("part", "rest", "n").unionAll(full).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -221,7 +222,7 @@ def ranked(tokens: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, dict[int,
     found = {r.rest: r.n for r in sums.groupBy("rest").agg(F.sum("n").alias("n")).collect()}
     whole = found.pop(limit, 0)
     found.pop(0, None)
-    return tokens.join(offsets, ["part", "rest"]), found, whole
+    return tokens.join(written(offsets)[0], ["part", "rest"]), found, whole
 
 
 def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = END_ID, limit: int = LIMIT, with_ids: bool = False) -> DataFrame:
