@@ -7,9 +7,12 @@ Arc90 Readability experiment), with what stands beside it or beside an element a
 it and has a good score or mostly unlinked text. Lists of links go, unless they follow
 a heading inside it. Menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and comments go first: by tag, role or
-being hidden; by a class or id that names boilerplate, unless the element holds ``article``
-or ``main`` or most of the page's text (reader comments go even then); with a
-boilerplate word elsewhere in a name only if it is mostly links, else its score is lowered.
+being hidden; by a class or id that names boilerplate; with a boilerplate word elsewhere
+in a name only if it is mostly links. A word removes nothing where all elements that it
+names hold most of the unlinked text of the article (of the page, if it has no ``article``
+or ``main``): it then names layout, and only lowers their scores. Elements that hold
+``article`` or ``main`` stay; reader comments go in any case. Forms and fieldsets follow the
+same rule by their tag, and stay if they hold paragraphs and no control.
 
 Defined results: NULL or empty html gives an empty text; markup that never closes
 ends at the end of the page; repeated rows give equal results; an empty table gives
@@ -33,7 +36,10 @@ ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 ENDS_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-NEVER_TEXT = frozenset("script style noscript template iframe object embed svg math canvas audio video head title select option button textarea input form nav footer aside dialog menu fieldset".split())
+NEVER_TEXT = frozenset("script style noscript template iframe object embed svg math canvas audio video head title select option button textarea input nav footer aside menu".split())
+#: Tags that are boilerplate like a name; of these, the ones that are layout if they hold paragraphs and no control.
+NAMING_TAGS, CONTROL_TAGS = frozenset("form fieldset dialog".split()), frozenset("form fieldset".split())
+CONTROLS = frozenset("input select textarea button".split())
 NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NOT_TEXT_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert sidebar aside menu menus nav navbar navigation "
@@ -52,41 +58,43 @@ LAYOUT_NAMES = frozenset(
     "area bar block bottom box button buttons column content container group inner item items left link links list outer panel posts right section text title top wrap wrapper".split()
 )
 READER_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
-#: On pages without article or main: share of the unlinked text over which a name alone does not remove an element.
+#: Share of the unlinked text over which a word names layout and removes nothing.
 MOST_TEXT = 0.5
+#: Share of the page's unlinked text from which ``article`` or ``main`` is the article, and names outside are boilerplate.
+REAL_MAIN = 0.1
 #: What is left of the score of an element with a boilerplate word elsewhere in its name.
 NAMED_SHARE = 0.75
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "gone", "main", "chars", "linked", "score", "order")
+    __slots__ = ("tag", "parent", "parts", "gone", "main", "controls", "prose", "chars", "linked", "score", "order")
 
     def __init__(self, tag: str, parent: Node | None, gone: bool):
         self.tag, self.parent, self.gone = tag, parent, gone
         self.parts: list[Node | str] = []
-        self.main = False
+        self.main = self.controls = self.prose = False
         self.chars = self.linked = 0
         self.score = 0.0
 
 
-def unwanted(tag: str, attrs: list[tuple[str, str | None]], inside_main: bool) -> tuple[bool, int]:
-    """Whether an element is surely boilerplate, and what its names say (``name_kind``)."""
+def unwanted(tag: str, attrs: list[tuple[str, str | None]], inside_main: bool) -> tuple[bool, int, str]:
+    """Whether an element is surely boilerplate, what its names say (``name_kind``), and by which word."""
     if tag in NEVER_TEXT or tag == "header" and not inside_main:
-        return True, 0
-    named = 0
+        return True, 0, ""
+    named = (2, tag) if tag in NAMING_TAGS else (0, "")
     for name, value in attrs:
         value = value or ""
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True, 0
+            return True, 0, ""
         if name == "role" and value.strip().lower() in NOT_TEXT_ROLES:
-            return True, 0
+            return True, 0, ""
         if name in ("class", "id"):
             named = max([named, *(name_kind(x, inside_main) for x in value.split())])
-    return False, 0 if tag in HOLDS_MAIN else named
+    return False, *((0, "") if tag in HOLDS_MAIN else named)
 
 
-def name_kind(name: str, inside_main: bool) -> int:
-    """What one class or id says: 0 nothing, 1 a boilerplate word somewhere, 2 boilerplate, 3 reader comments.
+def name_kind(name: str, inside_main: bool) -> tuple[int, str]:
+    """What one class or id says: 0 nothing, 1 a boilerplate word somewhere, 2 boilerplate, 3 reader comments; and the word.
 
     The last word that is no layout word is what a compound names: ``related-posts`` and
     ``post-comments`` are boilerplate, ``related-work`` and ``share-price`` are not.
@@ -94,10 +102,12 @@ def name_kind(name: str, inside_main: bool) -> int:
     parts = [p.lower() for p in NAME_PARTS.findall(name)]
     hit = {p for p in parts if p in NOT_TEXT_NAMES}
     if not hit or inside_main and hit == {"header"}:
-        return 0
+        return 0, ""
     while len(parts) > 1 and parts[-1] in LAYOUT_NAMES:
         parts.pop()
-    return 3 if parts[-1] in READER_NAMES else 2 if parts[-1] in NOT_TEXT_NAMES else 1
+    if parts[-1] in NOT_TEXT_NAMES:
+        return 3 if parts[-1] in READER_NAMES else 2, parts[-1]
+    return 1, min(hit)
 
 
 class Tree(HTMLParser):
@@ -107,16 +117,16 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", None, False)
         self.nodes = [self.root]
-        self.named: list[tuple[Node, int]] = []
+        self.named: list[tuple[Node, int, str]] = []
         self.open = [self.root]
         self.counts: dict[str, int] = {}
 
     def _push(self, tag, attrs):
         top = self.open[-1]
-        sure, named = unwanted(tag, attrs, self.counts.get("article", 0) + self.counts.get("main", 0) > 0)
+        sure, named, word = unwanted(tag, attrs, self.counts.get("article", 0) + self.counts.get("main", 0) > 0)
         node = Node(tag, top, sure)
         if named:
-            self.named.append((node, named))
+            self.named.append((node, named, word))
         top.parts.append(node)
         self.nodes.append(node)
         return node
@@ -154,6 +164,9 @@ class Tree(HTMLParser):
 
 def _measure(nodes: list[Node]) -> None:
     for node in reversed(nodes):  # children come after parents
+        if node.parent is not None:
+            node.parent.controls |= node.controls or node.tag in CONTROLS
+            node.parent.prose |= node.prose or node.tag == "p"
         if node.gone:
             continue
         for part in node.parts:
@@ -167,6 +180,38 @@ def _measure(nodes: list[Node]) -> None:
             node.linked = node.chars
 
 
+def _named_boilerplate(tree: Tree) -> list[Node]:
+    """Named elements that go: by word and scope, unless the word's elements together hold most of the scope's text.
+
+    The scope is the outermost ``article`` or ``main`` around an element, else the page.
+    On a page whose ``article`` or ``main`` holds a real part of the text, a name outside
+    of them is enough.
+    """
+    unlinked = lambda n: n.chars - n.linked
+    root, scopes, inside = tree.root, {}, 0
+    for node in tree.nodes:
+        above = scopes.get(id(node.parent), root)
+        scopes[id(node)] = node if above is root and node.tag in ("article", "main") and not node.gone else above
+        if scopes[id(node)] is node and node is not root:
+            inside += unlinked(node)
+    whole = {id(root): 1.0 if inside > REAL_MAIN * unlinked(root) else MOST_TEXT}
+    layout = lambda n, word: n.tag in CONTROL_TAGS and word == n.tag and n.prose and not n.controls
+    asked = [(n, word, kind) for n, kind, word in tree.named if not n.gone and not n.main and (kind > 1 or _density(n) > MOSTLY_LINKS) and not layout(n, word)]
+    held: dict[tuple[int, str], int] = {}
+    words: dict[int, frozenset[str]] = {}
+    named = {id(n): word for n, word, _ in asked}
+    for node in tree.nodes:  # an element inside another one of its word counts with that one
+        over = words.get(id(node.parent), frozenset())
+        word = named.get(id(node))
+        if word is not None and word not in over:
+            scope = id(scopes[id(node)])
+            held[scope, word] = held.get((scope, word), 0) + unlinked(node)
+            over |= {word}
+        words[id(node)] = over
+    fits = lambda n, word: held[id(s := scopes[id(n)]), word] <= whole.get(id(s), MOST_TEXT) * unlinked(s)
+    return [n for n, word, kind in asked if kind == 3 or fits(n, word)]
+
+
 def _density(node: Node) -> float:
     return node.linked / node.chars if node.chars else 0.0
 
@@ -269,10 +314,7 @@ def main_text(html: str | None) -> str:
         if node.parent is not None and node.parent.gone:
             node.gone = True
     _measure(nodes)
-    # Beside ``article`` or ``main`` a name is enough.
-    most = (1 if tree.root.main else MOST_TEXT) * (tree.root.chars - tree.root.linked)
-    dropped = [n for n, kind in tree.named if not n.gone and not n.main and (kind == 3 or n.chars - n.linked <= most and (kind == 2 or _density(n) > MOSTLY_LINKS))]
-    if dropped:
+    if dropped := _named_boilerplate(tree):
         for node in dropped:
             node.gone = True
         for node in nodes:
@@ -286,7 +328,7 @@ def main_text(html: str | None) -> str:
         return ""
     for n in boxes:
         n.score *= 1 - _density(n)
-    for n, _ in tree.named:
+    for n, _, _ in tree.named:
         n.score *= NAMED_SHARE
     best = max(boxes, key=lambda n: n.score)
     around, above = set(), best.parent
