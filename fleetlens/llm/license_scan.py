@@ -6,15 +6,18 @@ so each indexed fingerprint that occurs is found. Hits on nearby diagonals make
 candidate, which a banded alignment scores: matched words in order within BAND of
 the candidate's diagonals give coverage of the template and the matched span. Exact
 copies are taken first; hits outside accepted spans are aligned again until none passes.
+Templates share words, so spans of several can lie on one notice: of those that overlap,
+the one with most matched words stays (then the best coverage, then the first name).
 
 Defined results: a NULL or empty text has no matches; templates without words never
-match; a template found twice gives two rows; repeated rows match alike; an empty
+match; a template found twice gives two rows; no span is longer than its template by
+over BAND words; repeated rows match alike; an empty
 table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
+from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -27,7 +30,6 @@ K, WINDOW = 3, 4
 BAND = 8
 LEAST_COVERAGE = 0.75
 MATCH = "array<struct<license:string,start:int,end:int,matched:int,coverage:double>>"
-_WORD = re.compile(r"[^\W_]+")
 _BREAKS = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 
 # Public license texts and notices.
@@ -44,6 +46,7 @@ TEMPLATES = {
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "CC-BY-4.0-notice": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -122,7 +125,12 @@ def copies(template: list[int], ids: list[int], hits: list[tuple[int, int]]) ->
             matched = 0
         else:
             matched, a, b = align(template, ids[begin:end], begin, chain[0][0] - BAND - begin, top + BAND - begin)
-        if matched >= LEAST_COVERAGE * n:
+        if matched >= LEAST_COVERAGE * n and b - a >= n + BAND:
+            # Words of two places: look at each end alone, in a window that ends before the other.
+            left, right = min(high, a + n + BAND), max(low, b - n - BAND + 1)
+            work += [(c, low, left, False) for c in chained([h for h in chain if h[1] < left])]
+            work += [(c, right, high, False) for c in chained([h for h in chain if h[1] >= right])]
+        elif matched >= LEAST_COVERAGE * n:
             out.append((a, b, matched))
             work += [(c, low, a, False) for c in chained([h for h in chain if h[1] < a])]
             work += [(c, b + 1, high, False) for c in chained([h for h in chain if h[1] > b])]
@@ -167,15 +175,25 @@ class LicenseIndex:
                         hits[name].append((p - at, p))
         if not hits:
             return []
-        places = None
-        out = []
-        for name, found in hits.items():
-            template = self.templates[name]
-            spans = copies(template, ids, found)
-            for a, b, matched in spans:
-                places = places or word_places(text)
-                out.append((name, places[a][0], places[b][1], matched, matched / len(template)))
-        return sorted(out, key=lambda m: (m[1], m[0], m[2]))
+        spans = [(name, a, b, matched, matched / len(self.templates[name])) for name, found in hits.items() for a, b, matched in copies(self.templates[name], ids, found)]
+        if not spans:
+            return []
+        places = word_places(text)
+        return [(name, places[a][0], places[b][1], matched, coverage) for name, a, b, matched, coverage in without_overlaps(spans)]
+
+
+def without_overlaps(spans: list[tuple[str, int, int, int, float]]) -> list[tuple[str, int, int, int, float]]:
+    """Spans (license, first, last, matched, coverage) by place, the better one of each two that share a word."""
+    kept: list[tuple[int, int]] = []  # (first, last) by place, disjoint
+    out = []
+    for span in sorted(spans, key=lambda s: (-s[3], -s[4], s[0], s[1])):
+        first, last = span[1], span[2]
+        i = bisect_left(kept, (first, first))
+        if (i and kept[i - 1][1] >= first) or (i < len(kept) and kept[i][0] <= last):
+            continue
+        insort(kept, (first, last))
+        out.append(span)
+    return sorted(out, key=lambda s: (s[1], s[0], s[2]))
 
 
 def split_words(text: str) -> list[bytes]:
