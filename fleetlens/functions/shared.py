@@ -5,6 +5,10 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Rows up to which a staged side of a join is broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -20,3 +24,8 @@ def staged(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="fleetlens-"))
     return df.checkpoint(eager=True)
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A staged table with a broadcast hint where a count shows that it is small."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

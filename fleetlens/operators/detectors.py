@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import CHARGE, DEFAULT, DETECTORS, RUN, Settings
 from fleetlens.functions.core import VEHICLE
-from fleetlens.functions.quantiles import counted_percentiles
-from fleetlens.functions.shared import staged
+from fleetlens.functions.quantiles import Wanted, exact_percentiles
+from fleetlens.functions.shared import small, staged
 from fleetlens.operators.sessions import charge_sessions_of, dwell_runs, trips_of
 
+# Threshold names and mask conditions of the results.
 THRESHOLDS = (
     *[f"{s}_p{p}" for s in ("rpm", "torque", "current", "throttle") for p in (25, 50, 75, 90)],
     "speed_p25",
@@ -32,45 +33,35 @@ RUN_MASKS = {
 CHARGE_MASK = "soc >= 95 and current >= charge_current_p75"
 
 
-#: Signals of the one scan: the driving signals, the gated ratio, the charging current, and the row counts by state.
-SCANNED = {
-    **{s: s for s in ("rpm", "torque", "current", "throttle", "speed", "temp")},
-    "ratio": "case when speed > 3 and rpm > 50 then rpm / speed end",
-    "charge": f"case when state = {CHARGE} then current end",
-    "rows": f"case state when {RUN} then 0d when {CHARGE} then 1d else 2d end",
-}
-
-
 def variant_thresholds(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Exact percentiles of each variant, over driving rows or, where these are too few, all its rows; NULL without data.
 
-    One scan: values are counted first, among driving rows and among all, so a variant
-    with a third of all rows leaves one row for each distinct value and task. Which of
-    the two counts holds is known once the variant's rows are counted, from the same
-    staged table. The percentiles are found by rank, spread over all tasks.
+    Row counts by state come first: they tell which rows of a variant count. The
+    percentiles are bracketed by sketches, so no values but those next to a threshold are
+    shuffled, and no task holds a variant. A variant is one row of every joined table.
     """
-    stack = ", ".join(f"'{s}', cast({e} as double)" for s, e in SCANNED.items())
-    counted = staged(
-        rows.select("variant", (F.col("state") == RUN).alias("drives"), F.expr(f"stack({len(SCANNED)}, {stack}) as (signal, value)"))
-        .where("value is not null")
-        .groupBy("variant", "signal", "value")
-        .agg(F.count_if("drives").alias("driving"), F.count("*").alias("n"))
+    gate = staged(rows.groupBy("variant").agg(F.count_if(F.col("state") == RUN).alias("runs"), F.count_if(F.col("state") == CHARGE).alias("charges")))
+    counts = (F.col("state") == RUN) | (F.col("runs") < settings.min_drive_rows)
+    of = lambda c: F.when(counts, F.col(c))
+    four = ("rpm", "torque", "current", "throttle")
+    found = exact_percentiles(
+        rows.select("variant", "state", *four, "speed", "temp").join(small(gate), "variant"),
+        ["variant"],
+        [
+            *[Wanted(s, of(s), (0.25, 0.5, 0.75, 0.9)) for s in four],
+            Wanted("speed", of("speed"), (0.25,)),
+            Wanted("temp", of("temp"), (0.9,)),
+            Wanted("ratio", F.when(counts & (F.col("speed") > 3) & (F.col("rpm") > 50), F.col("rpm") / F.col("speed")), (0.95,)),
+            Wanted("charge", F.when(F.col("state") == CHARGE, F.col("current")), (0.75,)),
+        ],
     )
-    state_rows = lambda v: F.coalesce(F.sum(F.when(F.col("value") == v, F.col("n"))), F.lit(0))
-    gate = counted.where("signal = 'rows'").groupBy("variant").agg(state_rows(0.0).alias("runs"), state_rows(1.0).alias("charges"))
-    everything = (F.col("signal") == "charge") | (F.col("runs") < settings.min_drive_rows)
-    weighed = counted.where("signal <> 'rows'").join(gate, "variant").select("variant", "signal", "value", F.when(everything, F.col("n")).otherwise(F.col("driving")).alias("n"))
-    signals = [s for s in SCANNED if s != "rows"]
-    wide = counted_percentiles(weighed, ["variant", "signal"], [0.25, 0.5, 0.75, 0.9, 0.95]).groupBy("variant").pivot("signal", signals).agg(F.first("p"))
-    place = {"25": 0, "50": 1, "75": 2, "90": 3}
-    four = [F.col(s)[place[p]].alias(f"{s}_p{p}") for s in ("rpm", "torque", "current", "throttle") for p in place]
-    return gate.join(wide, "variant", "left").select(
+    return gate.join(found, "variant", "left").select(
         "variant",
-        *four,
+        *[F.col(s)[i].alias(f"{s}_p{p}") for s in four for i, p in enumerate((25, 50, 75, 90))],
         F.col("speed")[0].alias("speed_p25"),
-        F.col("temp")[3].alias("temp_p90"),
-        F.col("ratio")[4].alias("ratio_rpm_speed_p95"),
-        F.when(F.col("charges") >= settings.min_charge_rows, F.col("charge")[2]).alias("charge_current_p75"),
+        F.col("temp")[0].alias("temp_p90"),
+        F.col("ratio")[0].alias("ratio_rpm_speed_p95"),
+        F.when(F.col("charges") >= settings.min_charge_rows, F.col("charge")[0]).alias("charge_current_p75"),
     )
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import DANGER_DETECTORS, DEFAULT, Settings
 from fleetlens.functions.core import VEHICLE, detector_status, deviation, deviation_band, half_even_bin, mode_class, uneven_bin
+from fleetlens.functions.quantiles import exact_medians
+from fleetlens.functions.shared import small, staged
 from fleetlens.operators.detectors import RUN_DETECTORS
 
 # Reported attributes, bucket edges and map edges.
@@ -25,16 +27,15 @@ def with_bins(trips: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 
 def reference(trips: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Medians of each (variant, duration bin, charge bin) with enough trips, in order."""
-    return (
-        with_bins(trips, settings)
-        .where("duration_bin is not null and soc_consumed_bin is not null")
-        .groupBy("variant", "duration_bin", "soc_consumed_bin")
-        .agg(F.count("*").alias("fleet_n"), *[F.median(a).alias(f"median_{a}") for a in (*ATTRIBUTES, *EVENT_ATTRIBUTES)])
-        .where(F.col("fleet_n") >= settings.min_bucket)
-        .withColumn("low_confidence", F.col("fleet_n") < settings.low_confidence)
-        .orderBy("variant", "duration_bin", "soc_consumed_bin")
-    )
+    """Medians of each (variant, duration bin, charge bin) with enough trips, in order.
+
+    Trips of buckets that are too small go before the medians; a bucket may hold a third of all trips.
+    """
+    key, attributes = ["variant", "duration_bin", "soc_consumed_bin"], [*ATTRIBUTES, *EVENT_ATTRIBUTES]
+    binned = with_bins(trips, settings).where("duration_bin is not null and soc_consumed_bin is not null").select(*key, *attributes)
+    sizes = staged(binned.groupBy(*key).agg(F.count("*").alias("fleet_n")).where(F.col("fleet_n") >= settings.min_bucket))
+    medians = exact_medians(binned.join(small(sizes), key), key, attributes, "median_")
+    return sizes.join(medians, key).withColumn("low_confidence", F.col("fleet_n") < settings.low_confidence).orderBy(*key)
 
 
 def nearest_bucket(trips: DataFrame, fleet: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -107,7 +108,7 @@ def attribute_means(trips: DataFrame, mode: str | None = None, elevated: bool |
 
 def fleet_medians(fleet: DataFrame) -> DataFrame:
     """Median of bucket medians for each variant."""
-    return fleet.groupBy("variant").agg(*[F.median(f"median_{a}").alias(a) for a in SHOWN])
+    return exact_medians(fleet.select("variant", *[F.col(f"median_{a}").alias(a) for a in SHOWN]), ["variant"], SHOWN)
 
 
 def vehicle_range(trips: DataFrame) -> DataFrame:
@@ -122,7 +123,8 @@ def vehicle_range(trips: DataFrame) -> DataFrame:
 def fleet_range(records: DataFrame) -> DataFrame:
     """Median km per per cent of charge over nested trips of each variant."""
     k = F.col("t.km_per_soc_pct")
-    return records.select("variant", F.explode("trips").alias("t")).where(k > 0).groupBy("variant").agg(F.median(k).alias("fleet_range"))
+    ranges = staged(records.select("variant", F.explode("trips").alias("t")).where(k > 0).select("variant", k.alias("fleet_range")))
+    return exact_medians(ranges, ["variant"], ["fleet_range"])
 
 
 def elevated_rows(rows: DataFrame, trips: DataFrame, elevated_only: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.core import VEHICLE, edge_bin
+from fleetlens.functions.quantiles import Wanted, exact_percentiles
 
 # Signal: (low, high, bins); controller mode has one bin for each valid mode.
 BINS = {"rpm": (0.0, 7000.0, 28), "torque": (0.0, 200.0, 20), "speed": (0.0, 80.0, 16), "throttle": (0.0, 10.0, 20), "current": (0.0, 300.0, 20), "temp": (0.0, 100.0, 20), "soc": (0.0, 100.0, 20)}
@@ -77,12 +78,12 @@ def cluster_summary(recs: DataFrame) -> DataFrame:
     totals = recs.groupBy("variant").agg(
         F.count("*").alias("n_vehicles"),
         F.sum("n_records").alias("n_records"),
-        F.percentile("distance_to_center", 0.9).alias("distance_threshold"),
         F.count_if("is_anomaly").alias("n_anomalies"),
         F.count_if(F.col("severity") == "HIGH").alias("n_high_severity"),
         F.count_if(F.col("severity") == "MEDIUM").alias("n_medium_severity"),
     )
-    return totals.join(sizes, "variant").select("variant", "n_vehicles", "n_records", "n_clusters", dense_sizes.alias("cluster_sizes"), "distance_threshold", "n_anomalies", "n_high_severity", "n_medium_severity")
+    far = exact_percentiles(recs, ["variant"], [Wanted("far", F.col("distance_to_center"), (0.9,))]).select("variant", F.col("far")[0].alias("distance_threshold"))
+    return totals.join(sizes, "variant").join(far, "variant").select("variant", "n_vehicles", "n_records", "n_clusters", dense_sizes.alias("cluster_sizes"), "distance_threshold", "n_anomalies", "n_high_severity", "n_medium_severity")
 
 
 def totals(clusters: DataFrame) -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import DEFAULT, SIGNALS, Settings
 from fleetlens.functions.core import VEHICLE, severity
-from fleetlens.functions.shared import staged
+from fleetlens.functions.quantiles import Wanted, exact_medians, exact_percentiles
+from fleetlens.functions.shared import small, staged
 from fleetlens.operators.sessions import driving
 
 FEATURES = tuple(f"{s}_{k}" for s in SIGNALS for k in ("p50", "p90", "iqr"))
@@ -41,8 +42,9 @@ def vehicle_features(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame
 
 def standardised(features: DataFrame) -> DataFrame:
     """Missing features at the variant's median, then (x - mean) / population deviation; deviation 0 counts as 1."""
-    med = features.groupBy("variant").agg(*[F.median(f).alias(f"med_{f}") for f in FEATURES])
-    filled = features.join(med, "variant").select(*VEHICLE, "n_records", *[F.coalesce(f, f"med_{f}", F.lit(0.0)).alias(f) for f in FEATURES])
+    features = staged(features)
+    med = staged(exact_medians(features, ["variant"], FEATURES, "med_"))
+    filled = features.join(small(med), "variant").select(*VEHICLE, "n_records", *[F.coalesce(f, f"med_{f}", F.lit(0.0)).alias(f) for f in FEATURES])
     stats = filled.groupBy("variant").agg(F.count("*").alias("cohort"), *[F.avg(f).alias(f"mean_{f}") for f in FEATURES], *[F.stddev_pop(f).alias(f"sd_{f}") for f in FEATURES])
     z = [((F.col(f) - F.col(f"mean_{f}")) / F.when(F.col(f"sd_{f}") > 1e-12, F.col(f"sd_{f}")).otherwise(1.0)).alias(f) for f in FEATURES]
     return filled.join(stats, "variant").select(*VEHICLE, "n_records", "cohort", *z)
@@ -244,10 +246,11 @@ def outlier_flags(features: DataFrame, settings: Settings = DEFAULT) -> DataFram
 def mark(scored: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Outliers of (variant, imei, cluster_id, distance, iso): the farthest and the oddest tenth."""
     top = 1 - settings.contamination
-    cut = scored.groupBy("variant").agg(F.percentile("distance", 0.9).alias("far"), F.percentile("iso", top).alias("odd"))
+    scored = staged(scored)
+    cut = staged(exact_percentiles(scored, ["variant"], [Wanted("far", F.col("distance"), (0.9,)), Wanted("odd", F.col("iso"), (top,))])).select("variant", F.col("far")[0].alias("far"), F.col("odd")[0].alias("odd"))
     by_far, by_odd = F.col("distance") >= F.col("far"), F.col("iso") > F.col("odd")
     tier = by_far.cast("int") + by_odd.cast("int")
-    return scored.join(cut, "variant").select(
+    return scored.join(small(cut), "variant").select(
         *VEHICLE, "cluster_id", F.bround("distance", 4).alias("distance_to_center"), F.bround("iso", 4).alias("isolation_score"), by_far.alias("cluster_outlier"),
         by_odd.alias("isolation_outlier"), (by_far | by_odd).alias("is_anomaly"), tier.alias("severity_tier"), severity(tier).alias("severity"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import DEFAULT, DETECTORS, MATCH_FEATURES, VERDICTS, Settings
 from fleetlens.functions.core import VEHICLE, verdict_rank, verdict_severity
+from fleetlens.functions.quantiles import Wanted, exact_percentiles
 from fleetlens.functions.shared import staged
 
 #: Vehicles of a tile of the peer search, and targets compared at once (some 20 MB).
@@ -21,17 +22,26 @@ TRIP_FIELDS = (
 )
 
 
-def robust_scale(long: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+def robust_scale(long: DataFrame, keys: list[str], value: str = "value", bounded: bool = False) -> DataFrame:
     """Median and scale of ``value`` for each key group: (keys, med, scale).
 
     Scale: 1.4826 times the median absolute deviation; if that is 0, IQR / 1.349; if
     that is 0 too, the population deviation, or 1 if there is none; 1e-9 at least.
+    Groups of any size; ``bounded`` groups (the peers of one vehicle) are sorted in one task each.
     """
-    first = long.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.stddev_pop(value).alias("sd")
-    )
-    off = long.where(F.col(value).isNotNull()).join(first, keys).withColumn("off", F.abs(F.col(value) - F.col("q")[1]))
-    spread = off.groupBy(*keys).agg((F.median("off") * 1.4826).alias("mad"), F.first("q").alias("q"), F.first("sd").alias("sd"))
+    quarters = (0.25, 0.5, 0.75)
+    known = long.where(F.col(value).isNotNull())
+    if bounded:
+        first = known.groupBy(*keys).agg(F.percentile(value, F.array(*map(F.lit, quarters))).alias("q"), F.stddev_pop(value).alias("sd"))
+    else:
+        known = staged(known.select(*keys, value))
+        first = staged(exact_percentiles(known, keys, [Wanted("q", F.col(value), quarters)]).join(known.groupBy(*keys).agg(F.stddev_pop(value).alias("sd")), keys))
+    off = known.join(first, keys).withColumn("off", F.abs(F.col(value) - F.col("q")[1]))
+    if bounded:
+        middle = off.groupBy(*keys).agg(F.median("off").alias("mid"))
+    else:
+        middle = exact_percentiles(staged(off), keys, [Wanted("mid", F.col("off"), (0.5,))]).withColumn("mid", F.col("mid")[0])
+    spread = first.join(middle, keys).withColumn("mad", F.col("mid") * 1.4826)
     iqr = F.col("q")[2] - F.col("q")[0]
     scale = F.when(F.col("mad") > 0, F.col("mad")).when(iqr > 0, iqr / 1.349).when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)
     return spread.select(*keys, F.col("q")[1].alias("med"), F.greatest(scale, F.lit(1e-9)).alias("scale"))
@@ -109,7 +119,7 @@ def peer_scores(profiles: DataFrame, peers: DataFrame) -> DataFrame:
     keys = [*VEHICLE, "det"]
     p95 = of_peers.groupBy(*keys).agg(F.percentile("value", 0.95).alias("peer_p95"))
     return (
-        rates.join(robust_scale(of_peers, keys), keys)
+        rates.join(robust_scale(of_peers, keys, bounded=True), keys)
         .join(p95, keys)
         .select(*keys, "rate", ((F.col("rate") - F.col("med")) / F.col("scale")).alias("z"), "peer_p95")
     )
