@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.config import DEFAULT, DETECTORS, MATCH_FEATURES, VERDICTS, Settings
 from fleetlens.functions.core import VEHICLE, verdict_rank, verdict_severity
 from fleetlens.functions.quantiles import Wanted, exact_percentiles
-from fleetlens.functions.shared import staged
-
-#: Vehicles of a tile of the peer search, and targets compared at once (some 20 MB).
-PEER_BLOCK, TARGETS_AT_ONCE = 2000, 128
+from fleetlens.functions.shared import small, staged
+from fleetlens.operators import nearest
 
 # Fields of a trip in a verdict, in their order.
 TRIP_FIELDS = (
@@ -61,49 +57,17 @@ def scaled_features(profiles: DataFrame) -> DataFrame:
     return wide.select(*VEHICLE, F.array(*MATCH_FEATURES).alias("v"))
 
 
-def _nearest(keep: int):
-    """Nearest candidates of every target of a cogroup, ties at the last place included."""
-
-    def run(targets: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(targets) and len(others):
-            t, c = np.array(targets["v"].tolist(), dtype=float), np.array(others["w"].tolist(), dtype=float)
-            ids, peers = targets["imei"].to_numpy(), others["peer"].to_numpy()
-            for i in range(0, len(t), TARGETS_AT_ONCE):
-                d = np.sqrt(((t[i : i + TARGETS_AT_ONCE, None, :] - c[None, :, :]) ** 2).sum(2))
-                d[ids[i : i + TARGETS_AT_ONCE, None] == peers[None, :]] = np.inf
-                last = np.partition(d, min(keep, d.shape[1]) - 1, axis=1)[:, min(keep, d.shape[1]) - 1]
-                # Distances are ordered after rounding to nine places, so what may round to the last one stays.
-                r, k = np.nonzero((d <= last[:, None] + 2e-9) & np.isfinite(d))
-                found.append(pd.DataFrame({"imei": ids[i + r], "peer": peers[k], "far": d[r, k]}))
-        out = pd.concat(found) if found else pd.DataFrame({"imei": [], "peer": [], "far": []})
-        out.insert(0, "variant", targets["variant"].iloc[0] if len(targets) else None)
-        return out
-
-    return run
-
-
-def find_peers(profiles: DataFrame, settings: Settings = DEFAULT, block: int = PEER_BLOCK) -> DataFrame:
-    """(variant, imei, peer, distance, rank): nearest vehicles of the variant.
-
-    An exact search in blocks: the vehicles of a variant are dealt to tiles of about
-    ``block``, each pair of tiles is one group, and a group returns the nearest of each
-    target only. So a variant with a third of all vehicles is many groups of bounded size, and
-    pairs are never rows. Distances are rounded before ordering so that ties break by id
-    everywhere.
+def find_peers(profiles: DataFrame, settings: Settings = DEFAULT, block: int = nearest.TILE) -> DataFrame:
+    """(variant, imei, peer, distance, rank): nearest vehicles of the variant, exactly.
+
+    Cells around pivots and the triangle inequality leave out most pairs (see
+    ``operators.nearest``), in tiles of ``block`` candidates. Variants with too few candidates have no peers. Distances are
+    rounded before ordering so that ties break by id everywhere.
     """
     v = staged(scaled_features(profiles))
     sizes = v.groupBy("variant").agg(F.count("*").alias("pool")).where(F.col("pool") > settings.min_peers)
-    tiles = F.ceil(F.col("pool") / block).cast("int")
-    dealt = v.join(sizes, "variant").select(*VEHICLE, "v", tiles.alias("tiles"), F.pmod(F.xxhash64("imei"), tiles).cast("int").alias("tile"))
-    every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    targets = dealt.select(*VEHICLE, "v", "tile", every.alias("against"))
-    others = dealt.select(F.col("variant").alias("of"), F.col("imei").alias("peer"), F.col("v").alias("w"), F.col("tile").alias("own"), every.alias("asked"))
-    both = targets.groupBy("variant", "tile", "against").cogroup(others.groupBy("of", "asked", "own"))
-    near = both.applyInPandas(_nearest(settings.peers), "variant string, imei string, peer string, far double")
-    rank = F.row_number().over(Window.partitionBy(*VEHICLE).orderBy("distance", "peer"))
-    ranked = near.select(*VEHICLE, "peer", F.round("far", 9).alias("distance")).withColumn("rank", rank)
-    return ranked.where(F.col("rank") <= settings.peers)
+    found = nearest.nearest(v.join(small(staged(sizes)), "variant").select(F.col("variant").alias("grp"), F.col("imei").alias("id"), "v"), settings.peers, block)
+    return found.withColumnsRenamed({"grp": "variant", "id": "imei"})
 
 
 def _rates(profiles: DataFrame) -> DataFrame:
