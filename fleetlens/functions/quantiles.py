@@ -50,7 +50,7 @@ def exact_percentiles(rows: DataFrame, keys: list[str], wanted: Sequence[Wanted]
     known = staged(sketched.select(*keys, stack("n{i}", "e{i}").alias("which", "total", "ends")))
     most = max(len(w.shares) for w in wanted)
     edges = [F.get("ends", F.lit(2 * k + side)).alias(f"{name}{k}") for k in range(most) for side, name in ((0, "from"), (1, "to"))]
-    asked = small(staged(known.where("total > 0").select(*keys, "which", "total", *edges)))
+    asked = small(known, known.where("total > 0").select(*keys, "which", "total", *edges))
     long = columns.select(*keys, stack("v{i}").alias("which", "value")).where("value is not null")
     # The first bracket that does not end before the value: the value is inside it, or in the gap before it.
     cell = inside = None

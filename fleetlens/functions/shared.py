@@ -26,6 +26,7 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A staged table with a broadcast hint where a count shows that it is small."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def small(df: DataFrame, of: DataFrame | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A staged table, or a projection ``of`` it with no more rows, with a broadcast hint where a count shows that it is small."""
+    out = df if of is None else of
+    return F.broadcast(out) if df.limit(most + 1).count() <= most else out

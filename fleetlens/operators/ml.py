@@ -1,16 +1,17 @@
 """Vehicle features and the unsupervised outlier stage.
 
-Features, imputation, scaling and all percentiles are Spark aggregates. Centres are
-moved by means over all vehicles of a variant; each tree of the isolation forest (Liu,
-Ting and Zhou 2008) is grown from its own draw out of the whole variant; every vehicle
-is scored in groups of bounded size. Only the number of clusters, whose silhouette is
-quadratic, and the starting centres come from at most FIT_VEHICLES vehicles of a
-variant, those with the least id hashes.
+Features, imputation, scaling and all percentiles are Spark aggregates over every vehicle.
+Clusters: starting centres by oversampling in rounds (k-means||: Bahmani and others 2012),
+moved by means over all vehicles of a variant; the number of clusters by the exact
+silhouette, summed over pairs of tiles. Forest (Liu, Ting and Zhou 2008): each tree is
+grown from its own draw out of the whole variant and is kept as rows; every vehicle is
+scored in groups of bounded size. All chance comes from digests of ids, so that results
+do not depend on partitions and SQL can repeat them.
 """
 
 from __future__ import annotations
 
-import pickle
+import hashlib
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,10 @@ from fleetlens.functions.shared import small, staged
 from fleetlens.operators.sessions import driving
 
 FEATURES = tuple(f"{s}_{k}" for s in SIGNALS for k in ("p50", "p90", "iqr"))
-#: Bounds of the choice of clusters and of one scoring group, in vehicles.
-FIT_VEHICLES, SCORE_VEHICLES = 4000, 50_000
+#: Vehicles of one scoring group, and of a tile of the silhouette.
+SCORE_VEHICLES, TILE = 50_000, 1000
+#: Seeding: rounds, and vehicles drawn on average in each; turns of the centres at most.
+ROUNDS, OVERSAMPLED, TURNS = 2, 6, 25
 #: Vehicles of a tree, and how many are drawn on average so that enough are there.
 SUBSAMPLE, DRAWN = 256, 400
 
@@ -50,26 +53,6 @@ def standardised(features: DataFrame) -> DataFrame:
     return filled.join(stats, "variant").select(*VEHICLE, "n_records", "cohort", *z)
 
 
-def kmeans(x: np.ndarray, k: int, restarts: int, rng: np.random.Generator, turns: int = 100) -> np.ndarray:
-    """Centres of the best of ``restarts`` runs from k-means++ starts."""
-    best, least = None, np.inf
-    for _ in range(restarts):
-        c = x[rng.integers(len(x))][None]
-        while len(c) < k:
-            d = ((x[:, None] - c) ** 2).sum(2).min(1)
-            c = np.vstack([c, x[rng.choice(len(x), p=d / d.sum()) if d.sum() > 0 else rng.integers(len(x))]])
-        for _ in range(turns):
-            own = nearest(x, c)[0]
-            new = np.array([x[own == i].mean(0) if (own == i).any() else c[i] for i in range(k)])
-            if np.allclose(new, c):
-                break
-            c = new
-        cost = (nearest(x, c)[1] ** 2).sum()
-        if cost < least - 1e-9:
-            best, least = c, cost
-    return best
-
-
 def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     d = np.sqrt(((x[:, None] - centres) ** 2).sum(2))
     own = d.argmin(1)
@@ -95,54 +78,57 @@ def silhouette(x: np.ndarray, own: np.ndarray) -> float:
     return total / len(x)
 
 
-def pick_clusters(x: np.ndarray, settings: Settings, rng: np.random.Generator) -> np.ndarray:
-    upper = max(2, min(settings.k_max, len(x) // 5))
-    runs = [kmeans(x, k, settings.restarts, rng) for k in range(2, upper + 1)]
-    return runs[0] if len(runs) == 1 else max(runs, key=lambda c: silhouette(x, nearest(x, c)[0]))
-
-
 def path_length(n) -> np.ndarray:
     """Mean path of a failed search in a binary tree of n leaves."""
     n = np.asarray(n, dtype=float)
     return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + np.euler_gamma) - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple]:
-    """One tree as nodes: (feature, threshold, left, right), or (-1, depth + path, 0, 0) at leaves."""
+def draw_of(*parts) -> float:
+    """A number between 0 and 1 from the digest of parts; ``draw`` gives the same in Spark."""
+    return (int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:8], 16) + 0.5) / 2.0**32
+
+
+def draw(*parts) -> Column:
+    digest = F.md5(F.concat_ws(":", *[p if isinstance(p, Column) else F.lit(str(p)) for p in parts]))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") + 0.5) / F.lit(2.0**32)
+
+
+def grow_tree(x: np.ndarray, seed: int, tree: int) -> list[tuple]:
+    """One tree as rows (node, feature, cut, path): children of a node are 2 node and 2 node + 1.
+
+    Inner nodes have a feature; leaves have feature -1 and the expected path to a vehicle.
+    """
     top = int(np.ceil(np.log2(max(len(x), 2))))
-    nodes: list[tuple] = [()]
-    work = [(0, x, 0)]
+    rows, work = [], [(1, x, 0)]
     while work:
-        at, part, depth = work.pop()
+        node, part, depth = work.pop()
         low, high = part.min(0), part.max(0)
         free = np.flatnonzero(high > low)
         if depth >= top or len(part) <= 1 or not len(free):
-            nodes[at] = (-1, depth + float(path_length(len(part))), 0, 0)
+            rows.append((node, -1, 0.0, depth + float(path_length(len(part)))))
             continue
-        f = int(rng.choice(free))
-        cut = float(rng.uniform(low[f], high[f]))
-        nodes[at] = (f, cut, len(nodes), len(nodes) + 1)
-        nodes += [(), ()]
+        f = int(free[int(draw_of(seed, tree, node, "feature") * len(free))])
+        cut = float(low[f] + draw_of(seed, tree, node, "cut") * (high[f] - low[f]))
+        rows.append((node, f, cut, 0.0))
         left = part[:, f] < cut
-        work += [(nodes[at][2], part[left], depth + 1), (nodes[at][3], part[~left], depth + 1)]
-    return nodes
-
-
-def grow_forest(x: np.ndarray, trees: int, rng: np.random.Generator) -> list[list[tuple]]:
-    size = min(SUBSAMPLE, len(x))
-    return [grow_tree(x[rng.choice(len(x), size, replace=False)], rng) for _ in range(trees)]
+        work += [(2 * node, part[left], depth + 1), (2 * node + 1, part[~left], depth + 1)]
+    return rows
 
 
 def forest_score(forest: list[list[tuple]], x: np.ndarray, size: int) -> np.ndarray:
-    """2 ** (-mean path / expected path); higher is odder."""
+    """2 ** (-mean path / expected path); higher is odder. ``size``: vehicles of the variant."""
     total = np.zeros(len(x))
-    for nodes in forest:
-        f, v, a, b = (np.array(c) for c in zip(*nodes))
-        at = np.zeros(len(x), dtype=int)
+    for rows in forest:
+        table = {int(r[0]): i for i, r in enumerate(rows)}
+        node, f, cut, path = (np.array(c) for c in zip(*rows))
+        left = np.array([table.get(2 * int(n), 0) for n in node])
+        right = np.array([table.get(2 * int(n) + 1, 0) for n in node])
+        at = np.full(len(x), table[1])
         while (inner := f[at] >= 0).any():
-            left = x[np.arange(len(x)), np.maximum(f[at], 0)] < v[at]
-            at = np.where(inner, np.where(left, a[at], b[at]), at)
-        total += v[at]
+            low = x[np.arange(len(x)), np.maximum(f[at], 0)] < cut[at]
+            at = np.where(inner, np.where(low, left[at], right[at]), at)
+        total += path[at]
     return 2.0 ** (-total / len(forest) / max(float(path_length(min(SUBSAMPLE, size))), 1e-9))
 
 
@@ -150,89 +136,233 @@ def _matrix(part: pd.DataFrame) -> np.ndarray:
     return part[list(FEATURES)].to_numpy(dtype=float)
 
 
-def _chance(*by) -> Column:
-    """A number from 0 up to 1 by the hash of columns; the same in every run."""
-    return F.pmod(F.xxhash64(*by), F.lit(1 << 31)) / F.lit(float(1 << 31))
+def gridded(z: DataFrame) -> DataFrame:
+    """Features to six places, so that sums in another order change no choice."""
+    return z.select(*[(F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c) if c in FEATURES else F.col(c) for c in z.columns])
+
+
+def _per_batch(big: DataFrame, work, schema: str) -> DataFrame:
+    """``work(variant, matrix, part)`` yields rows of each variant of each batch."""
 
+    def run(batches):
+        for batch in batches:
+            for v, part in batch.groupby("variant"):
+                rows = list(work(v, _matrix(part), part))
+                if rows:
+                    yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
-def start_centres(big: DataFrame, settings: Settings = DEFAULT) -> dict[str, np.ndarray]:
-    """The chosen number of clusters of each variant, as centres of its FIT_VEHICLES least id hashes."""
-    low = big.withColumn("chance", _chance("imei")).where(F.col("chance") * F.col("cohort") < 2.0 * FIT_VEHICLES)
-    place = F.row_number().over(Window.partitionBy("variant").orderBy("chance", "imei"))
-    sample = low.withColumn("place", place).where(F.col("place") <= FIT_VEHICLES)
+    return big.mapInPandas(run, schema)
 
-    def fit(part: pd.DataFrame) -> pd.DataFrame:
-        x = _matrix(part.sort_values("place"))
-        return pd.DataFrame({"variant": [part["variant"].iloc[0]], "centres": [pickle.dumps(pick_clusters(x, settings, np.random.default_rng(settings.seed)))]})
 
-    return {r.variant: pickle.loads(r.centres) for r in sample.groupBy("variant").applyInPandas(fit, "variant string, centres binary").collect()}
+def _gaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return ((x[:, None] - centres) ** 2).sum(2)
 
 
-def moved_centres(big: DataFrame, centres: dict[str, np.ndarray], turns: int = 100) -> dict[str, np.ndarray]:
-    """Lloyd's turns over all vehicles until no centre moves; one small row a variant and cluster reaches the driver."""
+def start_centres(big: DataFrame, settings: Settings = DEFAULT) -> dict[str, list[np.ndarray]]:
+    """Starting centres of every variant and restart, ``k_max`` of each, in order of choice.
+
+    The first candidate has the least draw; each round adds every vehicle with a chance in
+    proportion to its squared distance to the candidates, OVERSAMPLED in the mean. Candidates
+    count the vehicles they are nearest to; the first centre is the one with most, the
+    next ones have most vehicles times squared distance. A few rows a variant reach the driver.
+    """
+    restarts = range(settings.restarts)
+    point = F.array(*FEATURES)
+    draws = F.array(*[F.array(*[draw(settings.seed, F.col("imei"), s, r) for r in range(ROUNDS + 1)]) for s in restarts])
+    drawn = staged(big.select("variant", "imei", *FEATURES, draws.alias("draws")))
+    firsts = drawn.groupBy("variant").agg(*[F.min_by(F.struct("imei", point.alias("x")), F.struct(F.col("draws")[s][0], "imei")).alias(f"s{s}") for s in restarts])
+    held = {r.variant: [{r[f"s{s}"].imei: r[f"s{s}"].x} for s in restarts] for r in firsts.collect()}
+    tables = lambda: {v: [np.array(list(c.values())) for c in sets] for v, sets in held.items()}
+    for turn in range(1, ROUNDS + 1):
+        now = tables()
+
+        def cost(v, x, part):
+            return [(v, s, float(_gaps(x, now[v][s]).min(1).sum())) for s in restarts]
+
+        sums = _per_batch(drawn, cost, "variant string, s int, cost double").groupBy("variant", "s").agg(F.sum("cost").alias("cost"))
+        whole = {(r.variant, r.s): r.cost for r in sums.collect()}
+
+        def chosen(v, x, part):
+            chance = np.array([[d[s][turn] for s in restarts] for d in part["draws"]])
+            ids = part["imei"].to_numpy()
+            for s in restarts:
+                for i in np.flatnonzero(chance[:, s] * whole[v, s] < OVERSAMPLED * _gaps(x, now[v][s]).min(1)):
+                    yield v, s, ids[i], x[i].tolist()
+
+        for r in _per_batch(drawn, chosen, "variant string, s int, imei string, x array<double>").collect():
+            held[r.variant][r.s][r.imei] = r.x
+    held = {v: [dict(sorted(c.items())) for c in sets] for v, sets in held.items()}
+    now = tables()
+
+    def weights(v, x, part):
+        for s in restarts:
+            own, n = np.unique(_gaps(x, now[v][s]).argmin(1), return_counts=True)
+            yield from [(v, s, int(c), int(m)) for c, m in zip(own, n)]
+
+    heavy = {v: [np.zeros(len(c)) for c in sets] for v, sets in now.items()}
+    for r in _per_batch(drawn, weights, "variant string, s int, c int, n long").groupBy("variant", "s", "c").agg(F.sum("n").alias("n")).collect():
+        heavy[r.variant][r.s][r.c] = r.n
+    out: dict[str, list[np.ndarray]] = {}
+    for v, sets in now.items():
+        out[v] = []
+        for c, w in zip(sets, heavy[v]):
+            picked = [int(w.argmax())]
+            while len(picked) < settings.k_max:
+                picked.append(int((w * _gaps(c, c[picked]).min(1)).argmax()))
+            out[v].append(c[picked])
+    return out
+
+
+def moved_centres(big: DataFrame, runs: dict[str, dict[tuple[int, int], np.ndarray]], turns: int = TURNS) -> dict[str, dict[tuple[int, int], np.ndarray]]:
+    """Turns over all vehicles until no centre of any run moves; one row a variant, run and cluster reaches the driver."""
     width = len(FEATURES)
-    for _ in range(turns if centres else 0):
+    still = {v: dict(r) for v, r in runs.items()}
+    now = runs
+    for _ in range(turns):
+        if not now:
+            break
 
         def sums(batches):
             held: dict[tuple, list] = {}
             for batch in batches:
                 for v, part in batch.groupby("variant"):
                     x = _matrix(part)
-                    own = nearest(x, centres[v])[0]
-                    for c in np.unique(own):
-                        old = held.setdefault((v, int(c)), [0, np.zeros(width)])
-                        old[0] += int((own == c).sum())
-                        old[1] += x[own == c].sum(0)
-            yield pd.DataFrame([(v, c, n, list(t)) for (v, c), (n, t) in held.items()], columns=["variant", "cluster", "n", "sums"])
-
-        parts = big.select("variant", *FEATURES).mapInPandas(sums, "variant string, cluster int, n long, sums array<double>")
-        found = parts.groupBy("variant", "cluster").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums")).collect()
-        new = {v: c.copy() for v, c in centres.items()}
+                    for (k, s), c in now.get(v, {}).items():
+                        own = _gaps(x, c).argmin(1)
+                        for i in np.unique(own):
+                            old = held.setdefault((v, k, s, int(i)), [0, np.zeros(width)])
+                            old[0] += int((own == i).sum())
+                            old[1] += x[own == i].sum(0)
+            if held:
+                yield pd.DataFrame([(*key, n, list(t)) for key, (n, t) in held.items()], columns=["variant", "k", "s", "c", "n", "sums"])
+
+        parts = big.select("variant", *FEATURES).mapInPandas(sums, "variant string, k int, s int, c int, n long, sums array<double>")
+        found = parts.groupBy("variant", "k", "s", "c").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums")).collect()
+        new = {v: {run: c.copy() for run, c in r.items()} for v, r in now.items()}
         for r in found:
-            new[r.variant][r.cluster] = np.array(r.sums) / r.n
-        still = all(np.allclose(new[v], centres[v]) for v in centres)
-        if still:
-            break
-        centres = new
-    return centres
+            new[r.variant][r.k, r.s][r.c] = np.array(r.sums) / r.n
+        # Runs whose centres stand still are done.
+        moving = {v: {run: c for run, c in r.items() if not np.allclose(c, now[v][run], rtol=0, atol=1e-12)} for v, r in new.items()}
+        for v, r in new.items():
+            still[v].update(r)
+        now = {v: r for v, r in moving.items() if r}
+    return still
+
+
+def silhouettes(assigned: DataFrame) -> DataFrame:
+    """(variant, k, silhouette): mean Euclidean silhouette of (variant, imei, features, labels by k), exactly.
+
+    Distances are summed by cluster for each pair of tiles of TILE vehicles; of every
+    vehicle and tile one row of sums comes back. A lone member of a cluster scores 0, and
+    a split with one cluster only has none.
+    """
+    sizes = staged(assigned.groupBy("variant").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")))
+    tiled = assigned.join(small(sizes), "variant").withColumn("tile", F.pmod(F.xxhash64("imei"), F.col("tiles")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    mine = tiled.select("variant", "imei", "labels", *FEATURES, "tile", every.alias("against"))
+    other = tiled.select(F.col("variant").alias("of"), F.col("labels").alias("theirs"), F.array(*FEATURES).alias("w"), F.col("tile").alias("held"), every.alias("asked"))
+    none = {"variant": pd.Series([], dtype=object), "imei": pd.Series([], dtype=object), "k": pd.Series([], dtype="int32"), "own": pd.Series([], dtype="int32"), "c": pd.Series([], dtype="int32"), "far": pd.Series([], dtype=float), "n": pd.Series([], dtype="int64")}
+
+    def run(part: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if part.empty or held.empty:
+            return pd.DataFrame(none)
+        d = np.sqrt(_gaps(_matrix(part), np.array(held["w"].tolist(), dtype=float)))
+        out = []
+        for k in dict(part["labels"].iloc[0]):
+            own, theirs = (np.array([dict(x)[k] for x in labels], dtype="int32") for labels in (part["labels"], held["theirs"]))
+            for c in np.unique(theirs):
+                out.append(pd.DataFrame({"variant": part["variant"], "imei": part["imei"], "k": k, "own": own, "c": c, "far": d[:, theirs == c].sum(1), "n": int((theirs == c).sum())}))
+        return pd.concat(out)
+
+    tiles = mine.groupBy("variant", "tile", "against").cogroup(other.groupBy("of", "asked", "held"))
+    sums = tiles.applyInPandas(run, "variant string, imei string, k int, own int, c int, far double, n long").groupBy("variant", "imei", "k", "own", "c").agg(F.sum("far").alias("far"), F.sum("n").alias("n"))
+    inside = F.col("c") == F.col("own")
+    per = sums.groupBy("variant", "imei", "k").agg(
+        F.max(F.when(inside, F.col("n"))).alias("n"), F.max(F.when(inside, F.col("far") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("a"), F.min(F.when(~inside, F.col("far") / F.col("n"))).alias("b")
+    )
+    score = F.when(F.col("n") > 1, (F.col("b") - F.col("a")) / F.greatest("a", "b", F.lit(1e-12))).when(F.col("b").isNotNull(), 0.0)
+    return per.groupBy("variant", "k").agg(F.avg(score).alias("silhouette"))
+
+
+def chosen_centres(big: DataFrame, settings: Settings = DEFAULT) -> dict[str, np.ndarray]:
+    """The centres of every variant: the best restart of each number of clusters, then the number with the best silhouette."""
+    sizes = {r.variant: r.n for r in big.groupBy("variant").agg(F.count("*").alias("n")).collect()}
+    starts = start_centres(big, settings)
+    most = {v: max(2, min(settings.k_max, n // 5)) for v, n in sizes.items()}
+    runs = moved_centres(big, {v: {(k, s): c[:k] for s, c in enumerate(sets) for k in range(2, most[v] + 1)} for v, sets in starts.items()})
+
+    def cost(v, x, part):
+        return [(v, k, s, float(_gaps(x, c).min(1).sum())) for (k, s), c in runs[v].items()]
+
+    costs = _per_batch(big.select("variant", *FEATURES), cost, "variant string, k int, s int, cost double").groupBy("variant", "k", "s").agg(F.sum("cost").alias("cost"))
+    best: dict[tuple[str, int], tuple] = {}
+    for r in costs.collect():
+        best[r.variant, r.k] = min(best.get((r.variant, r.k), (np.inf, 0)), (round(r.cost, 6), r.s))
+    kept: dict[str, dict[int, np.ndarray]] = {}
+    for (v, k), (_, s) in best.items():
+        kept.setdefault(v, {})[k] = runs[v][k, s]
+
+    def label(v, x, part):
+        own = {k: _gaps(x, c).argmin(1) for k, c in kept[v].items()}
+        for i, (imei, row) in enumerate(zip(part["imei"], x)):
+            yield v, imei, {k: int(o[i]) for k, o in own.items()}, *row.tolist()
+
+    columns = ", ".join(f"{f} double" for f in FEATURES)
+    # A map type has a comma of its own, so the schema is put together by hand.
+    names = ["variant", "imei", "labels", *FEATURES]
+
+    def labelled(batches):
+        for batch in batches:
+            for v, part in batch.groupby("variant"):
+                yield pd.DataFrame(list(label(v, _matrix(part), part)), columns=names)
+
+    assigned = big.mapInPandas(labelled, f"variant string, imei string, labels map<int,int>, {columns}")
+    found: dict[str, tuple] = {}
+    for r in silhouettes(staged(assigned)).collect():
+        score = -np.inf if r.silhouette is None else round(r.silhouette, 9)
+        found[r.variant] = max(found.get(r.variant, (-np.inf, -99)), (score, -r.k))
+    return {v: kept[v][-k] if -k in kept[v] else kept[v][2] for v, (_, k) in found.items()}
 
 
 def grown_forests(big: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """(variant, forest): every tree from its own draw of SUBSAMPLE vehicles of the whole variant.
+    """(variant, tree, node, feature, cut, path): every tree from its own draw of SUBSAMPLE vehicles of the whole variant.
 
-    A vehicle joins the draw of a tree by a hash of both, with a chance that gives about
-    DRAWN vehicles a tree; the SUBSAMPLE least hashes of these are used.
+    A vehicle joins the draw of a tree by a digest of both, with a chance that gives about
+    DRAWN vehicles a tree; the SUBSAMPLE least draws of these are used.
     """
-    by = lambda t: _chance("variant", "imei", t, F.lit(settings.seed))
-    drawn = F.filter(F.sequence(F.lit(0), F.lit(settings.trees - 1)), lambda t: by(t) * F.col("cohort") < DRAWN)
-    rows = big.withColumn("tree", F.explode(drawn)).withColumn("chance", by(F.col("tree")))
+    trees = F.explode(F.sequence(F.lit(0), F.lit(settings.trees - 1))).alias("tree")
+    rows = big.select("variant", "imei", "cohort", trees).withColumn("chance", draw(settings.seed, F.col("imei"), "tree", F.col("tree"))).where(F.col("chance") * F.col("cohort") < DRAWN)
+    least = F.row_number().over(Window.partitionBy("variant", "tree").orderBy("chance", "imei"))
+    drawn = rows.withColumn("place", least).where(F.col("place") <= SUBSAMPLE).drop("cohort", "place").join(big, list(VEHICLE))
 
     def grow(part: pd.DataFrame) -> pd.DataFrame:
-        tree = int(part["tree"].iloc[0])
-        x = _matrix(part.sort_values(["chance", "imei"]).head(SUBSAMPLE))
-        return pd.DataFrame({"variant": [part["variant"].iloc[0]], "tree": [tree], "nodes": [pickle.dumps(grow_tree(x, np.random.default_rng([settings.seed, tree])))]})
+        variant, tree = part["variant"].iloc[0], int(part["tree"].iloc[0])
+        return pd.DataFrame([(variant, tree, *row) for row in grow_tree(_matrix(part), settings.seed, tree)], columns=["variant", "tree", "node", "feature", "cut", "path"])
 
-    grown = rows.groupBy("variant", "tree").applyInPandas(grow, "variant string, tree int, nodes binary")
-    return grown.groupBy("variant").agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("forest")).select("variant", F.col("forest.nodes").alias("forest"))
+    return drawn.select("variant", "tree", *FEATURES).groupBy("variant", "tree").applyInPandas(grow, "variant string, tree int, node long, feature int, cut double, path double")
 
 
 def outlier_flags(features: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Flags of every vehicle with features; variants under the cohort minimum are all NORMAL."""
-    z = staged(standardised(features))
+    z = staged(gridded(standardised(features)))
     big = z.where(F.col("cohort") >= settings.min_cohort)
-    centres = moved_centres(big, start_centres(big, settings))
-    models = grown_forests(big, settings).join(big.groupBy("variant").agg(F.first("cohort").alias("cohort")), "variant")
+    centres = chosen_centres(big, settings) if not big.isEmpty() else {}
+    forest = grown_forests(big, settings).groupBy("variant").agg(F.collect_list(F.struct("tree", "node", "feature", "cut", "path")).alias("forest"))
+    models = forest.join(big.groupBy("variant").agg(F.first("cohort").alias("cohort")), "variant")
     groups = lambda c: F.ceil(F.col(c) / SCORE_VEHICLES).cast("int")
     salted = big.withColumn("salt", F.pmod(F.xxhash64("imei"), groups("cohort")).cast("int"))
     copies = models.withColumn("salt", F.explode(F.sequence(F.lit(0), groups("cohort") - 1))).select("variant", "salt", "cohort", "forest")
 
     def score(part: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         if part.empty:
-            return pd.DataFrame({"variant": [], "imei": [], "cluster_id": [], "distance": [], "iso": []})
-        forest, size = [pickle.loads(n) for n in model["forest"].iloc[0]], int(model["cohort"].iloc[0])
+            return pd.DataFrame({"variant": pd.Series([], dtype=object), "imei": pd.Series([], dtype=object), "cluster_id": pd.Series([], dtype="int32"), "distance": pd.Series([], dtype=float), "iso": pd.Series([], dtype=float)})
+        trees: dict[int, list[tuple]] = {}
+        for r in model["forest"].iloc[0]:
+            trees.setdefault(r["tree"], []).append((r["node"], r["feature"], r["cut"], r["path"]))
         x = _matrix(part)
         own, far = nearest(x, centres[part["variant"].iloc[0]])
-        return pd.DataFrame({"variant": part["variant"], "imei": part["imei"], "cluster_id": own.astype("int32"), "distance": far, "iso": forest_score(forest, x, size)})
+        iso = forest_score([trees[t] for t in sorted(trees)], x, int(model["cohort"].iloc[0]))
+        return pd.DataFrame({"variant": part["variant"], "imei": part["imei"], "cluster_id": own.astype("int32"), "distance": np.round(far, 9), "iso": np.round(iso, 9)})
 
     scored = salted.groupBy("variant", "salt").cogroup(copies.groupBy("variant", "salt")).applyInPandas(score, "variant string, imei string, cluster_id int, distance double, iso double")
     marked = mark(scored, settings)
@@ -248,7 +378,8 @@ def mark(scored: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     top = 1 - settings.contamination
     scored = staged(scored)
     cut = staged(exact_percentiles(scored, ["variant"], [Wanted("far", F.col("distance"), (0.9,)), Wanted("odd", F.col("iso"), (top,))])).select("variant", F.col("far")[0].alias("far"), F.col("odd")[0].alias("odd"))
-    by_far, by_odd = F.col("distance") >= F.col("far"), F.col("iso") > F.col("odd")
+    # Rounded, so that a value on its own percentile falls the same way everywhere.
+    by_far, by_odd = F.round("distance", 9) >= F.round("far", 9), F.round("iso", 9) > F.round("odd", 9)
     tier = by_far.cast("int") + by_odd.cast("int")
     return scored.join(small(cut), "variant").select(
         *VEHICLE, "cluster_id", F.bround("distance", 4).alias("distance_to_center"), F.bround("iso", 4).alias("isolation_score"), by_far.alias("cluster_outlier"),

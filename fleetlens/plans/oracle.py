@@ -9,6 +9,7 @@ from fleetlens.operators.fleet import ATTRIBUTES, EVENT_ATTRIBUTES, MAP_EDGES, M
 from fleetlens.operators.histograms import BINS, PAIRS, STATS
 from fleetlens.operators.ml import FEATURES
 from fleetlens.operators.trips import METRICS
+from fleetlens.plans import outlier_oracle
 
 V = "variant, imei"
 T = "variant, imei, trip_id"
@@ -155,19 +156,23 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def build(final: str, *needs: str) -> str:
-    """``final`` with all common table expressions it needs, in order."""
+CTE |= outlier_oracle.steps()
+
+
+def build(final: str, *needs: str, own_flags: bool = False) -> str:
+    """``final`` with all common table expressions it needs, in order; ``own_flags``: flags come from the outlier stage."""
+    tables = CTE | {"flags": (("oflags",), "SELECT * FROM oflags")} if own_flags else CTE
     order: list[str] = []
 
     def add(name: str) -> None:
         if name not in order:
-            for n in CTE[name][0]:
+            for n in tables[name][0]:
                 add(n)
             order.append(name)
 
     for n in needs:
         add(n)
-    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({CTE[n][1]})" for n in order) + "\n" + final if order else final
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({tables[n][1]})" for n in order) + "\n" + final if order else final
 
 
 BAND = "CASE WHEN fd IS NULL THEN 'no-bucket' WHEN pct_dev IS NULL THEN 'n/a' WHEN abs(pct_dev) < 15 THEN 'ok' WHEN abs(pct_dev) < 30 THEN 'warn' ELSE 'alert' END"
@@ -189,7 +194,7 @@ def verdict_columns() -> str:
     )
 
 
-def explanation_sql() -> str:
+def explanation_sql(columns: str = "imei, variant, verdict", own_flags: bool = False) -> str:
     """Headline, sentences of strong detectors in order, notes and caveats, joined by a space."""
     facts = " UNION ALL ".join(f"SELECT {V}, '{d}' AS det, {d}_events_total AS n, round_even({d}_max_dwell_s, 2) AS dwell FROM prof" for d in DETECTORS)
     labels = ", ".join(f"('{d}', '{t}')" for d, t in DETECTORS.items())
@@ -199,7 +204,7 @@ def explanation_sql() -> str:
         CASE WHEN z IS NOT NULL THEN {strength} || ' (z ' || printf('%.1f', round_even({z}, 1)) || ')' WHEN rate > 0 THEN printf('%.2f', round_even({rate}, 2)) || ' per hour' END) || '.'"""
     why = " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in REASONS.items())
     return build(
-        f"""SELECT imei, variant, verdict, concat_ws(' ',
+        f"""SELECT {columns}, concat_ws(' ',
         CASE WHEN verdict = 'ELEVATED' THEN 'Elevated: an unusual usage pattern together with ' || ns || ' strong signal contradictions.'
           WHEN verdict = 'WATCH' THEN 'Watch: ' || CASE watch_reason {why} ELSE '{REASONS["PARTIAL_EVIDENCE"]}' END || '.'
           WHEN spirited THEN 'Normal: driven fast, with ' || ns || ' strong contradiction(s), too few to count against it.' ELSE 'Normal: it behaves like the vehicles it is compared with.' END,
@@ -207,7 +212,7 @@ def explanation_sql() -> str:
         CASE WHEN n_peers > 0 AND n_peers < {_p.min_peers} AND verdict <> 'NORMAL' THEN 'Caution: only ' || n_peers || ' comparable vehicles.' END,
         CASE WHEN n_trips <= 2 AND verdict IN ('ELEVATED', 'WATCH') THEN 'Caution: based on ' || n_trips || ' trip(s).' END) AS explanations
         FROM ver LEFT JOIN (SELECT {V}, string_agg({sentence}, ' ' ORDER BY det) AS sentences FROM strong JOIN ({facts}) USING ({V}, det) JOIN (VALUES {labels}) l(det, label) USING (det) WHERE strong GROUP BY {V}) USING ({V})""",
-        "ver", "strong", "prof",
+        "ver", "strong", "prof", own_flags=own_flags,
     )
 
 

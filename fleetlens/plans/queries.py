@@ -563,7 +563,7 @@ def outlier_marks(spark, sf_dir):
     return ml.mark(f.select(*VEHICLE, "cluster_id", F.col("distance_to_center").alias("distance"), F.col("isolation_score").alias("iso")), PROXY)
 
 
-@query()
+@query(build(f"SELECT {V}, is_anomaly, {rnd('isolation_score')}, {rnd('distance_to_center')}, cluster_id, cluster_outlier, isolation_outlier, severity, severity_tier, n_records FROM oflags", "oflags"))
 def outlier_flags(spark, sf_dir):
     return ml.outlier_flags(ml.vehicle_features(proxy.telemetry(spark, sf_dir), PROXY), PROXY)
 
@@ -574,12 +574,12 @@ def severity_map(spark, sf_dir):
     return v.withColumn("severity", verdict_severity(F.col("verdict")))
 
 
-@query()
+@query(O.explanation_sql("imei, variant, verdict, watch_reason, reason", own_flags=True))
 def whole_pipeline(spark, sf_dir):
     """Flags by the own outlier stage, then everything down to explained verdicts."""
     b = Base(spark, sf_dir)
     flags = ml.outlier_flags(ml.vehicle_features(b.rows, PROXY), PROXY)
-    return explain.explanations(peers.verdicts(flags, b.profiles, b.trips, PROXY), PROXY).select("imei", "variant", "verdict", "watch_reason", "reason", "explanations")
+    return explain.explanations(peers.verdicts(flags, b.profiles, b.trips, PROXY), PROXY).select("imei", "variant", "verdict", "watch_reason", "reason", F.array_join("explanations", " ").alias("explanations"))
 
 
 @query()

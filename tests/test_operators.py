@@ -147,14 +147,15 @@ def test_too_few_peers(spark, n, scored):
     assert peers.find_peers(frame).select("imei").distinct().count() == scored
 
 
-def test_forest_and_clusters():
+def test_forest():
     rng = np.random.default_rng(3)
     x = np.vstack([rng.normal(0, 1, (60, 4)), rng.normal(9, 1, (60, 4)), [[30, -30, 30, -30]]])
-    scores = ml.forest_score(ml.grow_forest(x, 100, np.random.default_rng(1)), x, len(x))
+    trees = [ml.grow_tree(x, 1, t) for t in range(100)]
+    scores = ml.forest_score(trees, x, len(x))
     assert scores.argmax() == 120 and 0.3 < np.median(scores) < 0.6
-    centres = ml.pick_clusters(x[:120], DEFAULT, np.random.default_rng(1))
-    own = ml.nearest(x[:120], centres)[0]
-    assert len(centres) == 2 and len(set(own[:60])) == 1 and own[0] != own[-1]
+    for rows in trees:
+        nodes = {r[0]: r for r in rows}
+        assert all((2 * n in nodes and 2 * n + 1 in nodes) == (r[1] >= 0) for n, r in nodes.items())
 
 
 def test_whole_run(spark, tmp_path):
@@ -256,23 +257,41 @@ def test_counted_percentiles(spark):
         assert np.allclose(found[g], np.quantile(x, [0.25, 0.5, 0.9, 0.95]))
 
 
-def test_outlier_fit_uses_every_vehicle(spark, monkeypatch):
-    """Centres after the fit are means over all vehicles, though the choice of clusters saw a few; each tree draws from all."""
-    import numpy as np
+def clustered(n):
     import pandas as pd
 
     rng = np.random.default_rng(2)
-    x = np.vstack([rng.normal(-3, 0.5, (150, len(ml.FEATURES))), rng.normal(3, 0.5, (150, len(ml.FEATURES)))])
-    frame = pd.DataFrame(x, columns=list(ml.FEATURES)).assign(variant="v", imei=[str(i) for i in range(300)], cohort=300)
+    x = np.round(np.vstack([rng.normal(-3, 0.5, (n // 2, len(ml.FEATURES))), rng.normal(3, 0.5, (n - n // 2, len(ml.FEATURES)))]), 6)
+    return x, pd.DataFrame(x, columns=list(ml.FEATURES)).assign(variant="v", imei=[str(i) for i in range(n)], cohort=n)
+
+
+def test_outlier_fit_uses_every_vehicle(spark):
+    """Two clear clusters are found among all vehicles and their centres are means over all; each tree draws from all."""
+    x, frame = clustered(5000)
     big = spark.createDataFrame(frame).repartition(7)
-    monkeypatch.setattr(ml, "FIT_VEHICLES", 40)
-    start = ml.start_centres(big)
-    moved = ml.moved_centres(big, start)["v"]
-    own = ml.nearest(x, moved)[0]
-    assert len(start["v"]) == len(moved)
-    assert np.allclose(moved, [x[own == c].mean(0) for c in range(len(moved))], atol=1e-6)
-    forest = ml.grown_forests(big).first().forest
-    assert len(forest) == DEFAULT.trees
+    centres = ml.chosen_centres(big)["v"]
+    own = ml.nearest(x, centres)[0]
+    assert len(centres) == 2 and len(set(own[:2500])) == 1 and own[0] != own[-1]
+    assert np.allclose(centres, [x[own == c].mean(0) for c in range(2)], atol=1e-6)
+    forest = ml.grown_forests(big).groupBy("tree").agg(F.count("*").alias("n"), F.max("node").alias("last")).collect()
+    assert len(forest) == DEFAULT.trees and all(r.n > 1 and r.last < 512 for r in forest)
+
+
+def test_silhouette_equals_plain_numpy(spark, monkeypatch):
+    monkeypatch.setattr(ml, "TILE", 70)
+    x, frame = clustered(300)
+    labels = {2: (np.arange(300) % 7 > 2).astype(int), 3: np.where(np.arange(300) == 0, 2, (np.arange(300) >= 150).astype(int))}
+    frame["labels"] = [{k: int(v[i]) for k, v in labels.items()} for i in range(300)]
+    schema = ", ".join(f"{f} double" for f in ml.FEATURES) + ", variant string, imei string, cohort long, labels map<int,int>"
+    got = {r.k: r.silhouette for r in ml.silhouettes(spark.createDataFrame(frame, schema)).collect()}
+    for k, own in labels.items():
+        assert np.isclose(got[k], ml.silhouette(x, own), rtol=1e-9)
+
+
+def test_seeding_does_not_depend_on_partitions(spark):
+    _, frame = clustered(120)
+    starts = [ml.start_centres(spark.createDataFrame(frame).repartition(n))["v"] for n in (1, 5)]
+    assert all(np.array_equal(a, b) for a, b in zip(*starts)) and all(len(c) == DEFAULT.k_max for c in starts[0])
 
 
 def test_find_record(spark, tmp_path):
