@@ -6,6 +6,7 @@ import argparse
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens.operators import ml, peers
 from fleetlens.plans.pipeline import Run, from_csv
@@ -41,18 +42,12 @@ def main(args: list[str] | None = None) -> None:
         elif a.what == "reference":
             sinks.write_csv(run.fleet_reference(), f"{a.out}/fleet_reference_csv")
         else:
-            os.makedirs(a.out, exist_ok=True)
-
-            def put(name: str, text: str) -> None:
-                with open(f"{a.out}/{name}.html", "w", encoding="utf-8") as f:
-                    f.write(text)
-
             if a.what == "dashboard":
-                put("dashboard", run.dashboard_page())
+                sinks.write_page(spark, run.dashboard_page(), f"{a.out}/dashboard_page")
                 run.write_dashboard(a.out)
             else:
-                chosen = [a.imei] if a.imei else [r.imei for r in peers.targets(run.judged, a.verdict, a.variant).select("imei").toLocalIterator()]
-                run.reports(chosen, put)
+                chosen = run.rows.where(F.col("imei") == a.imei) if a.imei else peers.targets(run.judged, a.verdict)
+                run.reports(chosen.where(F.col("variant") == a.variant) if a.variant else chosen, f"{a.out}/reports")
 
 
 if __name__ == "__main__":

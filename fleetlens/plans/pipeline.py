@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
 from dataclasses import asdict
 from functools import cached_property
 
@@ -13,6 +12,7 @@ from fleetlens.config import DEFAULT, Settings
 from fleetlens.functions.core import VEHICLE
 from fleetlens.functions.shared import staged
 from fleetlens.operators import detectors, explain, fleet, histograms, ml, peers, sessions, trips
+from fleetlens.plans import reports
 from fleetlens.sources import sinks
 
 
@@ -68,22 +68,13 @@ class Run:
         sinks.write_table(reference, f"{out}/fleet_reference")
         sinks.write_csv(reference, f"{out}/fleet_reference_csv")
 
-    def report(self, imei: str) -> str:
-        """HTML report of one vehicle: verdict, trips, deviations, detectors, time in buckets."""
-        one = lambda df: df.where(F.col("imei") == imei)
-        attributes, dets = self.compared
-        moving = sessions.trips_of(one(self.rows), self.settings)
-        mine = one(self.trips)
-        parts = [
-            sinks.html_table("Verdict", one(self.judged).select("variant", "verdict", "watch_reason", "n_trips", "n_peers", F.array_join("explanations", " ").alias("account"))),
-            sinks.html_table("Averages", fleet.attribute_means(mine)),
-            sinks.html_table("Range", fleet.vehicle_range(mine)),
-            sinks.html_table("Deviations", one(attributes).orderBy("trip_id", "attr")),
-            sinks.html_table("Detectors", fleet.detector_rollup(one(dets))),
-            sinks.html_table("Time in buckets, all trips", fleet.time_in_buckets(fleet.elevated_rows(moving, mine, False), list(VEHICLE))),
-            sinks.html_table("Time in buckets, elevated trips", fleet.time_in_buckets(fleet.elevated_rows(moving, mine), list(VEHICLE))),
-        ]
-        return sinks.page(f"Vehicle {imei}", parts)
+    def report(self, imei: str, variant: str | None = None) -> str:
+        """HTML report of one vehicle: verdict, trips, deviations, detectors, time in buckets; of each variant the id is in, if none is given."""
+        found = self.rows.where(F.col("imei") == imei)
+        drawn = reports.pages(self, found.where(F.col("variant") == variant) if variant else found).orderBy("variant").collect()
+        if not drawn or all(r.page is None for r in drawn):
+            raise LookupError(drawn[0].error if drawn else f"no telemetry of {imei}")
+        return "".join(r.page for r in drawn if r.page is not None)
 
     def write_dashboard(self, out: str) -> None:
         """Every dashboard table as Parquet and as JSON lines."""
@@ -92,22 +83,13 @@ class Run:
             sinks.write_table(table, f"{out}/dashboard/{name}")
             sinks.write_json_records(table, f"{out}/dashboard/{name}_json")
 
-    def reports(self, imeis: Iterable[str], put: Callable[[str, str], None]) -> None:
-        """A page for each vehicle, put as soon as it is made, then an index; a failed vehicle does not end the run."""
-        lines = []
-        facts = {}
-        for i in imeis:
-            try:
-                put(i, self.report(i))
-                row = self.judged.where(F.col("imei") == i).select("variant", "verdict", "strong_metric_count", "n_trips", "n_peers", "reason").first()
-                facts[i] = row.asDict() if row else {}
-                lines.append((i, ""))
-            except Exception as e:  # noqa: BLE001
-                lines.append((i, f"{type(e).__name__}: {e}"[:200]))
-        put("index", sinks.index_page(lines, facts))
+    def reports(self, targets: DataFrame, out: str) -> DataFrame:
+        """Pages and index of all targets (variant, imei) in one run; a failed vehicle is a row of the index."""
+        return reports.write(self, targets, out)
 
     def dashboard_page(self) -> str:
-        return sinks.render(sinks.DASHBOARD, sinks.payload({"version": self.settings.version, "params": asdict(self.settings)}, peers.listed(self.judged).drop("trips")))
+        """One page with every verdict; the list view in it is the reader's own filter."""
+        return sinks.render(sinks.DASHBOARD, sinks.payload({"version": self.settings.version, "params": asdict(self.settings)}, peers.ordered(self.judged).drop("trips")))
 
 
 def from_csv(spark: SparkSession, path: str, settings: Settings = DEFAULT) -> Run:

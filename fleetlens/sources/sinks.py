@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import json
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -45,18 +46,24 @@ def read_fleet_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path).withColumn("variant", F.trim("variant"))
 
 
-def lookup(records: DataFrame, imei: str) -> DataFrame:
-    """The record of one vehicle; the filter reaches a Parquet scan."""
-    return records.where(F.col("imei") == imei).limit(1)
+def write_page(spark: SparkSession, text: str, path: str) -> None:
+    """One page as a text file, in whatever store the path is."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def find_record(spark: SparkSession, path: str, schema, imei: str) -> dict | None:
+def lookup(records: DataFrame, imei: str, variant: str | None = None) -> DataFrame:
+    """The record of one vehicle; the filter reaches a Parquet scan. Without a variant, the first one that has the id."""
+    found = records.where(F.col("imei") == imei)
+    return found.where(F.col("variant") == variant) if variant else found.orderBy("variant").limit(1) if "variant" in records.columns else found.limit(1)
+
+
+def find_record(spark: SparkSession, path: str, schema, imei: str, variant: str | None = None) -> dict | None:
     """Best effort: one vehicle's record of a JSON records folder; None where folder or vehicle is missing.
 
     Damaged lines become NULL fields under the schema and so match no vehicle.
     """
     try:
-        found = lookup(read_json_records(spark, path, schema), imei).first()
+        found = lookup(read_json_records(spark, path, schema), imei, variant).first()
     except AnalysisException:
         return None
     return found.asDict(recursive=True) if found else None
@@ -79,22 +86,28 @@ def cell(value) -> str:
     return f"{value:.2f}" if isinstance(value, float) else html.escape(str(value))
 
 
-def html_table(title: str, df: DataFrame) -> str:
-    """One small result as a table; rows come to the driver one partition at a time."""
-    head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-    body = "".join("<tr>" + "".join(f"<td>{cell(v)}</td>" for v in row) + "</tr>" for row in df.toLocalIterator())
+def html_rows(title: str, rows: list[dict]) -> str:
+    """Rows of one section as a table."""
+    head = "".join(f"<th>{html.escape(c)}</th>" for c in (rows[0] if rows else ()))
+    body = "".join("<tr>" + "".join(f"<td>{cell(v)}</td>" for v in row.values()) + "</tr>" for row in rows)
     return f"<h2>{html.escape(title)}</h2><table><tr>{head}</tr>{body}</table>"
 
 
-def index_page(lines: list[tuple[str, str]], facts: dict[str, dict]) -> str:
-    """A table of reports: a link and the verdict of each vehicle, or why it has none."""
-    columns = ("variant", "verdict", "strong_metric_count", "n_trips", "n_peers", "reason")
+def page_path(variant: str, imei: str) -> str:
+    """Where the page of a vehicle lies beside the index, as partition folders name it."""
+    return f"pages/variant={quote(variant, safe=' |')}/imei={quote(imei, safe=' |')}/"
+
+
+def index_page(index: DataFrame) -> str:
+    """A table of reports: a link and the facts of each vehicle, or why it has none. One short row a vehicle."""
+    facts = [c for c in index.columns if c not in ("variant", "imei", "error")]
     rows = []
-    for name, failed in lines:
-        shown = html.escape(name)
-        rest = f'<td colspan="{len(columns)}">failed: {html.escape(failed)}</td>' if failed else "".join(f"<td>{cell(facts.get(name, {}).get(c))}</td>" for c in columns)
-        rows.append(f'<tr><td>{shown if failed else f"<a href={chr(34)}{shown}.html{chr(34)}>{shown}</a>"}</td>{rest}</tr>')
-    head = "".join(f"<th>{c}</th>" for c in ("vehicle", *columns))
+    for r in index.toLocalIterator():
+        shown = f"{html.escape(r.imei)} ({html.escape(r.variant)})"
+        rest = f'<td colspan="{len(facts)}">failed: {html.escape(r.error)}</td>' if r.error else "".join(f"<td>{cell(r[c])}</td>" for c in facts)
+        link = shown if r.error else f'<a href="../{html.escape(page_path(r.variant, r.imei))}">{shown}</a>'
+        rows.append(f"<tr><td>{link}</td>{rest}</tr>")
+    head = "".join(f"<th>{c}</th>" for c in ("vehicle", *facts))
     return page("Reports", [f"<table><tr>{head}</tr>{''.join(rows)}</table>"])
 
 

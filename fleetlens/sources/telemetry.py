@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,11 +45,40 @@ def rescale_soc(rows: DataFrame) -> DataFrame:
     return rows.crossJoin(F.broadcast(top)).withColumn("soc", F.when(F.col("soc_top") <= 1.5, F.col("soc") * 100).otherwise(F.col("soc"))).drop("soc_top")
 
 
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names in the first line of one CSV file, compressed or not, in whatever store it is."""
+    java = spark._jvm
+    settings, at = spark._jsc.hadoopConfiguration(), java.org.apache.hadoop.fs.Path(file)
+    stream = at.getFileSystem(settings).open(at)
+    try:
+        codec = java.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(at)
+        source = stream if codec is None else codec.createInputStream(stream)
+        line = java.java.io.BufferedReader(java.java.io.InputStreamReader(source, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(name.strip() for name in next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+
+
 def read_csv(spark: SparkSession, path: str, settings: Settings = DEFAULT) -> DataFrame:
-    """Clean telemetry of a CSV file or folder with a header; only named columns are parsed."""
-    header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    return clean(spark.read.schema(schema).option("header", True).csv(path).select(*RAW), settings)
+    """Clean telemetry of a CSV file or folder with headers; only named columns are parsed.
+
+    Columns go by the header of each file: files with the same header are one scan, and
+    scans are united by name. A file without one of the columns is an error that names both;
+    an empty file has no rows.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in spark.read.text(path).inputFiles():
+        if header := header_of(spark, file):
+            groups.setdefault(header, []).append(file)
+            if missing := [c for c in RAW if c not in header]:
+                raise ValueError(f"{file} has no column {', '.join(missing)}")
+    parts = []
+    for header, files in sorted(groups.items()):
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+        names = [F.col(f"c{header.index(c)}").alias(c) for c in RAW]
+        parts.append(spark.read.schema(schema).option("header", True).csv(files).select(*names))
+    none = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in RAW]))
+    return clean(reduce(DataFrame.unionByName, parts) if parts else none, settings)
 
 
 def read_parquet(spark: SparkSession, path: str, settings: Settings = DEFAULT) -> DataFrame:

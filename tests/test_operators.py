@@ -224,23 +224,6 @@ def test_peers_in_blocks_equal_all_distances(spark):
     assert peers.find_peers(frame.limit(0)).collect() == []
 
 
-def test_reports_go_on_after_a_failed_vehicle():
-    from fleetlens.plans.pipeline import Run
-    from fleetlens.sources import sinks
-
-    class Half(Run):
-        def __init__(self):
-            pass
-
-        def report(self, imei):
-            raise ValueError("no <data>")
-
-    pages = {}
-    Half().reports(["1", "2"], pages.__setitem__)
-    assert list(pages) == ["index"] and pages["index"].count("no &lt;data&gt;") == 2
-    assert '<a href="3.html">3</a>' in sinks.index_page([("3", "")], {"3": {"variant": "v"}})
-
-
 def test_counted_percentiles(spark):
     """Ranks over many small partitions equal numpy's percentiles; ties, one value and absent groups included."""
     import numpy as np
