@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 IDLE, CHARGE, RUN, LATCH = 0, 1, 2, 3
 ECO, THUNDER = 0, 1
 
+# Signals and match features, by column name.
 SIGNALS = ("rpm", "torque", "temp", "soc", "speed", "throttle", "current")
 MATCH_FEATURES = ("mode_0_frac", "mode_1_frac", "mean_speed", "p90_speed", "median_torque", "p90_torque", "median_throttle", "p90_throttle", "low_speed_frac")
 # Detector ids and labels of the results.

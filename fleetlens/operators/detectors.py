@@ -20,6 +20,7 @@ THRESHOLDS = (
     "charge_current_p75",
 )
 
+# Mask conditions.
 #: True where the contradiction holds; NULL inputs and thresholds never hold.
 RUN_MASKS = {
     "d1_rpm_speed": "speed > 3 and rpm > 50 and rpm / nullif(speed, 0) > ratio_rpm_speed_p95",

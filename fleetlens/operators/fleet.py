@@ -41,15 +41,24 @@ def reference(trips: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 def nearest_bucket(trips: DataFrame, fleet: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Trips with their bucket's columns: the same bins, else the nearest of the variant.
 
-    Trips are grouped by bins first, so the nearest search runs once for each pair of
-    bins; ties go to the smaller bins. Unknown bins have no bucket.
+    Trips are grouped by bins first. The buckets of a variant are rows of equal charge bin,
+    and in each row the nearest ones lie next to the trip's duration on either side: a cell
+    meets one window entry a row (a charge bin is a multiple of its width up to 100 per cent,
+    so there are few), never all buckets. Of these the nearest wins; ties go to the smaller
+    bins. Unknown bins have no bucket.
     """
     binned = with_bins(trips, settings)
+    spots = fleet.select("variant", F.col("soc_consumed_bin").alias("fs"), F.col("duration_bin").alias("fd"))
     cells = binned.where("duration_bin is not null and soc_consumed_bin is not null").select("variant", "duration_bin", "soc_consumed_bin").distinct()
-    spots = fleet.select("variant", F.col("duration_bin").alias("fd"), F.col("soc_consumed_bin").alias("fs"))
+    asked = cells.join(spots.select("variant", "fs").distinct(), "variant")
+    both = asked.withColumn("fd", F.lit(None).cast("long")).withColumn("at", F.col("duration_bin")).unionByName(spots.withColumn("at", F.col("fd")), allowMissingColumns=True)
+    row = Window.partitionBy("variant", "fs").orderBy("at")
+    below, above = F.last("fd", ignorenulls=True).over(row), F.first("fd", ignorenulls=True).over(row.rangeBetween(0, Window.unboundedFollowing))
+    sided = both.withColumns({"below": below, "above": above}).where("duration_bin is not null")
+    closer = F.when(F.col("above").isNull() | (F.col("at") - F.col("below") <= F.col("above") - F.col("at")), F.col("below")).otherwise(F.col("above"))
     far = F.abs(F.col("duration_bin") - F.col("fd")) + F.abs(F.col("soc_consumed_bin") - F.col("fs"))
-    rank = F.row_number().over(Window.partitionBy("variant", "duration_bin", "soc_consumed_bin").orderBy("far", "fd", "fs"))
-    chosen = cells.join(spots, "variant").withColumn("far", far).withColumn("rank", rank).where("rank = 1").drop("rank")
+    best = F.min(F.struct("far", "fd", "fs")).alias("b")
+    chosen = sided.withColumn("fd", closer).withColumn("far", far).groupBy("variant", "duration_bin", "soc_consumed_bin").agg(best).select("variant", "duration_bin", "soc_consumed_bin", "b.far", "b.fd", "b.fs")
     renamed = fleet.withColumnsRenamed({"duration_bin": "fd", "soc_consumed_bin": "fs"})
     return binned.join(chosen, ["variant", "duration_bin", "soc_consumed_bin"], "left").join(renamed, ["variant", "fd", "fs"], "left")
 

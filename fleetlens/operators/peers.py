@@ -203,11 +203,11 @@ def breakdown(records: DataFrame, top: int | None = None) -> DataFrame:
     return out.limit(top) if top else out
 
 
-def summary(records: DataFrame) -> DataFrame:
-    """One row: the counts of both older report forms."""
-    c = lambda cond: F.count_if(cond)
+def _counts() -> list[Column]:
+    """Aggregates of the counts of both older report forms."""
+    c = F.count_if
     v = F.col("verdict")
-    return records.agg(
+    return [
         F.count("*").alias("total_validated"),
         c(F.col("detector_flag")).alias("detector_flagged"),
         c(v == "ELEVATED").alias("elevated"),
@@ -219,20 +219,39 @@ def summary(records: DataFrame) -> DataFrame:
         c(F.col("watch_reason").isin("DATA_GAP_NO_VALID_TRIPS", "NO_VALID_TRIPS")).alias("no_valid_trips"),
         F.coalesce(F.sum("n_trips"), F.lit(0)).alias("valid_trips"),
         c(F.col("n_trips") > 0).alias("vehicles_with_valid_trips"),
-    )
+    ]
+
+
+def summary(records: DataFrame) -> DataFrame:
+    """One row: the counts of both older report forms."""
+    return records.agg(*_counts())
 
 
 def summary_record(records: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """The nested summary: counts, maps of counts and parameters, in one row."""
-    pairs = lambda df, k: df.agg(F.map_from_entries(F.collect_list(F.struct(k, "n"))).alias("m"))
-    by_variant = records.groupBy("variant", "verdict").agg(F.count("*").alias("n")).groupBy("variant").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("verdict", "n")))).alias("n"))
-    return (
-        summary(records)
-        .crossJoin(pairs(verdict_counts(records), "verdict").withColumnRenamed("m", "verdict_counts"))
-        .crossJoin(pairs(reason_counts(records), "watch_reason").withColumnRenamed("m", "watch_reason_counts"))
-        .crossJoin(pairs(by_variant, "variant").withColumnRenamed("m", "variant_verdict_counts"))
-        .withColumn("pipeline_version", F.lit(settings.version))
+    """The nested summary: counts, maps of counts and parameters, in one row.
+
+    One aggregate of the records by grouping sets (total, verdict, reason, variant and
+    verdict); its few rows are then put into maps. Without records all maps are empty.
+    """
+    reason = F.when(F.coalesce("watch_reason", F.lit("")) == "", "UNSPECIFIED").otherwise(F.col("watch_reason"))
+    named = records.select("variant", F.col("verdict").alias("by_verdict"), reason.alias("by_reason"), "verdict", "watch_reason", "detector_flag", "spirited", "n_trips")
+    v, r, m = F.col("variant"), F.col("by_reason"), F.col("by_verdict")
+    sets = named.groupingSets([[], [m], [r], [v, m]], v, r, m).agg(F.grouping_id().alias("level"), *_counts())
+    # Bits of the level, from the left: variant, reason and verdict are summed over.
+    total, verdicts_, reasons, crossed = 7, 6, 5, 2
+    entry = lambda level, key, value: F.map_from_entries(F.collect_list(F.when(F.col("level") == level, F.struct(key, value))))
+    n = F.col("total_validated")
+    per_variant = sets.withColumn("n", n).groupBy("level", "variant").agg(
+        *[F.max(F.when(F.col("level") == total, F.col(c.name))).alias(c.name) for c in summary(records).schema],
+        F.array_sort(F.collect_list(F.struct(F.coalesce("by_verdict", "by_reason", F.lit("")).alias("key"), "n"))).alias("entries"),
+    )
+    maps = [entry(level, F.lit(""), F.map_from_entries("entries")) for level in (verdicts_, reasons)]
+    out = per_variant.agg(
+        *[F.coalesce(F.max(c.name), F.lit(0)).alias(c.name) for c in summary(records).schema],
+        *[F.coalesce(F.element_at(m_, F.lit("")), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))).alias(name) for m_, name in zip(maps, ("verdict_counts", "watch_reason_counts"))],
+        entry(crossed, F.col("variant"), F.map_from_entries("entries")).alias("variant_verdict_counts"),
     )
+    return out.withColumn("pipeline_version", F.lit(settings.version))
 
 
 def listed(records: DataFrame, verdict: str | None = None, variant: str | None = None, text: str = "", most: int = 500) -> DataFrame:

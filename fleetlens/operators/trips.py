@@ -10,6 +10,7 @@ from fleetlens.functions.core import VEHICLE, micros, ratio
 from fleetlens.operators.detectors import RUN_DETECTORS, charge_events, trip_events
 from fleetlens.operators.sessions import charge_sessions_of, trips_of
 
+# Metrics of a trip, in the order of the results.
 METRICS = (
     "duration_min", "dist_km", "mean_speed", "avg_speed", "p90_speed", "median_rpm", "p90_rpm", "median_torque", "p90_torque", "median_throttle", "p90_throttle",
     "low_speed_frac", "median_current", "p90_current", "median_temp", "soc_start", "soc_end", "soc_consumed", "km_per_soc_pct", "peak_temp", "temp_delta_c",

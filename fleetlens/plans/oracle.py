@@ -3,14 +3,32 @@
 from __future__ import annotations
 
 from fleetlens.config import DANGER_DETECTORS, DETECTORS, MATCH_FEATURES, PROXY, SIGNALS
-from fleetlens.operators.detectors import CHARGE_MASK, RUN_DETECTORS, RUN_MASKS, THRESHOLDS
+from fleetlens.operators.detectors import RUN_DETECTORS, THRESHOLDS
 from fleetlens.operators.explain import REASONS
-from fleetlens.operators.fleet import ATTRIBUTES, EVENT_ATTRIBUTES, MAP_EDGES, MAP_PAIRS, SHARE_EDGES, SHOWN
-from fleetlens.operators.histograms import BINS, PAIRS, STATS
+from fleetlens.operators.fleet import ATTRIBUTES, EVENT_ATTRIBUTES, SHOWN
+from fleetlens.operators.histograms import STATS
 from fleetlens.operators.ml import FEATURES
 from fleetlens.operators.trips import METRICS
 from fleetlens.plans import outlier_oracle
 
+# Conditions, edges and bins of the results, written out again, so that a wrong one in an operator shows.
+RUN_MASKS = {
+    "d1_rpm_speed": "rpm > 50 AND speed > 3 AND rpm / speed > ratio_rpm_speed_p95",
+    "d2_throttle_speed": "speed <= speed_p25 AND throttle >= throttle_p75",
+    "d3_throttle_current": "current <= current_p25 AND throttle >= throttle_p75",
+    "d4_current_torque": "torque <= torque_p25 AND current >= current_p75",
+    "d5_current_rpm_torque": "torque <= torque_p50 AND current >= current_p75 AND rpm >= rpm_p75",
+    "d6_torque_speed": "speed <= speed_p25 AND torque >= torque_p90",
+    "d8_temp_overheat": "current <= current_p25 AND temp >= temp_p90",
+}
+CHARGE_MASK = "current >= charge_current_p75 AND soc >= 95"
+SHARE_EDGES = {"current": (0, 50, 100, 150, 200), "rpm": (0, 1500, 3000, 4500, 6000), "torque": (0, 25, 50, 75, 100), "temp": (0, 25, 40, 55, 70), "throttle": (0, 2, 4, 6, 8), "speed": (0, 15, 30, 45, 60)}
+MAP_EDGES = {"current": (0, 50, 100, 150, 200, 250, 300), "rpm": (0, 1000, 2000, 3000, 4000, 5000, 6000, 7000), "torque": (0, 25, 50, 75, 100, 125, 150), "throttle": (0, 2, 4, 6, 8, 10), "speed": (0, 10, 20, 30, 40, 50, 60, 80), "temp": (0, 20, 30, 40, 50, 60, 80)}
+MAP_PAIRS = tuple(tuple(p.split(":")) for p in "current:rpm current:torque current:throttle current:speed current:temp rpm:torque rpm:speed torque:speed throttle:speed temp:speed".split())
+BINS = {"rpm": (0.0, 7000.0, 28), "torque": (0.0, 200.0, 20), "current": (0.0, 300.0, 20), "speed": (0.0, 80.0, 16), "throttle": (0.0, 10.0, 20), "temp": (0.0, 100.0, 20), "soc": (0.0, 100.0, 20)}
+_TEN = {"rpm": (0.0, 7000.0, 10), "torque": (0.0, 200.0, 10), "current": (0.0, 300.0, 10), "speed": (0.0, 80.0, 8), "throttle": (0.0, 10.0, 10), "temp": (0.0, 100.0, 10)}
+PAIRS = tuple((x, _TEN[x], y, _TEN[y]) for x, y in (p.split(":") for p in "speed:rpm speed:throttle speed:current current:torque temp:current".split()))
+
 V = "variant, imei"
 T = "variant, imei, trip_id"
 
