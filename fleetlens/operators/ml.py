@@ -339,7 +339,9 @@ def grown_forests(big: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         variant, tree = part["variant"].iloc[0], int(part["tree"].iloc[0])
         return pd.DataFrame([(variant, tree, *row) for row in grow_tree(_matrix(part), settings.seed, tree)], columns=["variant", "tree", "node", "feature", "cut", "path"])
 
-    return drawn.select("variant", "tree", *FEATURES).groupBy("variant", "tree").applyInPandas(grow, "variant string, tree int, node long, feature int, cut double, path double")
+    # A number of partitions of our own: the rows are few, but growing a tree is work, so they are not to be merged.
+    spread = drawn.select("variant", "tree", *FEATURES).repartition(int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")), "variant", "tree")
+    return spread.groupBy("variant", "tree").applyInPandas(grow, "variant string, tree int, node long, feature int, cut double, path double")
 
 
 def outlier_flags(features: DataFrame, settings: Settings = DEFAULT) -> DataFrame:

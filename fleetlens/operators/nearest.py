@@ -25,6 +25,8 @@ from fleetlens.functions.shared import staged
 
 #: Candidates of a tile, targets of a group, targets compared at once, and pivots of a group at most.
 TILE, TARGETS, AT_ONCE, MOST_PIVOTS = 1000, 16_000, 128, 1000
+#: Points of a cell in the mean, in groups whose number of points is not above its square.
+CELL = 200
 #: Distances are ordered after rounding to nine places, so what may round to a bound stays.
 SLACK = 2e-9
 
@@ -92,7 +94,7 @@ def celled(candidates: DataFrame) -> tuple[DataFrame, Cells]:
     """Candidates with cell, tile and distance to their pivot (staged), and the cells."""
     spots = candidates.where("id = rep")
     sizes = spots.groupBy("grp").agg(F.count("*").alias("n"))
-    wanted = F.ceil(F.least(F.sqrt("n"), F.lit(float(MOST_PIVOTS))))
+    wanted = F.ceil(F.least(F.sqrt("n"), F.col("n") / CELL, F.lit(float(MOST_PIVOTS))))
     chance = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 31)) / F.lit(float(1 << 31))
     drawn = spots.join(F.broadcast(sizes) if sizes.count() <= MOST_PIVOTS else sizes, "grp").withColumn("chance", chance).where(F.col("chance") * F.col("n") < 4 * wanted + 16)
     first = drawn.withColumn("k", F.row_number().over(Window.partitionBy("grp").orderBy("chance", "id"))).where(F.col("k") <= wanted)

@@ -23,20 +23,19 @@ def robust_scale(long: DataFrame, keys: list[str], value: str = "value", bounded
 
     Scale: 1.4826 times the median absolute deviation; if that is 0, IQR / 1.349; if
     that is 0 too, the population deviation, or 1 if there is none; 1e-9 at least.
-    Groups of any size; ``bounded`` groups (the peers of one vehicle) are sorted in one task each.
+    Groups of any size, for which ``long`` is read several times; ``bounded`` groups (the peers of one vehicle) are sorted in one task each.
     """
     quarters = (0.25, 0.5, 0.75)
     known = long.where(F.col(value).isNotNull())
     if bounded:
         first = known.groupBy(*keys).agg(F.percentile(value, F.array(*map(F.lit, quarters))).alias("q"), F.stddev_pop(value).alias("sd"))
     else:
-        known = staged(known.select(*keys, value))
         first = staged(exact_percentiles(known, keys, [Wanted("q", F.col(value), quarters)]).join(known.groupBy(*keys).agg(F.stddev_pop(value).alias("sd")), keys))
     off = known.join(first, keys).withColumn("off", F.abs(F.col(value) - F.col("q")[1]))
     if bounded:
         middle = off.groupBy(*keys).agg(F.median("off").alias("mid"))
     else:
-        middle = exact_percentiles(staged(off), keys, [Wanted("mid", F.col("off"), (0.5,))]).withColumn("mid", F.col("mid")[0])
+        middle = exact_percentiles(off, keys, [Wanted("mid", F.col("off"), (0.5,))]).withColumn("mid", F.col("mid")[0])
     spread = first.join(middle, keys).withColumn("mad", F.col("mid") * 1.4826)
     iqr = F.col("q")[2] - F.col("q")[0]
     scale = F.when(F.col("mad") > 0, F.col("mad")).when(iqr > 0, iqr / 1.349).when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)

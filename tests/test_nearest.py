@@ -48,7 +48,7 @@ def test_equal_points_stay_linear(spark):
 def test_share_of_pairs_falls(spark):
     rng = np.random.default_rng(4)
     shares = []
-    for n in (200, 3000):
+    for n in (400, 8000):
         df = spark.createDataFrame([("g", f"{k}", v.tolist()) for k, v in enumerate(clustered(rng, n, 4, 20))], "grp string, id string, v array<double>")
         _, candidates = nearest.dealt(df, 21)
         placed, cells = nearest.celled(candidates)
