@@ -568,10 +568,10 @@ def outlier_flags(spark, sf_dir):
     return ml.outlier_flags(ml.vehicle_features(proxy.telemetry(spark, sf_dir), PROXY), PROXY)
 
 
-@query("SELECT verdict, CASE verdict WHEN 'ELEVATED' THEN 'HIGH' WHEN 'WATCH' THEN 'MEDIUM' ELSE 'NORMAL' END AS severity FROM (VALUES ('ELEVATED'), ('WATCH'), ('NORMAL'), ('OTHER')) v(verdict)")
+@query(build("SELECT verdict, CASE verdict WHEN 'ELEVATED' THEN 'HIGH' WHEN 'WATCH' THEN 'MEDIUM' ELSE 'NORMAL' END AS severity, count(*) AS n FROM ver GROUP BY 1, 2", "ver"))
 def severity_map(spark, sf_dir):
-    v = spark.createDataFrame([(x,) for x in ("ELEVATED", "WATCH", "NORMAL", "OTHER")], "verdict string")
-    return v.withColumn("severity", verdict_severity(F.col("verdict")))
+    """Verdicts and the severities they map to, counted."""
+    return Base(spark, sf_dir).verdicts.groupBy("verdict", verdict_severity(F.col("verdict")).alias("severity")).agg(F.count("*").alias("n"))
 
 
 @query(O.explanation_sql("imei, variant, verdict, watch_reason, reason", own_flags=True))
@@ -584,7 +584,9 @@ def whole_pipeline(spark, sf_dir):
 
 @query()
 def synthetic_telemetry(spark, sf_dir):
-    return telemetry.clean(synthetic.build(spark)).groupBy(*VEHICLE).agg(F.count("*").alias("n"), F.max("speed").alias("top_speed"))
+    """Generated telemetry of as many vehicles as there are suppliers."""
+    vehicles = spark.read.parquet(f"{sf_dir}/supplier.parquet").count()
+    return telemetry.clean(synthetic.build(spark, vehicles)).groupBy(*VEHICLE).agg(F.count("*").alias("n"), F.max("speed").alias("top_speed"))
 
 
 assert set(DANGER_DETECTORS) <= set(DETECTORS)
