@@ -1,9 +1,9 @@
 """Removal of boilerplate lines that spread over many sites.
 
-Each line of a document is keyed by the MD5 of its trimmed text. One aggregate over
-lines and sites is staged; sketches of sites, HyperLogLog, are merged from it for each line. Lines whose estimate
-is near the threshold get an exact distinct count of sites, so the sketch's error
-decides nothing. A line found on ``min_sites`` sites or more is boilerplate: its
+Each line of a document is keyed by the MD5 of its trimmed text. One aggregate over all
+lines merges a sketch of sites, HyperLogLog, for each line, so no table of lines and
+sites is made. Lines whose estimate is within six standard errors of the threshold (at
+least one site) get an exact distinct count of sites; estimates decide the others. A line found on ``min_sites`` sites or more is boilerplate: its
 first document (least key) keeps it, all others lose it, so no passage leaves the
 corpus and groups of copies keep one carrier.
 
@@ -24,8 +24,8 @@ MIN_SITES = 5
 LOG_REGISTERS = 10
 #: Boilerplate lines up to which their keys are broadcast; beyond it both sides are shuffled.
 BROADCAST_LINES = 200_000
-#: Three standard errors of a sketch with 2 ** LOG_REGISTERS registers.
-MARGIN = 3 * 1.04 / 2 ** (LOG_REGISTERS / 2)
+#: Standard errors of a sketch, 1.04 / sqrt(registers) each, on either side of the threshold within which lines are counted.
+ERRORS = 6
 
 _LINES = "split(coalesce({t}, ''), '\\n', -1)"
 _KEY = "unhex(md5(trim(BOTH ' \\t\\r' FROM {x})))"
@@ -40,33 +40,35 @@ def _occurrences(docs: DataFrame, key: str, site: str, text: str, *more: Column)
     return head.select(*[c for c in head.columns if c != "_text"], F.posexplode_outer(F.expr(keys)).alias("_at", "_line")).where("_line is not null")
 
 
-def line_sites(docs: DataFrame, key: str = "doc_id", site: str = "source", text: str = "text") -> DataFrame:
-    """(_line, _site, _first) for each line and site, staged: the one table that sketches and counts read."""
-    found = _occurrences(docs, key, site, text)
-    return checkpointed(found.groupBy("_line", "_site").agg(F.min("_doc").alias("_first")))
+def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", site: str = "source", text: str = "text", log_registers: int = LOG_REGISTERS) -> DataFrame:
+    """Lines on ``min_sites`` sites or more: (_line, _first, sites as estimated or counted), staged.
+
+    One pass merges a sketch of sites, the first document and a row count for each line;
+    partial aggregation keeps a line on one source from meeting in one task. Lines whose
+    estimate lies within the margin are counted exactly by a second scan that keeps no
+    other line.
+    """
+    spread = estimated_sites(docs, min_sites, key, site, text, log_registers)
+    near = _small(spread.where("near").select("_line"))
+    again = _occurrences(docs, key, site, text).select("_line", "_site").join(near, "_line", "left_semi").distinct()
+    exact = again.groupBy("_line").agg(F.count("*").alias("counted"))
+    counted = spread.join(exact, "_line", "left").withColumn("sites", F.coalesce("counted", "sites"))
+    return checkpointed(counted.where(F.col("sites") >= min_sites).select("_line", "_first", "sites"))
 
 
-def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", site: str = "source", text: str = "text") -> DataFrame:
-    """Lines on ``min_sites`` sites or more: (_line, _first, sites as estimated or counted)."""
-    found = line_sites(docs, key, site, text)
-    margin = max(1.0, MARGIN * min_sites)
+def estimated_sites(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", site: str = "source", text: str = "text", log_registers: int = LOG_REGISTERS) -> DataFrame:
+    """Lines whose sketch does not rule out ``min_sites`` sites: (_line, _first, sites as estimated, near), staged."""
+    margin = max(1.0, ERRORS * 1.04 / 2 ** (log_registers / 2) * min_sites)
     spread = (
-        found.groupBy("_line")
-        .agg(F.hll_sketch_agg("_site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min("_first").alias("_first"), F.count("*").alias("n"))
-        # Fewer rows than sites wanted need no sketch to be told apart.
+        _occurrences(docs, key, site, text)
+        .groupBy("_line")
+        .agg(F.hll_sketch_agg("_site", F.lit(log_registers)).alias("sketch"), F.min("_doc").alias("_first"), F.count("*").alias("n"))
+        # A line with fewer rows than sites wanted is told apart by its rows.
         .where(F.col("n") >= min_sites)
         .select("_line", "_first", F.hll_sketch_estimate("sketch").alias("sites"))
         .where(F.col("sites") >= min_sites - margin)
     )
-    spread = checkpointed(spread)
-    near = spread.where(F.col("sites") <= min_sites + margin).select("_line")
-    exact = found.join(_small(near), "_line", "left_semi").groupBy("_line").agg(F.count("*").alias("counted"))
-    return (
-        spread.join(exact, "_line", "left")
-        .withColumn("sites", F.coalesce("counted", "sites"))
-        .where(F.col("sites") >= min_sites)
-        .select("_line", "_first", "sites")
-    )
+    return checkpointed(spread.withColumn("near", F.col("sites") <= min_sites + margin))
 
 
 def _small(lines: DataFrame) -> DataFrame:
@@ -82,8 +84,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "
     proportion. Columns: ``row`` (the input row, text replaced), ``n_lines`` (0 for a
     NULL text) and ``n_removed``.
     """
-    # Staged, so that the join below has a shuffle of its own on both sides, which can be split where skewed.
-    bad = _small(checkpointed(boilerplate(docs, min_sites, key, site, text)))
+    # It is staged, so that the join below has a shuffle of its own on both sides, which can be split where skewed.
+    bad = _small(boilerplate(docs, min_sites, key, site, text))
     digest = F.md5(F.col(text).cast("binary"))
     losing = (
         _occurrences(docs, key, site, text, digest.alias("_digest"))

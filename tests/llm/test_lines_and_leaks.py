@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetlens.llm import decontaminate, line_dedup
 from fleetlens.llm.queries import op1_line_dedup, op6_decontamination
@@ -46,6 +47,26 @@ def test_near_threshold_lines_are_counted(spark):
     assert all((r.text, r.n_removed) == want[r.doc_id] for r in rows) and len(rows) == len(docs)
 
 
+def test_sketch_errors_on_both_sides_are_counted(spark):
+    """Coarse sketches put lines of too few sites above the threshold and lines of enough below it."""
+    docs = [(n * 10_000 + r * 100 + s, f"line {n} {r}", f"site {r} {s}") for n in (38, 39, 40, 41) for r in range(30) for s in range(n) for _ in range(2)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(5)
+    true = {r._line: r.n for r in line_dedup._occurrences(frame, "doc_id", "source", "text").groupBy("_line").agg(F.count_distinct("_site").alias("n")).collect()}
+    guess = {r._line: r.sites for r in line_dedup.estimated_sites(frame, 40, log_registers=6).collect()}
+    assert any(guess[x] >= 40 > n for x, n in true.items()) and any(guess[x] < 40 <= n for x, n in true.items())
+    found = {r._line: r.sites for r in line_dedup.boilerplate(frame, 40, log_registers=6).collect()}
+    assert found == {x: n for x, n in true.items() if n >= 40} and len(found) == 60
+
+
+def test_sites_are_counted_for_near_lines_alone(spark):
+    """The pass over all lines shuffles by line; sites are shuffled only behind the semi-join."""
+    docs = [(i, f"everywhere\nfew {i % 3}", f"site {i % 30}") for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    near = line_dedup.estimated_sites(frame, 10).collect()
+    assert [(round(r.sites), r.near) for r in near if r.sites > 15] == [(30, False)] and len(near) == 4
+    assert sorted(round(r.sites) for r in line_dedup.boilerplate(frame, 10).collect()) == [10, 10, 10, 30]
+
+
 def test_line_dedup_odd_rows(spark):
     docs = [(1, None, "a"), (1, "x\n\nx\n ", "a"), (2, "x", None), (2, "x", None), (None, "x\ny", "c"), (3, "\t", "d"), (4, "x\r", "e")]
     frame = spark.createDataFrame([(*d, 9) for d in docs], "doc_id long, text string, source string, _bad int")
