@@ -29,12 +29,13 @@ VERDICTS = ("ELEVATED", "WATCH", "NORMAL")
 
 @dataclass(frozen=True)
 class Settings:
-    """Thresholds (fixed values by default). Times are in units of ``unit_s`` seconds; durations in minutes of ``units_per_minute`` units."""
+    """Thresholds (fixed values by default). Times are in units of ``unit_s`` seconds; durations in minutes of ``units_per_minute`` units. Sessions are numbered in slices of ``slice_gaps`` trip gaps, a choice that changes no result."""
 
     unit_s: float = 1.0
     units_per_minute: float = 60.0
     row_seconds: float = 5.0
     trip_gap: float = 900.0
+    slice_gaps: int = 96
     max_sample_gap: float = 120.0
     min_minutes: float = 3.0
     min_km: float = 2.0
@@ -73,6 +74,7 @@ PROXY = Settings(
     unit_s=86400.0,
     units_per_minute=1.0,
     trip_gap=45.0,
+    slice_gaps=4,
     max_sample_gap=30.0,
     min_minutes=30.0,
     min_km=50.0,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.config import CHARGE, DEFAULT, DETECTORS, RUN, Settings
@@ -67,15 +67,15 @@ def variant_thresholds(rows: DataFrame, settings: Settings = DEFAULT) -> DataFra
 
 
 def _unpivot(rows: DataFrame, unit: list[str], masks: dict[str, str]) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(*unit).orderBy("time", "seq")).alias("place")
+    at = [*unit, "slice", "slice_first", "slice_last", "place"]
     hits = F.explode(F.array(*[F.struct(F.lit(d).alias("det"), F.coalesce(F.expr(m), F.lit(False)).alias("hit")) for d, m in masks.items()])).alias("d")
-    return rows.select(*unit, place, *sorted(set(rows.columns) - set(unit))).select(*unit, "place", hits).select(*unit, "place", "d.det", "d.hit")
+    return rows.select(*at, hits).select(*at, "d.det", "d.hit")
 
 
 def trip_events(rows: DataFrame, thresholds: DataFrame, settings: Settings = DEFAULT, only: list[str] | None = None) -> DataFrame:
     """Events of the driving detectors: one row for each trip and detector that fired.
 
-    ``rows`` are moving rows with ``trip_id``. Thresholds are one row a variant, so
+    ``rows`` are as ``trips_of`` gives them. Thresholds are one row a variant, so
     their join may be broadcast by size. All detectors share one pass.
     """
     masks = {d: m for d, m in RUN_MASKS.items() if only is None or d in only}

@@ -1,8 +1,10 @@
 """Row filters, gap sessions and dwell runs.
 
-All windows are by vehicle in time order with ``seq`` as the tiebreak, so results do
-not depend on partitioning. One exchange by (variant, imei) serves every operator of
-a chain.
+Rows are in time order with ``seq`` as the tiebreak, so results do not depend on
+partitioning. No window spans all rows of a vehicle: rows are numbered within slices of
+time, and a row for each vehicle and slice carries numbers and gaps over the edges. A
+placeholder id on a third of all rows is thus as many tasks as it has slices. Readers
+have dropped rows without variant, imei or time.
 """
 
 from __future__ import annotations
@@ -14,10 +16,6 @@ from fleetlens.config import CHARGE, DEFAULT, RUN, Settings
 from fleetlens.functions.core import VEHICLE, micros
 
 
-def by_time():
-    return Window.partitionBy(*VEHICLE).orderBy("time", "seq")
-
-
 def driving(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("state") == RUN)
 
@@ -46,21 +44,57 @@ def fleet_source_rows(rows: DataFrame) -> DataFrame:
     return rows.crossJoin(F.broadcast(total)).where((F.col("state") == RUN) | (F.col("drives") == 0)).drop("drives")
 
 
-def with_gap(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Adds ``gap``: time units since the vehicle's row before."""
-    return rows.withColumn("gap", (micros("time") - F.lag(micros("time")).over(by_time())) / F.lit(1e6 * settings.unit_s))
+def _numbered(rows: DataFrame, settings: Settings, name: str, first: int) -> DataFrame:
+    """Adds to each row of its vehicle, over all slices of time:
+
+    ``gap``, time units since the row before; ``name``, the session number from ``first``,
+    a gap over the limit starting the next; ``place``, the row's number from 1; ``slice``
+    with the places of its first and last row, ``slice_first`` and ``slice_last``.
+    """
+    units = F.lit(1e6 * settings.unit_s)
+    wide = int(settings.slice_gaps * settings.trip_gap * settings.unit_s * 1e6)
+    breaks = lambda gap: F.when(gap > settings.trip_gap, 1).otherwise(0)
+    sliced = rows.withColumn("slice", F.floor(micros("time") / F.lit(wide)))
+    key = [*VEHICLE, "slice"]
+    # Gaps do not depend on the order of equal times, so this pass reads times alone.
+    inside = (micros("time") - F.lag(micros("time")).over(Window.partitionBy(*key).orderBy("time"))) / units
+    ends = (
+        sliced.select(*key, "time", inside.alias("gap"))
+        .groupBy(*key)
+        .agg(F.count("*").alias("n"), F.sum(breaks(F.col("gap"))).alias("breaks"), F.min(micros("time")).alias("began"), F.max(micros("time")).alias("ended"))
+    )
+    by_slice = Window.partitionBy(*VEHICLE).orderBy("slice")
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    stitched = (
+        ends.withColumn("_before", F.lag("ended").over(by_slice))
+        .withColumn("breaks", F.col("breaks") + breaks((F.col("began") - F.col("_before")) / units))
+        .select(
+            *key,
+            "_before",
+            # The gap into this slice is counted by its first row, so only earlier slices count here.
+            (F.coalesce(F.sum("breaks").over(earlier), F.lit(0)) + first).alias("_number"),
+            (F.coalesce(F.sum("n").over(earlier), F.lit(0)) + 1).alias("slice_first"),
+            F.sum("n").over(by_slice).alias("slice_last"),
+        )
+    )
+    w = Window.partitionBy(*key).orderBy("time", "seq")
+    return (
+        sliced.join(stitched, key)
+        .withColumn("gap", (micros("time") - F.coalesce(F.lag(micros("time")).over(w), F.col("_before"))) / units)
+        .withColumn(name, (F.col("_number") + F.sum(breaks(F.col("gap"))).over(w)).cast("int"))
+        .withColumn("place", F.col("slice_first") + F.row_number().over(w) - 1)
+        .drop("_before", "_number")
+    )
 
 
 def trips_of(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Moving rows with ``trip_id`` from 0; a gap over the limit starts a trip."""
-    new = F.when(F.col("gap") > settings.trip_gap, 1).otherwise(0)
-    return with_gap(moving(rows), settings).withColumn("trip_id", F.sum(new).over(by_time()).cast("int"))
+    return _numbered(moving(rows), settings, "trip_id", 0)
 
 
 def charge_sessions_of(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Charging rows with ``session_id`` from 1."""
-    new = F.when(F.col("gap").isNull() | (F.col("gap") > settings.trip_gap), 1).otherwise(0)
-    return with_gap(charging(rows), settings).withColumn("session_id", F.sum(new).over(by_time()).cast("int"))
+    return _numbered(charging(rows), settings, "session_id", 1)
 
 
 def gap_sessions(rows: DataFrame, key: str, time: str, gap_s: float, tie: str) -> DataFrame:
@@ -71,20 +105,41 @@ def gap_sessions(rows: DataFrame, key: str, time: str, gap_s: float, tie: str) -
 
 
 def dwell_runs(rows: DataFrame, unit: list[str], dwell: dict[str, int], row_seconds: float, mask: str = "hit", det: str = "det") -> DataFrame:
-    """Runs of adjacent true rows within a unit: events and longest dwell for each detector.
+    """Runs of adjacent true rows within a unit: events, longest and mean dwell for each detector.
 
-    ``rows`` has one row for each sample and detector. Gaps and islands: the sample
-    number minus its rank among true samples is constant in a run. Runs shorter than
-    the detector's dwell do not count.
+    ``rows`` has one row for each sample and detector, with ``place`` rising by one from
+    sample to sample of a unit. Gaps and islands: the place minus its rank among true
+    samples is constant in a run. Runs shorter than the detector's dwell do not count.
+    Where rows have slices, runs are found inside them; a run that touches the edge of
+    its slice stays open, at most two a slice, and open runs of adjacent places are one.
     """
-    w = Window.partitionBy(*unit, det).orderBy("place")
+    if "slice" not in rows.columns:
+        rows = rows.withColumns({"slice": F.lit(0), "slice_first": F.lit(None).cast("long"), "slice_last": F.lit(None).cast("long")})
+    part = [*unit, det, "slice"]
+    w = Window.partitionBy(*part).orderBy("place")
     least = F.element_at(F.create_map(*[F.lit(x) for kv in dwell.items() for x in kv]), F.col(det))
-    return (
+    is_open = F.coalesce((F.col("first") == F.col("slice_first")) | (F.col("last") == F.col("slice_last")), F.lit(False))
+    done = F.when(~is_open & (F.col("run") >= least), F.col("run"))
+    runs = (
         rows.where(mask)
         .withColumn("island", F.col("place") - F.row_number().over(w))
-        .groupBy(*unit, det, "island")
-        .agg(F.count("*").alias("run"))
-        .where(F.col("run") >= least)
-        .groupBy(*unit, det)
-        .agg(F.count("*").alias("events"), (F.max("run") * F.lit(row_seconds)).alias("max_dwell_s"), (F.avg("run") * F.lit(row_seconds)).alias("mean_dwell_s"))
+        .groupBy(*part, "island")
+        .agg(F.count("*").alias("run"), F.min("place").alias("first"), F.max("place").alias("last"), F.max("slice_first").alias("slice_first"), F.max("slice_last").alias("slice_last"))
+    )
+    slices = runs.groupBy(*part).agg(F.count(done).alias("events"), F.max(done).alias("longest"), F.sum(done).alias("total"), F.collect_list(F.when(is_open, F.struct("first", "last"))).alias("open"))
+    units = slices.groupBy(*unit, det).agg(F.sum("events").alias("events"), F.max("longest").alias("longest"), F.sum("total").alias("total"), F.sort_array(F.flatten(F.collect_list("open"))).alias("open"))
+    begin = "filter(open, (x, i) -> i = 0 or get(open, i - 1).last + 1 < x.first)"
+    end = "filter(open, (x, i) -> i = size(open) - 1 or get(open, i + 1).first > x.last + 1)"
+    joined = F.filter(F.expr(f"zip_with({begin}, {end}, (a, b) -> b.last - a.first + 1)"), lambda n: n >= least)
+    return (
+        units.withColumn("joined", joined)
+        .withColumn("events", F.col("events") + F.size("joined"))
+        .where("events > 0")
+        .select(
+            *unit,
+            det,
+            "events",
+            (F.greatest("longest", F.array_max("joined")) * F.lit(row_seconds)).alias("max_dwell_s"),
+            ((F.coalesce("total", F.lit(0)) + F.expr("aggregate(joined, 0L, (a, n) -> a + n)")) * F.lit(row_seconds) / F.col("events")).alias("mean_dwell_s"),
+        )
     )

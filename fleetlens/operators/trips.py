@@ -36,8 +36,8 @@ def active_minutes(settings: Settings):
 def raw_trip_metrics(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """One row a trip with all metrics and what the gates need. ``rows`` carry ``trip_id``.
 
-    One aggregate by trip; its keys extend the vehicle key the rows are already
-    partitioned by, so it adds no exchange.
+    Rows lie by vehicle and slice of time, so the partial aggregate leaves a row or two of
+    most trips to be shuffled.
     """
     p = lambda c: F.percentile(c, F.array(F.lit(0.5), F.lit(0.9)))
     # The gap before a trip's first row is over the limit or NULL, so it never counts.
