@@ -17,6 +17,7 @@ def main(args: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="fleetlens", description=__doc__)
     p.add_argument("--csv", default=os.environ.get("FLEET_INPUT_CSV", "data/telemetry"), help="telemetry CSV file or folder")
     p.add_argument("--out", default=os.environ.get("FLEET_OUT", "out"), help="output folder")
+    p.add_argument("--keep", default=os.environ.get("FLEET_KEEP"), help="shared folder that keeps cleaned telemetry and thresholds for later runs")
     sub = p.add_subparsers(dest="what", required=True)
     demo = sub.add_parser("demo", help="write synthetic telemetry to --csv")
     demo.add_argument("--vehicles", type=int, default=30)
@@ -36,7 +37,7 @@ def main(args: list[str] | None = None) -> None:
     elif a.what == "flags":
         sinks.write_table(ml.outlier_flags(ml.vehicle_features(telemetry.require_rows(telemetry.read_csv(spark, a.csv)))), f"{a.out}/flags")
     else:
-        run: Run = from_csv(spark, a.csv)
+        run: Run = from_csv(spark, a.csv, keep=a.keep)
         if a.what == "run":
             run.write(a.out)
         elif a.what == "reference":

@@ -44,6 +44,14 @@ def fleet_source_rows(rows: DataFrame) -> DataFrame:
     return rows.crossJoin(F.broadcast(total)).where((F.col("state") == RUN) | (F.col("drives") == 0)).drop("drives")
 
 
+def sliced(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """Rows with their ``slice`` of time; kept telemetry brings it along."""
+    if "slice" in rows.columns:
+        return rows
+    wide = int(settings.slice_gaps * settings.trip_gap * settings.unit_s * 1e6)
+    return rows.withColumn("slice", F.floor(micros("time") / F.lit(wide)))
+
+
 def _numbered(rows: DataFrame, settings: Settings, name: str, first: int) -> DataFrame:
     """Adds to each row of its vehicle, over all slices of time:
 
@@ -52,14 +60,13 @@ def _numbered(rows: DataFrame, settings: Settings, name: str, first: int) -> Dat
     with the places of its first and last row, ``slice_first`` and ``slice_last``.
     """
     units = F.lit(1e6 * settings.unit_s)
-    wide = int(settings.slice_gaps * settings.trip_gap * settings.unit_s * 1e6)
     breaks = lambda gap: F.when(gap > settings.trip_gap, 1).otherwise(0)
-    sliced = rows.withColumn("slice", F.floor(micros("time") / F.lit(wide)))
+    rows = sliced(rows, settings)
     key = [*VEHICLE, "slice"]
     # Gaps do not depend on the order of equal times, so this pass reads times alone.
     inside = (micros("time") - F.lag(micros("time")).over(Window.partitionBy(*key).orderBy("time"))) / units
     ends = (
-        sliced.select(*key, "time", inside.alias("gap"))
+        rows.select(*key, "time", inside.alias("gap"))
         .groupBy(*key)
         .agg(F.count("*").alias("n"), F.sum(breaks(F.col("gap"))).alias("breaks"), F.min(micros("time")).alias("began"), F.max(micros("time")).alias("ended"))
     )
@@ -79,7 +86,7 @@ def _numbered(rows: DataFrame, settings: Settings, name: str, first: int) -> Dat
     )
     w = Window.partitionBy(*key).orderBy("time", "seq")
     return (
-        sliced.join(stitched, key)
+        rows.join(stitched, key)
         .withColumn("gap", (micros("time") - F.coalesce(F.lag(micros("time")).over(w), F.col("_before"))) / units)
         .withColumn(name, (F.col("_number") + F.sum(breaks(F.col("gap"))).over(w)).cast("int"))
         .withColumn("place", F.col("slice_first") + F.row_number().over(w) - 1)

@@ -19,9 +19,11 @@ from fleetlens.sources import sinks
 class Run:
     """All tables of one telemetry input. Each is planned once and staged where branches share it."""
 
-    def __init__(self, rows: DataFrame, settings: Settings = DEFAULT, flags: DataFrame | None = None):
-        self.settings, self.rows = settings, staged(rows)
-        self.thresholds = staged(detectors.variant_thresholds(self.rows, settings))
+    def __init__(self, rows: DataFrame, settings: Settings = DEFAULT, flags: DataFrame | None = None, thresholds: DataFrame | None = None):
+        """``thresholds`` come with rows that are kept as a table already; other rows are staged here."""
+        self.settings = settings
+        self.rows = staged(rows) if thresholds is None else rows
+        self.thresholds = staged(detectors.variant_thresholds(self.rows, settings)) if thresholds is None else thresholds
         self.trips = staged(trips.trip_table(self.rows, self.thresholds, settings))
         self.profiles = staged(trips.profiles(self.trips, trips.charge_summary(self.rows, self.thresholds, settings)))
         self.flags = flags if flags is not None else staged(ml.outlier_flags(ml.vehicle_features(self.rows, settings), settings))
@@ -92,7 +94,11 @@ class Run:
         return sinks.render(sinks.DASHBOARD, sinks.payload({"version": self.settings.version, "params": asdict(self.settings)}, peers.ordered(self.judged).drop("trips")))
 
 
-def from_csv(spark: SparkSession, path: str, settings: Settings = DEFAULT) -> Run:
-    from fleetlens.sources import telemetry
+def from_csv(spark: SparkSession, path: str, settings: Settings = DEFAULT, keep: str | None = None) -> Run:
+    """A run over CSV telemetry; with ``keep``, a shared folder, cleaned rows and thresholds stay there for later runs."""
+    from fleetlens.sources import store, telemetry
 
+    if keep is not None:
+        rows, thresholds = store.kept_telemetry(spark, path, keep, settings)
+        return Run(rows, settings, thresholds=thresholds)
     return Run(telemetry.require_rows(telemetry.read_csv(spark, path, settings)), settings)
