@@ -234,11 +234,12 @@ def explanation_sql(columns: str = "imei, variant, verdict", own_flags: bool = F
     )
 
 
-def summary_sql(counts: str) -> str:
-    """The flat counts, and counts by verdict, reason and variant as sorted text."""
-    listed = lambda key: f"(SELECT string_agg({key} || '=' || n, ',' ORDER BY {key}) FROM (SELECT {key}, count(*) AS n FROM ver GROUP BY 1))"
+def summary_sql(counts: str, reasons_of: str | None = None) -> str:
+    """The flat counts, and counts by verdict, reason (of one verdict, if given) and variant as sorted text."""
+    listed = lambda key, where="": f"(SELECT string_agg({key} || '=' || n, ',' ORDER BY {key}) FROM (SELECT {key}, count(*) AS n FROM ver{where} GROUP BY 1))"
+    only = f" WHERE verdict = '{reasons_of}'" if reasons_of else ""
     return build(
-        f"""SELECT s.*, {listed("verdict")} AS verdict_counts, {listed("watch_reason")} AS watch_reason_counts,
+        f"""SELECT s.*, {listed("verdict")} AS verdict_counts, {listed("watch_reason", only)} AS watch_reason_counts,
         (SELECT string_agg(variant || ':' || v, ';' ORDER BY variant) FROM (SELECT variant, string_agg(verdict || '=' || n, ',' ORDER BY verdict) AS v FROM (SELECT variant, verdict, count(*) AS n FROM ver GROUP BY 1, 2) GROUP BY 1)) AS variant_verdict_counts,
         '{_p.version}' AS pipeline_version FROM ({counts}) s""",
         "ver",

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import DANGER_DETECTORS, DETECTORS, PROXY
 from fleetlens.functions.core import VEHICLE, half_even_bin, mode_class, verdict_severity
+from fleetlens.functions.positions import positioned
 from fleetlens.functions.shared import staged
-from fleetlens.operators import detectors, explain, fleet, histograms, ml, peers, sessions, trips
+from fleetlens.operators import detectors, explain, fleet, forms, histograms, ml, peers, sessions, trips
 from fleetlens.operators.fleet import ATTRIBUTES, EVENT_ATTRIBUTES, SHOWN
 from fleetlens.operators.ml import FEATURES
 from fleetlens.plans import oracle
@@ -330,19 +331,44 @@ def _counts(m: str):
     return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
 
 
-@query(O.summary_sql(_COUNTS))
-def summary_record(spark, sf_dir):
-    """The nested summary, its maps as sorted text."""
+def _with_text_maps(summary: DataFrame) -> DataFrame:
     nested = F.transform(
         F.array_sort(F.map_keys("variant_verdict_counts")), lambda v: F.concat(v, F.lit(":"), _counts(F.col("variant_verdict_counts")[v]))
     )
-    out = peers.summary_record(staged(Base(spark, sf_dir).verdicts), PROXY)
-    return out.withColumn("variant_verdict_counts", F.array_join(nested, ";")).withColumns({m: _counts(m) for m in ("verdict_counts", "watch_reason_counts")})
+    return summary.withColumn("variant_verdict_counts", F.array_join(nested, ";")).withColumns({m: _counts(m) for m in ("verdict_counts", "watch_reason_counts")})
+
+
+@query(O.summary_sql(_COUNTS))
+def summary_record(spark, sf_dir):
+    """The nested summary, its maps as sorted text."""
+    return _with_text_maps(peers.summary_record(staged(Base(spark, sf_dir).verdicts), PROXY))
+
+
+_OLDER = "s.total_validated AS dashboard_vehicles, s.total_validated AS dashboard_joined_to_validator, CAST(0 AS BIGINT) AS high"
+
+
+@query(f"SELECT s.* REPLACE (pipeline_version || '-via-adapter' AS pipeline_version), {_OLDER} FROM ({O.summary_sql(_COUNTS)}) s")
+def piped_summary(spark, sf_dir):
+    """The summary of the older form that counts vehicles without valid trips."""
+    return _with_text_maps(forms.summary(staged(Base(spark, sf_dir).verdicts), "piped", PROXY))
+
+
+@query(f"SELECT s.* REPLACE (total_validated AS vehicles_with_valid_trips), {_OLDER} FROM ({O.summary_sql(_COUNTS, reasons_of='WATCH')}) s")
+def listed_summary(spark, sf_dir):
+    """The summary of the older form that counts the reasons of WATCH alone."""
+    return _with_text_maps(forms.summary(staged(Base(spark, sf_dir).verdicts), "listed", PROXY))
+
+
+@query(O.explanation_sql("imei, variant, reason AS strong_metrics, '' AS review_recommendation"))
+def piped_records(spark, sf_dir):
+    """Explained records of the older form with names joined by bars."""
+    out = forms.records(Base(spark, sf_dir).verdicts, "piped", PROXY)
+    return out.select("imei", "variant", "strong_metrics", "review_recommendation", F.array_join("explanations", " ").alias("explanations"))
 
 
-@query(build("SELECT imei, variant, verdict, ns AS strong_metric_count FROM ver ORDER BY CASE verdict WHEN 'ELEVATED' THEN 0 WHEN 'WATCH' THEN 1 ELSE 2 END, ns DESC, variant, imei", "ver"))
+@query(build("SELECT imei, variant, verdict, ns AS strong_metric_count, row_number() OVER (ORDER BY CASE verdict WHEN 'ELEVATED' THEN 0 WHEN 'WATCH' THEN 1 ELSE 2 END, ns DESC, variant, imei) AS position FROM ver", "ver"))
 def verdict_order(spark, sf_dir):
-    return peers.ordered(Base(spark, sf_dir).verdicts).select("imei", "variant", "verdict", "strong_metric_count")
+    return positioned(peers.ordered(Base(spark, sf_dir).verdicts).select("imei", "variant", "verdict", "strong_metric_count"))
 
 
 @query(build("SELECT imei, variant, verdict FROM ver WHERE verdict = 'WATCH' AND variant = 'A' AND (imei LIKE '%1%' OR lower(variant) LIKE '%1%') ORDER BY ns DESC, imei LIMIT 500", "ver"))
@@ -350,9 +376,9 @@ def list_filter(spark, sf_dir):
     return peers.listed(Base(spark, sf_dir).verdicts, "WATCH", "A", "1").select("imei", "variant", "verdict")
 
 
-@query(build("SELECT imei, variant, ns AS strong_metric_count FROM ver WHERE verdict = 'WATCH'", "ver"))
+@query(build("SELECT imei, variant, ns AS strong_metric_count, row_number() OVER (ORDER BY ns DESC, variant, imei) AS position FROM ver WHERE verdict = 'WATCH'", "ver"))
 def batch_targets(spark, sf_dir):
-    return peers.targets(Base(spark, sf_dir).verdicts, "WATCH").select("imei", "variant", "strong_metric_count")
+    return positioned(peers.targets(Base(spark, sf_dir).verdicts, "WATCH").select("imei", "variant", "strong_metric_count"))
 
 
 @query(build("SELECT imei, variant, verdict FROM ver WHERE imei = '7' AND variant = 'A'", "ver"))
@@ -380,9 +406,9 @@ def explanations(spark, sf_dir):
 # Fleet reference and comparison
 
 
-@query(build(f"SELECT variant, duration_bin, soc_consumed_bin, fleet_n, low_confidence, {rows([f'median_{a}' for a in (*ATTRIBUTES, *EVENT_ATTRIBUTES)])} FROM fleet", "fleet"))
+@query(build(f"SELECT variant, duration_bin, soc_consumed_bin, fleet_n, low_confidence, {rows([f'median_{a}' for a in (*ATTRIBUTES, *EVENT_ATTRIBUTES)])}, row_number() OVER (ORDER BY variant, duration_bin, soc_consumed_bin) AS position FROM fleet", "fleet"))
 def fleet_reference(spark, sf_dir):
-    return fleet.reference(Base(spark, sf_dir).trips, PROXY)
+    return positioned(fleet.reference(Base(spark, sf_dir).trips, PROXY))
 
 
 @query(build(f"SELECT {T}, duration_bin, soc_consumed_bin, fd, fs, far, fleet_n FROM matched", "matched"))
@@ -400,9 +426,9 @@ def detector_comparison(spark, sf_dir):
     return fleet.detector_rows(Base(spark, sf_dir).matched)
 
 
-@query(build(f"SELECT *, {O.status('events_total', 'fleet_total')} AS flag FROM (SELECT {V}, det, CAST(sum(events) AS BIGINT) AS events_total, {rnd('max(max_dwell_s)', 'max_dwell_s')}, {rnd('coalesce(sum(fleet_median), 0.0)', 'fleet_total')}, count(fleet_median) AS fleet_buckets_n, count(*) FILTER (WHERE events > 0) AS trips_fired FROM detr GROUP BY {V}, det)", "detr"))
+@query(build(f"SELECT *, {O.status('events_total', 'fleet_total')} AS flag FROM (SELECT {V}, det, CAST(sum(events) AS BIGINT) AS events_total, {rnd('max(max_dwell_s)', 'max_dwell_s')}, {rnd('coalesce(sum(fleet_median), 0.0)', 'fleet_total')}, count(fleet_median) AS fleet_buckets_n, count(*) FILTER (WHERE events > 0) AS trips_fired, row_number() OVER (ORDER BY {V}, sum(events) DESC, det) AS position FROM detr GROUP BY {V}, det)", "detr"))
 def detector_rollup(spark, sf_dir):
-    return fleet.detector_rollup(fleet.detector_rows(Base(spark, sf_dir).matched))
+    return positioned(fleet.detector_rollup(fleet.detector_rows(Base(spark, sf_dir).matched)))
 
 
 @query(build(f"SELECT {V}, attr, {rnd('avg(pct_dev)', 'mean_dev')} FROM attr GROUP BY {V}, attr", "attr"))
