@@ -12,10 +12,12 @@ an item is a match of its own; occurrences of one item do not overlap.
 
 A document contains an item of n words if some run of its words is within
 ``floor(n * (1 - SIMILARITY))`` word edits of the item. Words are runs of letters,
-digits and non-ASCII characters, in lower case.
+digits and non-ASCII characters, in lower case. Items of fewer than MIN_WORDS words allow
+no edit and are looked up as they are. ``without_leaks``, which drops whole documents, leaves
+these out unless told otherwise: one common word is no leak.
 
-Defined results: a NULL or empty text contains nothing; items of fewer than
-MIN_WORDS words or with a NULL id never match; ids may be of any type; items with equal
+Defined results: a NULL or empty text contains nothing; items without words or with a
+NULL id never match; ids may be of any type; items with equal
 texts all match; repeated rows match alike; empty tables give empty results; other columns are ignored.
 """
 
@@ -32,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SIMILARITY = 0.8
+#: Least words of an item that an edit leaves recognisable; shorter ones are compared exactly.
 MIN_WORDS = 5
 #: Embeddings, and positions sampled from each: recall over 0.99 at the threshold (tested).
 REPEATS, SAMPLED = 24, 2
@@ -160,15 +163,20 @@ def best_fit_long(item: list[int], words: list[int], allowed: int) -> tuple[int,
 class ItemIndex:
     """Hash index of the items' embedded samples, with the word-pair filter in front."""
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    def __init__(self, items: list[tuple[int, str | None]], shortest: int = 1):
         self.vocab: dict[bytes, int] = {}
         self.items: list[tuple[list[int], list[int]]] = []
         same: dict[tuple[int, ...], list[int]] = defaultdict(list)
         for item_id, text in items:
             words = split_words(text)
-            if item_id is not None and len(words) >= MIN_WORDS:
+            if item_id is not None and len(words) >= max(shortest, 1):
                 same[tuple(self.vocab.setdefault(w, len(self.vocab)) for w in words)].append(item_id)
-        self.items = [(list(words), sorted(ids)) for words, ids in sorted(same.items())]
+        self.items = [(list(words), sorted(ids)) for words, ids in sorted(same.items()) if len(words) >= MIN_WORDS]
+        #: For each size under MIN_WORDS, the items by their words.
+        self.short: dict[int, dict[tuple[int, ...], list[int]]] = defaultdict(dict)
+        for words, ids in same.items():
+            if len(words) < MIN_WORDS:
+                self.short[len(words)][words] = sorted(ids)
         by_pair: dict[int, set[int]] = defaultdict(set)
         by_size: dict[int, list[int]] = defaultdict(list)
         for k, (words, _) in enumerate(self.items):
@@ -195,10 +203,29 @@ class ItemIndex:
     def matches(self, text: str | None) -> list[tuple]:
         """(item id, first word, word after the last, edits) of every occurrence of every item."""
         words = split_words(text)
-        if len(words) < MIN_WORDS - 1 or not self.items:
+        if not words or not self.vocab:
             return []
         get = self.vocab.get
         ids = np.array(list(map(get, words, repeat(-1))), dtype=np.int64)
+        return sorted(self._short_ones(ids) + self._long_ones(ids), key=lambda m: (str(m[0]), m[1:]))
+
+    def _short_ones(self, ids: np.ndarray) -> list[tuple]:
+        """Occurrences of items of fewer than MIN_WORDS words, from left to right, without overlaps of one item."""
+        out = []
+        for n, items in self.short.items():
+            done: dict[tuple[int, ...], int] = {}
+            begins = np.isin(ids[: max(0, len(ids) - n + 1)], np.array(sorted({words[0] for words in items})))
+            for p in np.flatnonzero(begins).tolist():
+                words = tuple(ids[p : p + n].tolist())
+                if words in items and p >= done.get(words, 0):
+                    done[words] = p + n
+                    out += [(i, p, p + n, 0) for i in items[words]]
+        return out
+
+    def _long_ones(self, ids: np.ndarray) -> list[tuple]:
+        """Occurrences of all other items, in no order."""
+        if len(ids) < MIN_WORDS - 1 or not self.items:
+            return []
         both = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
         if not len(both):
             return []
@@ -227,7 +254,7 @@ class ItemIndex:
             found = starts if n > WALK_WORDS else self._met(n, ids, starts)
             for k, places in found.items():
                 out += [(i, *o) for o in self._occurrences(k, ids, places) for i in self.items[k][1]]
-        return sorted(out, key=lambda m: (str(m[0]), m[1:]))
+        return out
 
     def _starts(self, k: int, hits: np.ndarray, kinds: np.ndarray) -> np.ndarray:
         """Starts p whose window [p, p + n + allowed) has enough pairs of item ``k``, and enough different ones.
@@ -328,12 +355,12 @@ def match_column(index: ItemIndex, text: Column, id_type: str = "bigint") -> Col
     return run(text)
 
 
-def _blocks(items: DataFrame, item_key: str, item_text: str) -> Iterator[ItemIndex]:
+def _blocks(items: DataFrame, item_key: str, item_text: str, shortest: int = 1) -> Iterator[ItemIndex]:
     """Indexes of about ITEMS_A_PASS items each; there is one at least."""
     wanted = items.select(F.col(item_key).alias("i"), F.col(item_text).alias("t"))
     blocks = -(-wanted.count() // ITEMS_A_PASS) or 1
     for b in range(blocks):
-        yield ItemIndex([(r.i, r.t) for r in wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()])
+        yield ItemIndex([(r.i, r.t) for r in wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()], shortest)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> Column:
@@ -357,9 +384,9 @@ def leak_rows(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     return reduce(DataFrame.unionAll, passes)
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose text contains no item, a filter for each block of items."""
-    for index in _blocks(items, item_key, item_text):
+def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", shortest: int = MIN_WORDS) -> DataFrame:
+    """Rows of ``docs`` whose text contains no item of ``shortest`` words or more, a filter for each block of items."""
+    for index in _blocks(items, item_key, item_text, shortest):
         row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
         docs = docs.select(row, match_column(index, docs[text], items.schema[item_key].dataType.simpleString()).alias("leaks")).where(F.size("leaks") == 0).select("row.*")
     return docs

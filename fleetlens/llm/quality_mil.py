@@ -6,9 +6,9 @@ weighted passage representation is scored (Ilse, Tomczak and Welling 2018). The
 only inputs are the characters of the text.
 
 The model is fitted with numpy on at most ``MAX_LABELLED`` labelled documents, those
-with the smallest key hashes, and at most ``TRAIN_PASSAGES`` passages of each, evenly spread;
-the least text stands for a key with several. Scoring covers every passage of
-every document.
+with the smallest key hashes, as many of them in this order as hold ``MAX_PASSAGES``
+passages together; each takes part whole. The least text stands for a key with several.
+Scoring covers every passage of every document.
 
 Defined results: a NULL or empty text is one empty passage and gets a score;
 without labels of both classes every score is 0.5; repeated rows score alike;
@@ -22,13 +22,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import checkpointed
+
 #: Bound of the training sample, in labelled documents.
 MAX_LABELLED = 3000
-#: Passages of one training document that are sent to the driver; scoring reads all.
-TRAIN_PASSAGES = 512
+#: Bound of the same sample, in passages of its documents (284 bytes each at the driver).
+MAX_PASSAGES = 300_000
 PASSAGE_WORDS = 64
 HASHED = 128
 #: Longest run of characters of one word that counts, so that a passage stays small.
@@ -75,11 +77,6 @@ def features(text: str | None) -> np.ndarray:
     return np.stack(rows)
 
 
-def spread_out(bag: np.ndarray) -> np.ndarray:
-    """A training bag of TRAIN_PASSAGES rows at most, evenly spread over the text."""
-    return bag if len(bag) <= TRAIN_PASSAGES else bag[np.linspace(0, len(bag) - 1, TRAIN_PASSAGES).astype(int)]
-
-
 def _sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
@@ -147,11 +144,20 @@ def fold(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 5
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, key: str = "doc_id", text: str = "text", label: str = "quality") -> GatedAttention | None:
+def most_passages(text: Column) -> Column:
+    """No fewer than the passages of a text: its words, and the pieces of its long words, in runs of PASSAGE_WORDS."""
+    known = F.coalesce(text, F.lit(""))
+    words = F.length(known) - F.length(F.replace(known, F.lit(" "))) + 1
+    return F.floor((words + F.floor(F.length(known) / WORD_CHARS)) / PASSAGE_WORDS) + 1
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, key: str = "doc_id", text: str = "text", label: str = "quality", max_passages: int = MAX_PASSAGES) -> GatedAttention | None:
     """Fits on labelled rows outside fold 0. Passage features come to the driver, texts do not.
 
     The labelled sample is cut to ``max_labelled`` keys before the join, so its
-    broadcast is bounded and documents are neither shuffled nor sorted.
+    broadcast is bounded and documents are neither shuffled nor sorted. Of these keys, in
+    the same order, the ones within ``max_passages`` are encoded; the window over them has
+    a short row a key.
     """
     sample = (
         labels.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
@@ -166,17 +172,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ke
     @F.pandas_udf("binary")
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([spread_out(features(x)).astype(np.float16).tobytes() for x in part], dtype=object)
+            yield pd.Series([features(x).astype(np.float16).tobytes() for x in part], dtype=object)
 
-    rows = (
+    texts = checkpointed(
         docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
         .join(F.broadcast(sample), "_key")
         # One text for each key: rows that repeat a key do not make the sample larger.
         .groupBy("_key", "_label")
         .agg(F.min("_text").alias("_text"))
-        .select("_key", "_label", encode("_text").alias("bag"))
-        .collect()
     )
+    held = F.sum("passages").over(Window.orderBy(F.xxhash64("_key"), "_key").rowsBetween(Window.unboundedPreceding, 0))
+    chosen = texts.select("_key", most_passages(F.col("_text")).alias("passages")).withColumn("held", held).where(F.col("held") <= max_passages)
+    rows = texts.join(F.broadcast(chosen.select("_key")), "_key", "left_semi").select("_key", "_label", encode("_text").alias("bag")).collect()
     rows.sort(key=lambda r: (r["_key"], bytes(r["bag"])))
     bags = [np.frombuffer(r["bag"], dtype=np.float16).reshape(-1, FEATURES).astype(np.float32) for r in rows]
     return train(bags, np.array([float(r["_label"] > 0) for r in rows])) if rows else None
