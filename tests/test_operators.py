@@ -92,6 +92,12 @@ def test_trip_gates(spark):
     assert [(r.duration_bin, r.soc_consumed_bin) for r in fleet.with_bins(frame).collect()] == [(10, None), (10, 4)]
 
 
+def test_mode_shares_are_quotients(spark):
+    r = rows(spark, [{"s": i * 60, "mode": m} for i, m in enumerate((0, 0, 1, None, 2))])
+    got = trips.raw_trip_metrics(sessions.trips_of(r)).select("mode_0_frac", "mode_1_frac").collect()
+    assert [tuple(x) for x in got] == [(2 / 3, 1 / 3)]  # 1 - 2 / 3 is not 1 / 3
+
+
 def test_ids_and_numbers(spark):
     ids = ["860000000000000", "860000000000000.0", "8.6E14", "nan", " ", "<NA>", None, "AB12", " 7 "]
     frame = spark.createDataFrame([(i,) for i in ids], "x string")
