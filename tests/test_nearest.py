@@ -54,3 +54,17 @@ def test_share_of_pairs_falls(spark):
         placed, cells = nearest.celled(candidates)
         shares.append(nearest.compared_share(placed, nearest.asked_cells(placed, cells, 21)).first().share)
     assert shares[1] < 0.5 * shares[0] and shares[1] < 0.2
+
+
+def test_blocks_of_few_candidates_and_far_points(spark):
+    """Many blocks a group, a point far off all others, and no row for each target and cell."""
+    rng = np.random.default_rng(6)
+    points = [("a", f"i{k}", v.tolist()) for k, v in enumerate(rng.normal(0, 1, (700, 9)).round(2))] + [("a", "far", [1e9] * 9)]
+    points += [("b", f"i{k}", [float(k % 3), 0.5]) for k in range(150)]
+    ranks = lambda found: {(g, i, peer, rank) for g, i, peer, _, rank in found}
+    assert ranks(run(spark, points, 6, tile=2)) == ranks(plain(points, 6))
+    df = spark.createDataFrame(points, "grp string, id string, v array<double>")
+    placed, cells = nearest.celled(nearest.dealt(df, 7)[1])
+    held = cells.blocks(100)["a"]
+    assert len(held) >= 4 and sorted(c for some, _ in held for c in some) == np.flatnonzero(cells.count["a"]).tolist()
+    assert nearest.bounded(placed, cells, 7).where("grp = 'a'").count() == 701
