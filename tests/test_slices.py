@@ -92,3 +92,12 @@ def test_no_window_holds_all_rows_of_a_vehicle(spark):
     by_vehicle = [x for x in windows if "slice" not in x.split("], [")[1]]
     assert windows and by_vehicle and all("time#" not in x and "seq#" not in x for x in by_vehicle)
     assert sessions.trips_of(frame.limit(0)).count() == 0
+
+
+def test_runs_are_read_from_the_window(spark):
+    """No aggregate by run: the memory of a task does not grow with the runs that it holds."""
+    frame = spark.createDataFrame([(1, "a", i, i % 3 > 0) for i in range(30)], "u int, det string, place int, hit boolean")
+    runs = sessions.dwell_runs(frame, ["u"], {"a": 2}, 5.0)
+    assert [tuple(r)[2:] for r in runs.collect()] == [(10, 10.0, 10.0)]
+    plan = runs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "island" not in plan
