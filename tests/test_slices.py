@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from collections import defaultdict
 from dataclasses import replace
 
@@ -9,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.config import DEFAULT
+from fleetlens.functions.shared import staged
 from fleetlens.operators import detectors, sessions
-from tests.test_operators import SCHEMA, T0
+from tests.test_operators import SCHEMA, T0, rows as made_rows
 
 KEYS = [c.split()[0] for c in SCHEMA.split(", ")]
 
@@ -101,3 +103,17 @@ def test_runs_are_read_from_the_window(spark):
     assert [tuple(r)[2:] for r in runs.collect()] == [(10, 10.0, 10.0)]
     plan = runs._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1 and "island" not in plan
+
+
+def test_thresholds_put_no_variant_into_one_task(spark):
+    """Their join is a broadcast behind a count, also where sizes are unknown."""
+    r = made_rows(spark, [{"s": i * 5} for i in range(20)])
+    limits = staged(detectors.variant_thresholds(r))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for events in (detectors.trip_events(sessions.trips_of(r), limits), detectors.charge_events(sessions.charge_sessions_of(r), limits)):
+            plan = events._jdf.queryExecution().executedPlan().toString()
+            assert not re.search(r"hashpartitioning\(variant#\d+, \d+\)", plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
