@@ -11,9 +11,9 @@ differ little in size. In each of TURNS turns a member is compared with one pivo
 at most: over its buckets that still hold several groups, the member that meets most
 others, later a random one. So candidate links of a turn are no more than members.
 After that, only pairs of different groups in one bucket are open. Rare shingles
-decide those: pairs that share one are listed from its short postings, pairs that share
-none are bounded by their common shingles, and the few that the bound leaves are
-compared across groups.
+decide those: pairs that share one are listed from its short postings and stay where
+their number and the common shingles allow a link; sets whose common shingles alone
+allow one meet inside tasks, in tiles, of which only links between groups come back.
 
 Defined results: a NULL or empty text, or one without words, is an empty set, linked
 with nothing; a text shorter than a shingle is one shingle; repeated rows and equal
@@ -47,6 +47,8 @@ BROADCAST_KEYS = 500_000
 RARE = 64
 #: Edges that one union-find may end with: some 100 MB of a worker.
 FEW_EDGES = 500_000
+#: Shingles of a tile of sets that are compared inside tasks; below that, tiles of a block for parallel work unless they would have few.
+TILE_SHINGLES, SPREAD, FEW_SHINGLES = 1 << 19, 12, 1 << 15
 #: Turns in which each member of an open bucket is compared with one pivot, before pairs are decided.
 TURNS = 3
 #: Linked sets differ in size by a factor of 1.25 at most; a little more for rounding.
@@ -319,6 +321,56 @@ def surplus_rows(docs: DataFrame, size: int = 5, key: str = "doc_id", text: str
     return judged.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count("*").alias("c")).where("not kept or c > 1").drop("c")
 
 
+def tile_links(some: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) between sets (id, label, members) of two tiles that join their labels; no more than labels."""
+    out: list[tuple[int, int]] = []
+    if len(some) and len(held):
+        sizes = held["members"].map(len).to_numpy()
+        every = np.concatenate(held["members"].to_list())
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], np.repeat(np.arange(len(held)), sizes)[order]
+        ids, labels = held["id"].to_numpy(), held["label"].to_numpy()
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+
+        for id_, label, members in zip(some["id"].tolist(), some["label"].tolist(), some["members"]):
+            first = np.searchsorted(every, members, side="left")
+            count = np.searchsorted(every, members, side="right") - first
+            at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+            both = np.bincount(owner[at], minlength=len(held))
+            for k in np.flatnonzero((100 * both >= 80 * (len(members) + sizes - both)) & (labels != label)).tolist():
+                x, y = root(label), root(int(labels[k]))
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    out.append((id_, int(ids[k])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def _links_in_tiles(alive: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between different labels of sets that share a key of ``alive`` (key, id, n, label, main).
+
+    Sets that keys connect are a block; each travels to the tiles of its block, and those
+    outside the largest label of a key meet all others there. Pairs are never rows.
+    """
+    leads = alive.groupBy("key").agg(F.min("id").alias("a"))
+    blocks = components(alive.join(leads, "key").select("a", F.col("id").alias("b"))).withColumnRenamed("label", "block")
+    one = alive.groupBy("id").agg(F.first("n").alias("n"), F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("outside"))
+    dealt = checkpointed(one.join(_small(blocks), "id"))
+    tiles = lambda n: F.greatest(F.ceil(n / TILE_SHINGLES), F.least(F.lit(SPREAD), F.ceil(n / FEW_SHINGLES))).cast("int")
+    sizes = dealt.groupBy("block").agg(tiles(F.sum("n")).alias("tiles"), tiles(F.sum(F.when(F.col("outside"), F.col("n")))).alias("chunks")).where("chunks > 0")
+    full = dealt.join(_small(checkpointed(sizes)), "block").join(sets, "id").select("block", "id", "label", "members", "outside", "tiles", "chunks")
+    deal = lambda n: F.pmod(F.xxhash64(F.lit(n), "id"), F.col(n)).cast("int").alias(n[:-1])
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(n[:-1])
+    key = ["block", "tile", "chunk"]
+    some = full.where("outside").select("block", "id", "label", "members", deal("chunks"), each("tiles"))
+    held = full.select(*[F.col(c).alias(c) for c in ("block", "id", "label", "members")], deal("tiles"), each("chunks"))
+    return some.groupBy(*key).cogroup(held.groupBy(*key)).applyInPandas(tile_links, "a long, b long")
+
+
 def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col("sig")[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)])
     entries = nodes.select("id", "n", F.explode(bands).alias("bucket"))
@@ -358,14 +410,18 @@ def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     least = bound.groupBy("key").agg(F.min("n").alias("least_n"))
     placed = checkpointed(bound.join(main.select("key", F.col("m.label").alias("main")), "key").join(least, "key"))
     apart = "x.label <> y.label and 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)"
-    ends = (F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-    # Sharing common shingles only: pairs of a key, one of them outside its largest group.
-    alive = placed.where("9 * common >= 4 * (n + least_n)")
-    by_common = (
-        alive.where("label <> main").alias("x").join(alive.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr(f"{apart} and 9 * least(x.common, y.common) >= 4 * (x.n + y.n)")).select(*ends)
-    )
-    # Sharing a rare shingle: its postings are bounded by RARE.
-    who = placed.groupBy("id").agg(F.first("n").alias("n"), F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("outside"))
+    # Sharing common shingles only: sets of a key are compared in tiles.
+    alive = checkpointed(placed.where("9 * common >= 4 * (n + least_n)"))
+    by_common = _links_in_tiles(alive, sets)
+    # Sharing a rare shingle: its postings are bounded by RARE, and a pair shares no more than it shares rare ones and the lesser has common ones.
+    who = placed.groupBy("id").agg(F.first("n").alias("n"), F.first("common").alias("common"), F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("outside"))
     posted = places.select(F.col("x").alias("shingle"), "id").join(who, "id")
-    by_rare = posted.where("outside").alias("x").join(posted.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & F.expr(apart)).select(*ends)
-    return _merged(labels, _confirm(by_common.union(by_rare).distinct(), facts, sets))
+    met_once = f"{apart} and (x.id < y.id or not y.outside)"
+    by_rare = (
+        posted.where("outside").alias("x").join(posted.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & F.expr(met_once))
+        .groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+        .agg(F.count("*").alias("rare"), F.first(F.least("x.common", "y.common")).alias("common"), F.first(F.expr("x.n + y.n")).alias("n"))
+        .where("9 * (rare + common) >= 4 * n")
+        .select("a", "b")
+    )
+    return _merged(labels, _confirm(by_rare, facts, sets).union(by_common))

@@ -118,6 +118,20 @@ def test_candidate_links_are_no_more_than_members(spark, monkeypatch):
     assert [r.component_id for r in got] == [0] and sum(seen) <= 2 * len(docs)
 
 
+def test_common_shingles_alone_make_no_rows_of_pairs(spark, monkeypatch):
+    """Sets of the same common shingles, near the threshold: pairs stay inside tasks, over many tiles."""
+    seen = []
+    monkeypatch.setattr(near_dedup, "TILE_SHINGLES", 4000, raising=False)
+    monkeypatch.setattr(near_dedup, "_confirm", lambda pairs, *a, f=near_dedup._confirm: seen.append(pairs.count()) or f(pairs, *a))
+    rng = random.Random(5)
+    docs = [(i, " ".join(f"{'ab'[rng.randrange(2)]}{slot} " + " ".join(f"w{slot}_{k}" for k in range(7)) for slot in range(20))) for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    want = {i: c for i, _, c in plain_groups(docs, 4)}
+    assert 20 < len(set(want.values())) < 190
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicate_groups(frame, size=4).collect()} == want
+    assert max(seen) <= len(docs)
+
+
 def test_query_equals_all_pairs(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     want = {i: (n, c) for i, n, c in plain_groups(docs, 4)}
