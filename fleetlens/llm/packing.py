@@ -23,7 +23,6 @@ import heapq
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +45,13 @@ CACHE_CHARS, CACHE_PIECES = 48, 400_000
 _LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ"
 _DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 PLAIN = "[\t-\r\x20-\x7e\xa0-įı-ſ‐-‧‰-⁞€]*"
-PIECES = f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_LETTERS}{_DIGITS}]+"
+# Letters come first: the kinds start with different characters, but for short forms and other signs.
+PIECES = f"[{_LETTERS}]+|[{_DIGITS}]|'(?:s|t|re|ve|m|ll|d)|[^\\s{_LETTERS}{_DIGITS}]+"
+ASCII_PIECES = r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9]+"
 
 
 class WordEncoder:
-    """Ids of a word-level BPE file: pieces are encoded once by the library's model and remembered."""
+    """Ids of a word-level BPE file: pieces are encoded once by the library's model and remembered as packed ids."""
 
     def __init__(self, path: str):
         import os
@@ -63,13 +64,13 @@ class WordEncoder:
         self.whole.no_truncation()
         self.whole.no_padding()
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.plain, self.pieces = re.compile(PLAIN), re.compile(PIECES)
+        self.plain, self.pieces, self.ascii = re.compile(PLAIN), re.compile(PIECES), re.compile(ASCII_PIECES)
         model, letters = self.whole.model, {b: c for c, b in byte_letters().items()}
 
         class Known(dict):
-            def __missing__(self, piece: str) -> tuple[int, ...]:
+            def __missing__(self, piece: str) -> bytes:
                 form = piece if piece.isascii() else "".join(letters[b] for b in piece.encode())
-                ids = tuple([t.id for t in model.tokenize(form)])
+                ids = np.array([t.id for t in model.tokenize(form)], dtype=np.int32).tobytes()
                 if len(piece) <= CACHE_CHARS:
                     if len(self) >= CACHE_PIECES:
                         self.clear()
@@ -81,8 +82,8 @@ class WordEncoder:
     def encode(self, text: str) -> np.ndarray:
         if self.plain.fullmatch(text) is None or any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.int32)
-        pieces = self.pieces.findall(text.lower())
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, pieces)), dtype=np.int32)
+        pieces = (self.ascii if text.isascii() else self.pieces).findall(text.lower())
+        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype=np.int32)
 
 
 @lru_cache(maxsize=1)
