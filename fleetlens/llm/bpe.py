@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import serving
+
 #: The byte-level pre-tokenizer's split.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces up to so many bytes are remembered, so many of them for each worker.
@@ -237,6 +239,7 @@ def encode_column(text, path: str | None = None):
 
     @F.pandas_udf("array<int>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        serving("bpe", codec.cache_clear)
         c = codec(path)
         for part in parts:
             yield pd.Series([np.asarray(c.encode(x or ""), dtype=np.int32) for x in part], dtype=object)
@@ -250,6 +253,7 @@ def decode_column(ids, path: str | None = None):
 
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        serving("bpe", codec.cache_clear)
         c = codec(path)
         for part in parts:
             yield pd.Series([c.decode(x) if x is not None else "" for x in part], dtype=object)
@@ -266,6 +270,7 @@ def round_trip_digest(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        serving("bpe", codec.cache_clear)
         c = codec(path)
         for part in parts:
             rows = []

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Word separators of every contract: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
+#: The operator that this worker process served last, and what drops the tables it keeps between tasks.
+_served: list = ["", None]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +62,25 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def serving(operator: str, drop: Callable[[], None] | None = None) -> None:
+    """Called by a Python task as it begins, since Spark reuses a worker process for all operators.
+
+    Where the worker served another operator before, what that one keeps between tasks
+    (vocabularies, remembered hashes) goes. Free memory returns to the system.
+    """
+    import pyarrow as pa
+
+    if _served[0] != operator:
+        if _served[1] is not None:
+            _served[1]()
+        _served[:] = [operator, drop]
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def words(text: Column) -> Column:
     """Words of a text; no empty strings. NULL text gives no words."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

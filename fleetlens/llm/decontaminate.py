@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import serving
+
 SIMILARITY = 0.8
 #: Least words of an item that an edit leaves recognisable; shorter ones are compared exactly.
 MIN_WORDS = 5
@@ -348,6 +350,7 @@ def match_column(index: ItemIndex, text: Column, id_type: str = "bigint") -> Col
 
     @F.pandas_udf(MATCH.format(id_type))
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        serving("leaks")
         names = ("item_id", "start_word", "end_word", "distance")
         for part in parts:
             yield pd.Series([[dict(zip(names, m)) for m in index.matches(x)] for x in part], dtype=object)

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import checkpointed, remove, written
+from fleetlens.llm.common import checkpointed, remove, serving, written
 
 #: Bands and registers of a band: at similarity 0.8 a pair shares no band once in a million.
 BANDS, ROWS = 26, 4
@@ -137,6 +137,7 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
+        serving("near duplicates", _hashes.clear)
         for part in parts:
             for i in range(0, len(part), CHUNK_ROWS):
                 chunk = part.iloc[i : i + CHUNK_ROWS]
@@ -165,6 +166,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
+        serving("near duplicates", _hashes.clear)
         for part in parts:
             for i in range(0, len(part), CHUNK_ROWS):
                 sets = [shingles(text, size) for text in part["text"].iloc[i : i + CHUNK_ROWS]]
@@ -353,7 +355,7 @@ def tile_links(some: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
 def _links_in_tiles(alive: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between different labels of sets that share a key of ``alive`` (key, id, n, label, main).
 
-    Sets that keys connect are a block; each travels to the tiles of its block, and those
+    Staged. Sets that keys connect are a block; each travels to the tiles of its block, and those
     outside the largest label of a key meet all others there. Pairs are never rows.
     """
     leads = alive.groupBy("key").agg(F.min("id").alias("a"))
@@ -368,7 +370,8 @@ def _links_in_tiles(alive: DataFrame, sets: DataFrame) -> DataFrame:
     key = ["block", "tile", "chunk"]
     some = full.where("outside").select("block", "id", "label", "members", deal("chunks"), each("tiles"))
     held = full.select(*[F.col(c).alias(c) for c in ("block", "id", "label", "members")], deal("tiles"), each("chunks"))
-    return some.groupBy(*key).cogroup(held.groupBy(*key)).applyInPandas(tile_links, "a long, b long")
+    # Staged: the union-find that follows would else run in the same tasks, with a second Python worker for each, which stays.
+    return checkpointed(some.groupBy(*key).cogroup(held.groupBy(*key)).applyInPandas(tile_links, "a long, b long"))
 
 
 def _labels(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import checkpointed
+from fleetlens.llm.common import checkpointed, serving
 
 #: Bound of the training sample, in labelled documents.
 MAX_LABELLED = 3000
@@ -171,6 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ke
 
     @F.pandas_udf("binary")
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        serving("quality")
         for part in parts:
             yield pd.Series([features(x).astype(np.float16).tobytes() for x in part], dtype=object)
 
@@ -196,6 +197,7 @@ def score_column(model: GatedAttention | None, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        serving("quality")
         for part in parts:
             out = []
             for i in range(0, len(part), 64):
