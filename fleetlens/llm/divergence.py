@@ -43,7 +43,10 @@ GROUP = ["lang", "source"]
 
 
 def counted_terms(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents, merged in the task before any shuffle."""
+    """(lang, source, term, n, docs): occurrences and documents, merged in the task, then shuffled once by language and term.
+
+    So all sources of a term meet in one task, and ``term_columns`` shuffles nothing again.
+    """
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     names = ["lang", "source", "term", "n", "docs"]
 
@@ -54,21 +57,21 @@ def counted_terms(docs: DataFrame) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             for (lang, source), terms in count.items():
                 have = holding[lang, source]
-                words = list(terms)
-                columns = [[lang] * len(words), [source] * len(words), [w.decode() for w in words], list(terms.values()), [have[w] for w in words]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, [pa.string()] * 3 + [pa.int64()] * 2)], names=names)
+                words = pa.array(terms, type=pa.binary()).cast(pa.string())
+                same = [pa.repeat(pa.scalar(c, pa.string()), len(terms)) for c in (lang, source)]
+                yield pa.RecordBatch.from_arrays([*same, words, pa.array(terms.values(), type=pa.int64()), pa.array(map(have.__getitem__, terms), type=pa.int64())], names=names)
             count.clear()
             holding.clear()
 
         for batch in batches:
             held = 0
-            for lang, source, text in zip(*(batch.column(i) for i in range(3))):
-                found = _TERM.findall(text.as_py().encode().lower())
-                own = Counter(found)
-                key = lang.as_py(), source.as_py()
+            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
+                found = _TERM.findall(text.as_py().lower())
+                key = lang, source
                 before = len(count[key])
-                count[key].update(own)
-                holding[key].update(own.keys())
+                # Counting a list, or a set, is one loop in C; adding one Counter to another is not.
+                count[key].update(found)
+                holding[key].update(set(found))
                 held += len(count[key]) - before
                 if held > HELD_TERMS:
                     yield from out()
@@ -76,7 +79,7 @@ def counted_terms(docs: DataFrame) -> DataFrame:
             yield from out()
 
     parts = docs.select(*map(empty, (*GROUP, "text"))).mapInArrow(run, "lang string, source string, term string, n long, docs long")
-    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return parts.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def term_columns(counts: DataFrame, least: int = MIN_DOCUMENTS) -> DataFrame:

@@ -85,3 +85,16 @@ def test_counts_beyond_64_bits(spark):
 def test_long_text(spark):
     rows = [(i, "lang " * 50_000 if i == 0 else "lang word", "en", f"s{i % 2}") for i in range(12)]
     assert sorted(map(tuple, dv.audit(spark.createDataFrame(rows, SCHEMA)).select("lang", "source", "part", "item", "value", "rank").collect())) == brute(rows)
+
+
+def test_terms_are_shuffled_once(spark):
+    df = spark.createDataFrame(documents(3), SCHEMA).repartition(3)
+    plan = dv.term_columns(dv.counted_terms(df), 1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_counts_of_a_worker_that_passes_terms_on(spark, monkeypatch):
+    monkeypatch.setattr(dv, "HELD_TERMS", 2)
+    rows = documents(4)
+    found = dv.audit(spark.createDataFrame(rows, SCHEMA).repartition(2)).select("lang", "source", "part", "item", "value", "rank")
+    assert sorted(map(tuple, found.collect())) == brute(rows)
